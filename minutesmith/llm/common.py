@@ -54,3 +54,10 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only, as the contracts ask (``lower`` would fold other letters as well)."""
     return F.translate(c, UPPER, UPPER.lower())
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` is called so."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name = "_" + name
+    return name

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, ascii_lower
+from .common import Scratch, ascii_lower, fresh
 
 BLOCK = 4096
 
@@ -100,6 +100,20 @@ def exact_dedup(df: DataFrame, block: int = BLOCK, key_bits: int = 64) -> DataFr
     return ids.join(groups, ["n_bytes", "name"]).select("doc_id", "keep_id", F.col("group_size").cast("long").alias("group_size"), (F.col("rid") == F.col("keep_rid")).alias("kept"), F.col("sha").alias("text_sha256"))
 
 
+def keep_first_of_copies(df: DataFrame, block: int = BLOCK) -> DataFrame:
+    """The rows of ``df`` that stay: of equal texts the one with the largest doc_id; of rows that repeat that id, one."""
+    key, low = fresh(df, "_sha"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
+    found = exact_dedup(df, block)
+    s = Scratch(df.sparkSession)
+    gone = s.keep(found.where(~F.col("kept")).select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("d"), "text_sha256", (~F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("other")), "gone")
+    rows = df.withColumn(key, F.sha2(F.encode(ascii_lower(F.coalesce(F.col("text").cast("string"), F.lit(""))), "UTF-8"), 256))
+    lost = gone.where("other").dropDuplicates()
+    rows = rows.join(lost, (low == lost["d"]) & (F.col(key) == lost["text_sha256"]), "left_anti")
+    if gone.where("not other").limit(1).count():  # the winning id itself repeats
+        rows = rows.dropDuplicates(["doc_id", key])
+    return rows.select(*df.columns)
+
+
 SQL = """
 WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents)
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(x) AS text_sha256

@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh
+
 THRESHOLD = 0.3
 MAX_VOTERS = 200
 PROPOSALS = 2_000
@@ -221,8 +223,9 @@ def vote_sum(votes: list[int], gain) -> float:
     return min(2.0, float(sum(gain[v] for v in votes)) / 5)
 
 
-def score(df: DataFrame, model: dict) -> DataFrame:
-    """The columns of ``df`` and score, predicted: one linear pass over each text; nothing is shuffled."""
+def score(df: DataFrame, model: dict, name: str = "score") -> DataFrame:
+    """The columns of ``df`` and the score: one linear pass over each text; nothing is shuffled."""
+    text = fresh(df, "_text")
 
     def run(batches):
         import numpy as np
@@ -230,21 +233,25 @@ def score(df: DataFrame, model: dict) -> DataFrame:
         index, gain, w = {v: i for i, v in enumerate(model["voters"])}, model["gain"], np.array(model["w"])
         for b in batches:
             out = []
-            for text in b.column(b.schema.get_field_index("_text")).to_pylist():
-                words = words_of(text)
+            for x in b.column(b.num_columns - 1).to_pylist():
+                words = words_of(x)
                 h = hashed(words)
                 votes = [index[f] for f in features_of(words) if f in index]
                 z = w[h].sum() * word_weight(len(h)) + w[DIM - 2] * vote_sum(votes, gain) + w[DIM - 1]
                 out.append(float(1 / (1 + np.exp(-np.clip(z, -30, 30)))))
-            keep = [i for i, n in enumerate(b.schema.names) if n != "_text"]
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in keep), pa.array(out, pa.float64())], names=[*(b.schema.names[i] for i in keep), "score"])
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(b.num_columns - 1)), pa.array(out, pa.float64())], names=[*b.schema.names[:-1], name])
 
-    own = df.withColumn("_text", F.coalesce(F.col("text").cast("string"), F.lit("")))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    return own.mapInArrow(run, f"{schema}, score double").withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+    return df.withColumn(text, F.coalesce(F.col("text").cast("string"), F.lit(""))).mapInArrow(run, f"{schema}, `{name}` double")
+
+
+def keep_clean(df: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose score is below the threshold."""
+    name = fresh(df, "_score")
+    return score(df, train(df, labels), name).where(F.col(name) < THRESHOLD).drop(name)
 
 
 def toxicity(df: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted of every row."""
     rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return score(rows, train(df, labels)).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+    return score(rows, train(df, labels)).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
