@@ -30,6 +30,7 @@ SHALLOW = 16
 BITS = 1 << 27
 BUCKET_BYTES = 1 << 20
 FLUSH = 400_000
+SUFFIXES = 200_000
 NULL_ID = (1 << 63) - 1
 
 
@@ -209,27 +210,58 @@ def sort_classes(text, start, width: int, shallow: int = SHALLOW):
     return order, group
 
 
-def _sort_bucket(d, s0, size, blob, width: int):
-    """(context, first byte, end) of the bytes to remove, contexts given by arrays of equal length."""
+def _sort_bucket(h, d, s0, size, blob, width: int):
+    """(context, first byte, end) of the bytes to remove, contexts given by arrays of equal length.
+
+    Contexts of different anchors share no window, so they are sorted apart, ``SUFFIXES`` windows or one anchor at a time.
+    """
+    import numpy as np
+
+    begin = np.cumsum(size) - size
+    o = np.argsort(h, kind="stable")
+    ends = np.flatnonzero(np.concatenate([h[o][1:] != h[o][:-1], [True]])) + 1
+    load = np.cumsum(size[o] - width + 1)
+    out, at = [], 0
+    while at < len(o):
+        want = (load[at - 1] if at else 0) + SUFFIXES
+        i = np.searchsorted(ends, max(np.searchsorted(load, want, side="right"), at + 1), side="right")
+        end = ends[max(i - 1, np.searchsorted(ends, at, side="right"))]
+        out.append(_sort_some(o[at:end], d, s0, begin, size, blob, width))
+        at = end
+    return [np.concatenate(x) for x in zip(*out, strict=True)]
+
+
+def _sort_some(part, d, s0, begin, size, blob, width: int):
     import numpy as np
 
-    begin = np.concatenate([[0], np.cumsum(size)])
-    wins = size - width + 1
-    ctx = np.repeat(np.arange(len(size)), wins)
-    k = np.arange(len(ctx)) - np.repeat(np.cumsum(wins) - wins, wins)
-    order, group = sort_classes(blob, begin[:-1][ctx] + k, width)
-    doc = d[ctx][order]
+    most = int(size[part].max())
+    grid = blob[np.minimum(begin[part][:, None] + np.arange(most), len(blob) - 1)]
+    grid[np.arange(most) >= size[part][:, None]] = 0
+    rows = np.concatenate([grid, size[part].astype(np.uint8)[:, None]], 1)
+    _, one, copy = np.unique(np.ascontiguousarray(rows).view(f"V{most + 1}").ravel(), return_index=True, return_inverse=True)
+    del grid, rows
+    least_of = np.full(len(one), NULL_ID)
+    np.minimum.at(least_of, copy, d[part])  # equal contexts are sorted once, under their smallest document
+    src = part[one]
+    wins = size[src] - width + 1
+    base = np.cumsum(wins) - wins
+    ctx = np.repeat(np.arange(len(one)), wins)
+    order, group = sort_classes(blob, begin[src][ctx] + np.arange(len(ctx)) - base[ctx], width)
+    doc = least_of[ctx][order]
     first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-    least = np.repeat(np.minimum.reduceat(doc, first), np.diff(np.append(first, len(doc))))
-    gone = np.zeros(len(ctx), bool)
-    gone[order] = doc > least
-    at = np.flatnonzero(gone)
+    least = np.empty(len(ctx), np.int64)
+    least[order] = np.repeat(np.minimum.reduceat(doc, first), np.diff(np.append(first, len(doc))))
+    n = wins[copy]
+    own = np.repeat(np.arange(len(part)), n)
+    k = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
+    at = np.flatnonzero(d[part][own] > least[base[copy][own] + k])
     if not len(at):
         return at, at, at
-    new = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1] + 1) | (ctx[at[1:]] != ctx[at[:-1]])]))
+    new = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1] + 1) | (own[at[1:]] != own[at[:-1]])]))
     last = at[np.append(new[1:] - 1, len(at) - 1)]
     a = at[new]
-    return ctx[a], s0[ctx[a]] + k[a], s0[ctx[a]] + k[last] + width
+    c = part[own[a]]
+    return c, s0[c] + k[a], s0[c] + k[last] + width
 
 
 def _cover(docs: DataFrame, bitmap, own: int, buckets: int, width: int, gram: int) -> DataFrame:
@@ -256,8 +288,8 @@ def _cover(docs: DataFrame, bitmap, own: int, buckets: int, width: int, gram: in
                 x = o[i:j]
                 m = n[x]
                 idx = np.repeat(src[x] - (np.cumsum(m) - m), m) + np.arange(m.sum())
-                rows.append((int(k[i]), doc[x].tobytes(), rk[x].tobytes(), s0[x].astype(np.int32).tobytes(), m.astype(np.uint8).tobytes(), pack(texts[idx].tobytes())))
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), *[pa.binary()] * 5), strict=True)], names=["bucket", "doc", "rk", "s0", "size", "blob"])
+                rows.append((int(k[i]), h[x].astype(np.uint32).tobytes(), doc[x].tobytes(), rk[x].tobytes(), s0[x].astype(np.int32).tobytes(), m.astype(np.uint8).tobytes(), pack(texts[idx].tobytes())))
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), *[pa.binary()] * 6), strict=True)], names=["bucket", "h", "doc", "rk", "s0", "size", "blob"])
 
         for b in batches:
             text, begin = text_bytes(b.column(2))
@@ -287,11 +319,11 @@ def _cover(docs: DataFrame, bitmap, own: int, buckets: int, width: int, gram: in
         read = lambda c, kind: np.frombuffer(b"".join(t.column(c).to_pylist()), kind)
         doc, rk, s0, size = read("doc", np.int64), read("rk", np.int64), read("s0", np.int32).astype(np.int64), read("size", np.uint8).astype(np.int64)
         blob = np.frombuffer(b"".join([unpack(x) for x in t.column("blob").to_pylist()]), np.uint8)
-        c, a, z = _sort_bucket(doc, s0, size, blob, width)
+        c, a, z = _sort_bucket(read("h", np.uint32), doc, s0, size, blob, width)
         span = np.stack([a, z], 1).astype(np.int32) if len(c) else np.zeros((0, 2), np.int32)
         return pa.table({"doc": doc[c], "rk": rk[c], "a": span[:, 0], "z": span[:, 1]})
 
-    rows = docs.mapInArrow(emit, "bucket long, doc binary, rk binary, s0 binary, size binary, blob binary")
+    rows = docs.mapInArrow(emit, "bucket long, h binary, doc binary, rk binary, s0 binary, size binary, blob binary")
     return rows.groupBy("bucket").applyInArrow(find, "doc long, rk long, a int, z int")
 
 
