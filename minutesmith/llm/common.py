@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,3 +62,33 @@ def fresh(df: DataFrame, name: str) -> str:
     while name.lower() in {c.lower() for c in df.columns}:
         name = "_" + name
     return name
+
+
+def maybe_in(keys: DataFrame, bits: int = 1 << 24):
+    """A test on 64-bit columns: true for every value in the one column of ``keys``, and for few others.
+
+    It is a bitmap of fixed size that tasks fill chunk by chunk, so it may be sent to all tasks whatever ``keys`` holds.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    chunk = 1 << 16
+
+    def pack(t: pa.Table) -> pa.Table:
+        x = np.zeros(chunk, np.uint8)
+        x[t.column("bit").to_numpy() % chunk] = 1
+        return pa.table({"chunk": t.column("chunk")[:1], "bits": pa.array([np.packbits(x).tobytes()], pa.binary())})
+
+    place = F.pmod(F.xxhash64(F.col(keys.columns[0])), F.lit(bits))
+    rows = keys.select(place.alias("bit")).distinct().withColumn("chunk", F.floor(F.col("bit") / chunk)).groupBy("chunk").applyInArrow(pack, "chunk long, bits binary").collect()
+    held = np.zeros((bits // chunk, chunk // 8), np.uint8)
+    for r in rows:
+        held[r["chunk"]] = np.frombuffer(r["bits"], np.uint8)
+    sent = keys.sparkSession.sparkContext.broadcast(held.ravel())
+
+    @F.pandas_udf("boolean")
+    def test(bit: pd.Series) -> pd.Series:
+        b = bit.to_numpy()
+        return pd.Series((sent.value[b >> 3] >> (7 - (b & 7)).astype(np.uint8)) & 1 == 1)
+
+    return lambda c: test(F.pmod(F.xxhash64(c), F.lit(bits)))
