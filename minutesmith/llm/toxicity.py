@@ -114,7 +114,7 @@ def cover(sample: list, proposals: list[str], max_voters: int) -> list[int]:
         gain = weight @ x
         gain[chosen] = 0
         best = int(gain.argmax())
-        if gain[best] < max(min(1.5, len(patterns) / 2), 0.01 * len(patterns)):
+        if gain[best] < max(min(1.5, len(patterns) / 2), 0.004 * len(patterns)):
             break
         chosen.append(best)
         weight[x[:, best]] /= 2
