@@ -8,10 +8,10 @@ discounted by that correlation. A linear (logistic) classifier over hashed word
 to the posterior labels and gives the score.
 
 Labels are read only from rows whose crc32(doc_id as text) mod 4 is not 2. A score never sees labels, lang, source or
-doc_id. Documented bounds: ``CANDIDATES`` features considered, ``PROPOSALS`` of them proposed, ``MAX_VOTERS``
-voters, and ``FIT_ROWS`` labelled rows that
-the label model and the classifier are fitted on (those with the smallest hash of their text, so the sample is the same
-on every run). Features are counted over all labelled training rows, and every row is scored.
+doc_id. Documented bounds: ``LABEL_ROWS`` labelled rows that fitting reads (a share of all by a hash of doc_id, so the
+sample is the same on every run; its ids and labels are few enough to send to every task, so that no text is shuffled),
+``CANDIDATES`` features considered, ``PROPOSALS`` of them proposed, ``MAX_VOTERS`` voters, and ``FIT_ROWS`` rows that the
+label model and the classifier are fitted on (those with the smallest hash of their text). Every row is scored.
 
 Defined results: null and empty texts get the classifier's score for a text without words; rows with a null doc_id are
 not in the held-out fold and join no label; repeated rows each give a row; labels that contradict each other for one
@@ -33,6 +33,7 @@ THRESHOLD = 0.3
 MAX_VOTERS = 200
 PROPOSALS = 2_000
 FIT_ROWS = 8_000
+LABEL_ROWS = 400_000
 CANDIDATES = 50_000
 MIN_DOCS = 3
 STEMS = (4, 5, 6)
@@ -193,13 +194,22 @@ def _sample(labelled: DataFrame, voters: list[str], rows: int) -> list:
     return coded.orderBy("h", F.size("words")).limit(rows).collect()
 
 
-def train(df: DataFrame, labels: DataFrame, max_voters: int = MAX_VOTERS, fit_rows: int = FIT_ROWS) -> dict:
+def training_labels(labels: DataFrame, rows: int = LABEL_ROWS) -> DataFrame:
+    """doc_id, y of the training fold: all of them, or beyond ``rows`` the share of them that gives about ``rows``."""
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("y")).where(F.col("doc_id").isNotNull() & F.col("y").isNotNull() & ~held_out(F.col("doc_id")))
+    n = known.count()
+    if n > rows:
+        known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) < F.lit(rows * (1 << 40) // n))
+    return known.groupBy("doc_id").agg(F.max("y").alias("y"))
+
+
+def train(df: DataFrame, labels: DataFrame, max_voters: int = MAX_VOTERS, fit_rows: int = FIT_ROWS, label_rows: int = LABEL_ROWS) -> dict:
     """The model as plain data, from labelled rows of the training fold only."""
     import numpy as np
 
-    y = labels.where(F.col("toxic").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("y"))
+    y = training_labels(labels, label_rows)
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    labelled = docs.where(~held_out(F.col("doc_id"))).join(y.where(~held_out(F.col("doc_id"))), "doc_id").select("text", "y")
+    labelled = docs.where(~held_out(F.col("doc_id"))).join(F.broadcast(y), "doc_id").select("text", "y")
     proposals = propose_voters(labelled)
     empty = {"voters": [], "gain": [], "w": [0.0] * (DIM - 1) + [-3.0], "accuracy": [], "correlation": []}
     sample = _sample(labelled, proposals, fit_rows) if proposals else []
