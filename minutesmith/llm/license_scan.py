@@ -110,17 +110,22 @@ def scan(text: str, a) -> tuple:
         return 0, 0, None, None, "", "", 0.0
     # Latin-1 letters stand for bytes: no decoding is needed, and places stay those of bytes
     joined = (b" " + b" ".join(words) + b" ").decode("latin-1")
-    base, places, labels, found = set(), [], set(), 0
+    base, places, labels, found, tagged, at, word = set(), [], set(), 0, False, 0, 0
     for end, (phrase, label) in a.iter(joined):
         if label == TAG:
-            for m in EXPRESSION.finditer(low.decode("latin-1")):
-                labels |= evaluate(m[1])
+            tagged = True
             continue
         labels.add(label)
         if phrase in BASE:
             base.add(label)
-            places.append(joined.count(" ", 0, end - len(phrase)) - 1)
+            start = end - len(phrase)  # words are counted on from the place before, so that many places stay cheap
+            word += joined.count(" ", at, start) if start >= at else -joined.count(" ", start, at)
+            at = start
+            places.append(word - 1)
         found += len(phrase.split())
+    if tagged:
+        for m in EXPRESSION.finditer(low.decode("latin-1")):
+            labels |= evaluate(m[1])
     labels |= base
     score = 0.0 if not labels else min(1.0, 0.5 + 5.0 * found / len(words))
     return len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), score
