@@ -337,7 +337,7 @@ def point_lookup(t):
 
 
 def _load():
-    from . import minutes, pages  # noqa: F401  (they add their queries to this catalogue)
+    from . import documents, minutes, pages  # noqa: F401  (they add their queries to this catalogue)
 
 
 def queries():

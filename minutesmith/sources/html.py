@@ -8,8 +8,9 @@ from __future__ import annotations
 import re
 from html.parser import HTMLParser
 
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CELL = "table_no int, caption string, row_no int, col_no int, tag string, text string, hrefs array<string>"
@@ -143,3 +144,48 @@ def html_cells(df: DataFrame, key: str, html: str = "html", spans: bool = True)
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(keys, pa.int32())), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], names=names)
 
     return df.select(key, html).mapInArrow(run, f"`{key}` {kind}, {CELL}")
+
+
+class _Text(HTMLParser):
+    """Collects text nodes; those of scripts, styles and templates, and comments, are left out."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.nodes, self.skip = [""], 0
+
+    def handle_starttag(self, tag, attrs):
+        self.skip += tag in ("script", "style", "template")
+        self.nodes.append("")
+
+    def handle_endtag(self, tag):
+        self.skip = max(0, self.skip - (tag in ("script", "style", "template")))
+        self.nodes.append("")
+
+    def handle_startendtag(self, tag, attrs):
+        self.nodes.append("")
+
+    def handle_comment(self, data):
+        self.nodes.append("")
+
+    def handle_data(self, data):
+        if not self.skip:
+            self.nodes[-1] += data
+
+
+def clean_text(html: str | None) -> str:
+    """The text nodes, each on a line of its own, trimmed; blank lines go."""
+    p = _Text()
+    p.feed(html or "")
+    p.close()
+    lines = (line.strip() for node in p.nodes for line in node.splitlines())
+    return "\n".join(line for line in lines if line)
+
+
+def text_of(html: Column) -> Column:
+    """``clean_text`` of every row; null and empty pages give an empty text."""
+
+    @F.pandas_udf("string")
+    def run(x: pd.Series) -> pd.Series:
+        return x.map(clean_text)
+
+    return run(html)
