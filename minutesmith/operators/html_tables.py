@@ -65,16 +65,22 @@ def links(html: Column) -> Column:
 
 
 def absolute(url: Column, base: Column) -> Column:
-    """A link resolved against the page's url: absolute, from the root, below the page's folder, or one folder up."""
+    """A link resolved against the page's url: with a scheme, from the host or the root, below the page's folder, or folders up."""
     root = F.regexp_extract(base, "^([a-z]+://[^/?#]+)", 1)
-    folder = F.regexp_replace(F.regexp_replace(base, "[?#].*$", ""), "(?<=[^/:])/[^/]*$", "")
-    parent = F.when(folder == root, root).otherwise(F.regexp_replace(folder, "/[^/]*$", ""))
+    page = F.regexp_replace(base, "[?#].*$", "")
+    folders = F.filter(F.split(F.regexp_extract(page, "^[a-z]+://[^/]+/(.*)/[^/]*$", 1), "/"), lambda x: x != "")
     plain = F.regexp_replace(url, r"^(\./)+", "")
+    up = F.length(F.regexp_extract(plain, r"^((?:\.\./)*)", 1)) / 3
+    kept = F.slice(folders, F.lit(1), F.greatest(F.size(folders) - up.cast("int"), F.lit(0)))
+    below = F.array_join(F.concat(F.array(root), kept, F.array(F.regexp_replace(plain, r"^(\.\./)+", ""))), "/")
     return (
-        F.when(url.rlike("^[a-z]+://"), url)
+        F.when(url.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), url)
+        .when(url.startswith("//"), F.concat(F.regexp_extract(base, "^[a-z]+:", 0), url))
         .when(url.startswith("/"), F.concat(root, url))
-        .when(plain.startswith("../"), F.concat(parent, F.lit("/"), F.regexp_replace(plain, r"^\.\./", "")))
-        .otherwise(F.concat(folder, F.lit("/"), plain))
+        .when(url == "", base)
+        .when(url.startswith("#"), F.concat(F.regexp_replace(base, "#.*$", ""), url))
+        .when(url.startswith("?"), F.concat(page, url))
+        .when(url.isNotNull(), below)
     )
 
 
