@@ -65,12 +65,29 @@ def attendance(lines: DataFrame, key: str, default_role: str | None = None) -> D
 
 
 def changes(lines: DataFrame, key: str, meeting_date: str) -> DataFrame:
-    """key, pos, changed_at, resigned, appointed of lines with two names; a date line holds for the lines below it."""
-    day = T.month_day_near(F.col("line"), F.col(meeting_date))
-    x = lines.withColumn("changed_at", F.last(day, ignorenulls=True).over(Window.partitionBy(key).orderBy("pos"))).withColumn("p", M.names_in(F.col("line")))
+    """key, pos, changed_at, resigned, appointed of lines with two names; a date line holds for the lines below it.
+
+    `同月D日` is a day of the meeting's month; `同日` is the date above it, or the meeting's date where there is none.
+    """
+    w, held, line = Window.partitionBy(key).orderBy("pos"), F.col(meeting_date), T.without_space(F.col("line"))
+    same_month = f"^同月({T.NUMBER})日$"
+    named = F.when(line.rlike(same_month), F.concat(F.month(held).cast("string"), F.regexp_replace(line, "^同", ""))).otherwise(F.col("line"))
+    x = lines.withColumn("changed_at", F.coalesce(F.last(T.month_day_near(named, held), ignorenulls=True).over(w), F.when(F.max(line == "同日").over(w), held)))
+    x = x.withColumn("p", M.names_in(F.col("line")))
     return x.where(F.size("p") >= 2).select(key, "pos", "changed_at", T.person_key(F.col("p")[0]).alias("resigned"), T.person_key(F.col("p")[1]).alias("appointed"))
 
 
+def publish_list(meetings: DataFrame, matched: DataFrame, key: str, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` of every meeting, and matched_item_count: its rows in ``matched``."""
+    n = matched.groupBy(key).agg(F.count("*").alias("matched_item_count"))
+    return meetings.select(key, *keep).join(n, key, "left").withColumn("matched_item_count", F.coalesce("matched_item_count", F.lit(0)))
+
+
+def publish_detail(meetings: DataFrame) -> DataFrame:
+    """Meetings without the texts of the first and last speech, referred items and membership changes."""
+    return meetings.drop("intro", "closing", "referred_items", "membership_changes")
+
+
 def rollup(speeches: DataFrame, key: str, order: str, speaker: str, text: str) -> DataFrame:
     """One row a meeting: speeches, distinct speakers in first-seen order, the first and the last speech."""
     who = speeches.groupBy(key, speaker).agg(F.min(order).alias("first"), F.count("*").alias("n"))

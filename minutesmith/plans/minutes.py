@@ -68,3 +68,9 @@ SELECT conv_id, any_value(speakers) AS speakers, count(*) AS speech_count, lengt
 def meeting_rollup(t):
     x = O.rollup(t.conversations, "conv_id", "turn", "role", "text")
     return x.select("conv_id", F.array_join("speakers", ",").alias("speakers"), "speech_count", F.length("intro").cast("long").alias("intro"), F.length("closing").cast("long").alias("closing"))
+
+
+@query("""SELECT conv_id, count(*) AS speech_count, count(*) FILTER (WHERE role = 'user' AND turn > 0) AS matched_item_count FROM conversations GROUP BY 1""")
+def meeting_publish(t):
+    meetings = O.publish_detail(O.rollup(t.conversations, "conv_id", "turn", "role", "text"))
+    return O.publish_list(meetings, t.conversations.where("role = 'user' AND turn > 0"), "conv_id", ["speech_count"])

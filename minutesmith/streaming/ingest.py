@@ -1,4 +1,4 @@
-"""Incremental ingest: new files of a folder are appended once, the latest row of each key is merged per batch."""
+"""Incremental ingest: new files of a folder are appended once, repeats of a key within the watermark go."""
 
 from __future__ import annotations
 
