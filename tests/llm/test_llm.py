@@ -209,6 +209,26 @@ def test_join_group():
     assert len(set(zip(got, label))) == len(set(label)) == len(set(got))
 
 
+@pytest.mark.parametrize("seed", [*range(40), 214, 253, 821, 1343, 1348, 1466])
+def test_join_group_versions(seed):
+    """Trees of versions against brute force; the last six lost a link."""
+    rng = random.Random(seed)
+    k, n = rng.choice([8, 12, 20, 30, 60]), rng.choice([30, 60, 100])
+    sets = [set(rng.sample(range(1 << 40), n))]
+    while len(sets) < k:
+        x = set(rng.choice(sets[-6:]))
+        x -= set(rng.sample(sorted(x), rng.randint(1, n // 9)))
+        sets.append(x | set(rng.sample(range(1 << 40), rng.randint(0, n // 9))))
+    rng.shuffle(sets)
+    label = list(range(k))
+    for i in range(k):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]) and label[i] != label[j]:
+                lo, hi = sorted((label[i], label[j]))
+                label = [lo if x == hi else x for x in label]
+    assert jaccard_join.join_group([np.array(sorted(x), np.uint64) for x in sets]) == label
+
+
 def test_ann(spark):
     g = np.random.default_rng(2)
     v = g.normal(size=(700, 16)).astype(np.float32)
