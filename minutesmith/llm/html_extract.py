@@ -4,8 +4,9 @@ A page is a sequence of words and tags. Tags score negative; a word scores posit
 against content. A linear scan finds the contiguous region with the largest sum; blocks of the region whose own score is
 negative (an advert inside the article) are left out.
 
-Weights are log odds of element names and class or id words, counted over pages whose own markup labels their content
-(``article``, ``main``), on top of fixed counts for names that mark boilerplate everywhere.
+Weights are log odds of element names and class or id words, from their rates inside and outside of content over all
+pages whose own markup labels it (``article``, ``main``), on top of fixed counts. A name whose pages don't agree on a
+side keeps its fixed weight, and so do names that mark boilerplate everywhere: adverts stand in articles too.
 
 Defined results: null html counts as empty; a page without content has an empty text; unclosed and stray tags are
 tolerated; repeated rows each give a row; a null url stays null.
@@ -21,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import Scratch
+
 #: Elements that break text into blocks, that have no end tag, and whose text is never content.
 BLOCKS = set("address article aside blockquote body center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -31,7 +34,9 @@ BOILERPLATE = set(
 )
 CONTENT = set("article main content post entry story articlebody maincontent body-text prose".split())
 PRIOR = 40
-MAX_FEATURES = 500
+SLOTS = 1 << 22
+CHUNK = 1 << 16
+HELD = 100_000
 CLOSES = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
 NAME = re.compile(r"[a-z]+(?=[A-Z_\-\s\d]|$)|[A-Z]+(?![a-z])|[A-Z][a-z]+")
 
@@ -127,39 +132,104 @@ def fixed_weight(feature: str) -> tuple[float, float]:
     return 1, 1
 
 
-def learn_weights(pages: DataFrame, most: int = MAX_FEATURES) -> dict[str, float]:
-    """Log odds of each feature, from words inside and outside labelled content, summed over all labelled pages."""
+NEUTRAL = {"html", "body", "p", "b", "i", "em", "strong", "span", "div", "h1", "h2", "h3", "h4", "h5", "h6", "br", "section", "table", "tbody", "tr", "td", "th", "thead", "blockquote", "pre", "code", "u", "small", "sup", "sub", "figure", "figcaption", "a", "ul", "ol", "li", "dl", "dt", "dd", "font", "center", "mark", "abbr", "time", "q", "cite"}
 
-    def count(batches):
-        from collections import Counter
 
-        c: Counter = Counter()
-        for b in batches:
-            for html in b.column(0).to_pylist():
-                found = blocks_of(html or "")
-                if any(x[3] for x in found):
-                    for text, feats, _, inside, _ in found:
-                        n = text.count(" ") + 1
-                        for f in set(feats):
-                            c[f, inside] += n
-        yield pa.RecordBatch.from_pydict({"feature": [k[0] for k in c], "inside": [k[1] for k in c], "n": list(c.values())}, pa.schema([("feature", pa.string()), ("inside", pa.bool_()), ("n", pa.int64())]))
-
-    rows = pages.select(F.col("html").cast("string").alias("html")).mapInArrow(count, "feature string, inside boolean, n long")
-    total = rows.groupBy("feature").agg(F.sum(F.when(F.col("inside"), F.col("n")).otherwise(0)).alias("yes"), F.sum(F.when(~F.col("inside"), F.col("n")).otherwise(0)).alias("no"))
-    rows = total.orderBy(F.desc(F.col("yes") + F.col("no")), "feature").limit(most).collect()
-    body = next(((r["yes"], r["no"]) for r in rows if r["feature"] == "body"), (1, 1))
-    base = math.log((body[0] + 1) / (body[1] + 1))
-    out = {}
-    for r in rows:
-        yes, no = fixed_weight(r["feature"])
-        out[r["feature"]] = max(-4.0, min(4.0, math.log((min(r["yes"], 10 * PRIOR) + yes) / (min(r["no"], 10 * PRIOR) + no)) - max(-1.0, min(1.0, base)) * 0.1))
-    return out
+class Verdicts:
+    """Learned weights in a table of fixed size: 30 bits of a name's hash and its verdict in each slot.
 
+    Names that share a slot leave it to the one with most words; the others keep their fixed weights.
+    """
 
-NEUTRAL = {"html", "body", "p", "b", "i", "em", "strong", "span", "div", "h1", "h2", "h3", "h4", "h5", "h6", "br", "section", "table", "tbody", "tr", "td", "th", "thead", "blockquote", "pre", "code", "u", "small", "sup", "sub", "figure", "figcaption", "a", "ul", "ol", "li", "dl", "dt", "dd", "font", "center", "mark", "abbr", "time", "q", "cite"}
+    def __init__(self, slots):
+        self.slots, self.cache = slots, {}
 
+    def get(self, feature: str) -> float | None:
+        import xxhash
 
-def feature_weight(f: str, weights: dict[str, float]) -> float:
+        if feature not in self.cache:
+            if len(self.cache) >= HELD:
+                self.cache = {}
+            h = xxhash.xxh64_intdigest(feature.encode("utf-8", "surrogatepass"), seed=42)
+            v = int(self.slots[h & (SLOTS - 1)])
+            self.cache[feature] = {1: -4.0, 2: 0.0, 3: 4.0}.get(v & 3) if v >> 2 == h >> 34 else None
+        return self.cache[feature]
+
+
+def evidence(pages: DataFrame) -> DataFrame:
+    """feature, yes, no (words inside and outside labelled content), plus, minus (pages where the rate is higher inside,
+    outside); the feature '' has all words."""
+    schema = pa.schema([("feature", pa.string()), ("yes", pa.int64()), ("no", pa.int64()), ("plus", pa.int64()), ("minus", pa.int64())])
+
+    def flush(c):
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip([list(c), *zip(*c.values(), strict=True)], schema.types, strict=True)], schema=schema)
+
+    def count(batches):
+        c: dict[str, list[int]] = {}
+        for b in batches:
+            for html in b.column(0).to_pylist():
+                found = blocks_of(html or "")
+                if not any(x[3] for x in found):
+                    continue
+                page: dict[str, list[int]] = {"": [0, 0]}
+                for text, feats, _, inside, _ in found:
+                    n = text.count(" ") + 1
+                    for f in {"", *feats} - NEUTRAL:
+                        page.setdefault(f, [0, 0])[not inside] += n
+                yes, no = page[""]
+                for f, (y, n) in page.items():
+                    t = c.setdefault(f, [0, 0, 0, 0])
+                    t[0] += y
+                    t[1] += n
+                    t[2] += y * no > n * yes
+                    t[3] += y * no < n * yes
+            if len(c) > HELD:
+                yield flush(c)
+                c = {}
+        if c:
+            yield flush(c)
+
+    rows = pages.select(F.col("html").cast("string").alias("html")).mapInArrow(count, "feature string, yes long, no long, plus long, minus long")
+    return rows.groupBy("feature").agg(*(F.sum(x).alias(x) for x in ("yes", "no", "plus", "minus")))
+
+
+def learn_weights(pages: DataFrame) -> Verdicts:
+    """Verdicts on all names: log odds of -1 or less, of 1 or more, or between, where the pages agree on a side.
+
+    The larger side is scaled down to the smaller one, so counts are rates and no evidence is overstated. Pages agree on a
+    side if a fair coin would be two standard deviations off.
+    """
+    import numpy as np
+
+    s = Scratch(pages.sparkSession)
+    seen = s.keep(evidence(pages), "evidence")
+    whole = seen.where("feature = ''").collect()
+    held = np.zeros(SLOTS, np.uint32)
+    if whole and whole[0]["yes"] and whole[0]["no"]:
+        yes, no = whole[0]["yes"], whole[0]["no"]
+        least = min(yes, no)
+        a = F.when(F.ltrim(F.lit("."), F.col("feature")).isin(*CONTENT), float(PRIOR)).otherwise(1.0)
+        w = F.log((F.col("yes") * (least / yes) + a) / (F.col("no") * (least / no) + 1))
+        side = F.col("plus") - F.col("minus")
+        sure = (side * side > 4 * (F.col("plus") + F.col("minus"))) & (side * w > 0)
+        code = F.when(w <= -1, 1).when(w >= 1, 3).otherwise(2)
+        h = F.xxhash64("feature")
+        named = seen.where((F.col("feature") != "") & ~F.ltrim(F.lit("."), F.col("feature")).isin(*BOILERPLATE) & sure)
+        marks = named.select(h.bitwiseAND(F.lit(SLOTS - 1)).alias("slot"), (F.shiftrightunsigned(h, 34) * 4 + code).alias("mark"), F.struct(F.col("yes") + F.col("no"), "feature").alias("most"))
+
+        def pack(t: pa.Table) -> pa.Table:
+            x = np.zeros(CHUNK, np.uint32)
+            x[t.column("slot").to_numpy() % CHUNK] = t.column("mark").to_numpy()
+            return pa.table({"chunk": t.column("chunk")[:1], "marks": pa.array([x.tobytes()], pa.binary())})
+
+        best = marks.groupBy("slot").agg(F.max_by("mark", "most").alias("mark"))
+        for r in best.withColumn("chunk", F.floor(F.col("slot") / CHUNK)).groupBy("chunk").applyInArrow(pack, "chunk long, marks binary").collect():
+            held[r["chunk"] * CHUNK : (r["chunk"] + 1) * CHUNK] = np.frombuffer(r["marks"], np.uint32)
+    s.drop("evidence")
+    return Verdicts(held)
+
+
+def feature_weight(f: str, weights: dict[str, float] | Verdicts) -> float:
     if f in NEUTRAL:
         return 0.0
     w = weights.get(f)
@@ -169,9 +239,9 @@ def feature_weight(f: str, weights: dict[str, float]) -> float:
     return w
 
 
-def extract(html: str | None, weights: dict[str, float] | None = None) -> str:
+def extract(html: str | None, weights: dict[str, float] | Verdicts | None = None) -> str:
     """The region with the largest sum of word and tag scores, without its negative blocks."""
-    weights = weights or {}
+    weights = {} if weights is None else weights
     found = blocks_of(html or "")
     score = []
     for text, feats, tags, _, link in found:
@@ -201,14 +271,14 @@ def extract(html: str | None, weights: dict[str, float] | None = None) -> str:
     return "\n".join(found[i][0] for i in range(*best_span) if score[i][1])
 
 
-def html_text(pages: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
+def html_text(pages: DataFrame, weights: dict[str, float] | Verdicts | None = None) -> DataFrame:
     """page_id, url, text, n_chars of every page; weights are learned from ``pages`` unless given."""
-    weights = learn_weights(pages) if weights is None else weights
+    sent = pages.sparkSession.sparkContext.broadcast(learn_weights(pages) if weights is None else weights)
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
     def run(batches):
         for b in batches:
-            text = [extract(h, weights) for h in b.column(2).to_pylist()]
+            text = [extract(h, sent.value) for h in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(text, pa.string()), pa.array([len(t) for t in text], pa.int64())], schema=schema)
 
     return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")).mapInArrow(run, "page_id long, url string, text string, n_chars long")

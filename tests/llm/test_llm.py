@@ -71,6 +71,18 @@ def test_html(spark):
     assert out == [(1, want, len(want))] * 2 + [(2, "", 0), (3, "", 0), (4, "Only some plain words.", 22)]
 
 
+def test_html_learned(spark):
+    """A class with much inside content and far more outside is boilerplate, one with far more inside is content, and rare
+    classes of many sites count as well."""
+    page = '<div class="quux">%s</div><article><p>%s</p><div class="quux">%s</div></article><div class="rim">%s</div>'
+    rows = [(i, "u", page % ("menu " * 300, "word " * 900, "more " * 20, "x " * 20)) for i in range(30)]
+    rows += [(i, "u", f'<div class="own{"abcdefghij"[i % 10]}{"klmnopqrst"[i // 10 % 10]}{"uvwxyz"[i // 100 % 6]}">some menu here</div><article class="prose"><p>one two</p></article>') for i in range(6000)]
+    rows += [(9001, "u", '<p>Plain words come first.</p><div class="quux">all of this is menu</div>'), (9002, "u", '<div class="ownakv">rare menu words</div><p>Plain words of a text that is longer.')]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = {r.page_id: r.text for r in html_extract.html_text(pages).where("page_id > 9000").collect()}
+    assert out == {9001: "Plain words come first.", 9002: "Plain words of a text that is longer."}
+
+
 def fold(x):
     return (x or "").encode().lower().decode()
 
