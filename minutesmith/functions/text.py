@@ -11,6 +11,8 @@ NUMERALS = {"〇": 0, "零": 0, "一": 1, "二": 2, "三": 3, "四": 4, "五": 5
 UNITS = {"十": 10, "百": 100, "千": 1000}
 WIDE, NARROW = "０１２３４５６７８９", "0123456789"
 NUMBER = "[0-9０-９〇零一二三四五六七八九十百千元]+"
+CATEGORIES = {"衆法": "shu_law", "参法": "san_law", "閣法": "cab_law", "予算": "budget", "承認": "approval", "決算その他": "settlement", "決算": "settlement"}
+LABELS = {"決算": "kessan", "国有財産": "kokuyu_zaisan", "国庫債務": "kokko_saimu", "ｎｈｋ決算": "nhk_kessan", "nhk決算": "nhk_kessan"}
 
 
 def lookup(values: dict) -> Column:
@@ -57,6 +59,15 @@ def person_key(c: Column) -> Column:
     return without_space(strip_honorific(c))
 
 
+def clean_names(c: Column) -> Column:
+    """The distinct names of an array without honorifics, in first-seen order; blank ones go."""
+    return F.array_distinct(F.filter(F.transform(c, strip_honorific), lambda x: x != ""))
+
+
+def person_id(c: Column) -> Column:
+    return F.sha2(F.encode(c, "UTF-8"), 256)
+
+
 def indexable_name(c: Column) -> Column:
     return (F.length(person_key(c)) > 0) & ~normalize_text(c).rlike("^(その)?補欠として")
 
@@ -111,6 +122,14 @@ def month_day_near(c: Column, reference: Column) -> Column:
     return F.try_element_at(F.array_sort(F.filter(options, lambda x: x["day"].isNotNull())), F.lit(1))["day"]
 
 
+def month_day_default(c: Column, year: Column) -> Column:
+    """A whole date if there is one, else month and day in the default year; null for impossible days."""
+    n = "([0-9０-９]{1,2}|[〇零一二三四五六七八九十]+)"
+    t = normalize_text(c)
+    m, d = (kanji_number(F.regexp_extract(t, f"{n} ?月 ?{n} ?日", i)) for i in (1, 2))
+    return F.coalesce(era_date(c), _date(year.cast("int"), m, d))
+
+
 def clock_time(c: Column) -> Column:
     """HH:MM of noon, or of morning and afternoon hours; null out of range."""
     t = without_space(c)
@@ -139,6 +158,14 @@ def house_id(prefix: str, session: Column, number: Column, width: int = 3) -> Co
     return F.format_string(f"{prefix}-%d-%0{width}d", session.cast("int"), number.cast("int"))
 
 
+def bill_id(category: Column, session: Column, number: Column, title: Column, subcategory: Column) -> Column:
+    """session-category-number; without a number the subcategory's slug and a hash of the title stand for it."""
+    code = F.coalesce(F.try_element_at(lookup(CATEGORIES), category), slug(F.lower(category), LABELS))
+    sub = slug(F.lower(F.coalesce(blank_to_null(subcategory), F.lit("unknown"))), LABELS)
+    rest = F.concat_ws("-", sub, F.substring(F.sha1(F.encode(normalize_text(title), "UTF-8")), 1, 8))
+    return F.concat_ws("-", F.coalesce(session.cast("string"), F.lit("unknown")), code, F.coalesce(number.cast("string"), rest))
+
+
 def session_of_id(c: Column) -> Column:
     p = F.split(c, "-")
     return F.when(F.size(p) >= 3, F.try_element_at(p, F.lit(2)).try_cast("int"))

@@ -53,6 +53,18 @@ def entity_index(rel: DataFrame, types: list[str]) -> DataFrame:
     return once.groupBy("person_key").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("names")))).alias("names"), *counts, F.count("*").alias("total"))
 
 
+def entity_relations(rel: DataFrame, types: list[str], natural: list[str], order: list[str]) -> DataFrame:
+    """person_key and an array for each relation type: relations distinct by ``natural``, sorted by ``order``.
+
+    Of relations with the same natural key the largest stays.
+    """
+    keys = ["person_key", "type", *natural]
+    rest = [c for c in rel.columns if c not in keys]
+    once = rel.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_rest")).select(*keys, "_rest.*") if rest else rel.dropDuplicates()
+    fields = [*order, *(c for c in rel.columns if c not in ("person_key", "type", *order))]
+    return once.groupBy("person_key").agg(*[F.array_sort(F.collect_list(F.when(F.col("type") == t, F.struct(*fields)))).alias(t) for t in types])
+
+
 def assemble(rows: DataFrame, pages: DataFrame, key: str, policy: str) -> DataFrame:
     """List rows with their pages: 'inner' skips rows without one, 'left' keeps them, 'strict' keeps only their misses."""
     return rows.join(pages, key, {"inner": "inner", "left": "left", "strict": "left_anti"}[policy])

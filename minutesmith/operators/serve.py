@@ -30,6 +30,12 @@ def two_level(df: DataFrame, outer: Column, inner: Column, order: str) -> DataFr
     return df.groupBy(outer.alias("section"), inner.alias("role")).agg(F.count("*").alias("n"), F.min(order).alias("first"))
 
 
+def group_by_session(df: DataFrame, keys: list[str], session: str, order: str, item: str) -> DataFrame:
+    """keys, session, items (in ``order``): the newest session first, rows without a session last."""
+    items = F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(item).alias("x")))), lambda p: p["x"])
+    return df.groupBy(*keys, session).agg(items.alias("items")).orderBy(*keys, F.desc_nulls_last(session))
+
+
 def availability(sets: dict[str, DataFrame], on: str) -> DataFrame:
     """One row for each value of ``on`` in any set, with a flag for each set: one union and one grouping, no joins."""
     parts = None

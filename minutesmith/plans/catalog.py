@@ -105,6 +105,30 @@ def month_day_near(t):
     return t.orders.select("o_orderkey", T.month_day_near(c, F.date_add(d, (F.col("o_orderkey") % 300 - 150).cast("int"))).alias("day"))
 
 
+@query("SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders")
+def month_day_default(t):
+    d = F.col("o_orderdate").cast("date")
+    c = F.concat(kanji(F.month(d)), F.lit("月 "), kanji(F.dayofmonth(d)), F.lit("日"))
+    whole = F.concat(F.year(d).cast("string"), F.lit("年"), F.month(d).cast("string"), F.lit("月"), F.dayofmonth(d).cast("string"), F.lit("日"))
+    odd = F.col("o_orderkey") % 2 == 1
+    return t.orders.select("o_orderkey", T.month_day_default(F.when(odd, whole).otherwise(c), F.when(odd, 1900).otherwise(F.year(d))).alias("day"))
+
+
+@query("SELECT c_custkey, c_name || '|' || c_mktsegment AS names, sha256(c_name) AS id FROM customer")
+def clean_names(t):
+    c = F.array(F.concat("c_name", F.lit(" 君")), F.concat(F.lit("　"), "c_mktsegment", F.lit("君")), F.lit(" 君"), F.col("c_name"))
+    return t.customer.select(KEY, F.array_join(T.clean_names(c), "|").alias("names"), T.person_id(F.col("c_name")).alias("id"))
+
+
+@query("""
+SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN 'unknown' ELSE CAST(p_size AS VARCHAR) END || CASE WHEN p_partkey % 3 = 0 THEN '-san_law-' ELSE '-other_kind-' END
+|| CASE WHEN p_partkey % 2 = 0 THEN CAST(p_partkey AS VARCHAR) ELSE CASE WHEN p_partkey % 7 = 0 THEN 'unknown' ELSE 'kessan' END || '-' || left(sha1(p_name), 8) END AS id FROM part""")
+def bill_id(t):
+    k = F.col("p_partkey")
+    category, sub = F.when(k % 3 == 0, "参法").otherwise("Other Kind"), F.when(k % 7 != 0, "決算")
+    return t.part.select("p_partkey", T.bill_id(category, F.when(k % 5 != 0, F.col("p_size")), F.when(k % 2 == 0, k), F.concat(F.lit(" "), "p_name"), sub).alias("id"))
+
+
 @query("SELECT event_id, strftime(ts, '%H:%M') AS clock FROM events")
 def clock_time(t):
     h, m = F.hour("ts"), F.minute("ts")
@@ -226,6 +250,25 @@ def entity_index(t):
     return entity.entity_index(_relations(t), ["bill", "question", "petition", "attendance", "speech"]).withColumn("names", F.array_join("names", "|"))
 
 
+@query("""
+WITH r AS (SELECT DISTINCT 'p' || c_custkey % 700 AS person_key, 'bill' AS type, c_nationkey AS e FROM customer
+UNION SELECT 'p' || s_suppkey % 700, 'question', s_nationkey FROM supplier UNION SELECT 'p' || o_custkey % 700, 'petition', o_orderkey FROM orders
+UNION SELECT 'p' || l_suppkey % 700, 'attendance', l_orderkey FROM lineitem UNION SELECT 'p' || user_id % 700, 'speech', event_id FROM events)
+SELECT person_key, coalesce(string_agg(CAST(e AS VARCHAR), ',' ORDER BY e) FILTER (WHERE type = 'bill'), '') AS bill, coalesce(string_agg(CAST(e AS VARCHAR), ',' ORDER BY e) FILTER (WHERE type = 'petition'), '') AS petition,
+coalesce(string_agg(CAST(e AS VARCHAR), ',' ORDER BY e) FILTER (WHERE type = 'attendance'), '') AS attendance FROM r GROUP BY 1""")
+def entity_relations(t):
+    types = ["bill", "petition", "attendance"]
+    x = entity.entity_relations(_relations(t), types, ["entity_id"], ["entity_id"])
+    return x.select("person_key", *[F.array_join(F.transform(k, lambda r: r["entity_id"].cast("string")), ",").alias(k) for k in types])
+
+
+@query("""
+SELECT o_custkey, CASE WHEN o_orderkey % 7 <> 0 THEN CAST(year(o_orderdate) AS INTEGER) END AS session, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS items FROM orders GROUP BY 1, 2""")
+def group_by_session(t):
+    x = t.orders.withColumn("session", F.when(F.col("o_orderkey") % 7 != 0, F.year("o_orderdate")))
+    return serve.group_by_session(x, ["o_custkey"], "session", "o_orderkey", "o_orderkey").withColumn("items", F.array_join(F.transform("items", lambda i: i.cast("string")), ","))
+
+
 @query("SELECT l_partkey, string_agg(DISTINCT CAST(year(l_shipdate) AS VARCHAR), ',' ORDER BY CAST(year(l_shipdate) AS VARCHAR)) AS sessions, CAST(count(DISTINCT year(l_shipdate)) AS INTEGER) AS n FROM lineitem GROUP BY 1")
 def entity_history(t):
     x = entity.history(t.lineitem.withColumn("y", F.year("l_shipdate")).withColumn("v", F.lit(1)), "l_partkey", "y", "v")

@@ -1,9 +1,11 @@
 import datetime as dt
+import hashlib
 
 import pytest
 from pyspark.sql import functions as F
 
 from minutesmith.functions import text as T
+from minutesmith.operators import serve
 
 CASES = [
     (T.kanji_number, "二十三", 23), (T.kanji_number, "百", 100), (T.kanji_number, "千二百三十四", 1234), (T.kanji_number, "二〇二四", 2024), (T.kanji_number, "１２", 12),
@@ -31,3 +33,17 @@ def test_structs(spark):
 def test_near_date(spark):
     d = spark.createDataFrame([("十二月二十八日", dt.date(2026, 1, 20))], "x string, r date")
     assert d.select(T.month_day_near(F.col("x"), F.col("r"))).first()[0] == dt.date(2025, 12, 28)
+
+
+def test_names_ids_default_year(spark):
+    d = spark.createDataFrame([(["山田 太郎君", "", "山田 太郎", None, "鈴木君外一名"], "十二月 十六日", "令和八年二月三日", "二月三十日")], "n array<string>, a string, b string, c string")
+    day = [T.month_day_default(F.col(x), F.lit(2024)) for x in "abc"]
+    bill = T.bill_id(F.lit("決算"), F.lit(None).cast("int"), F.lit(None).cast("int"), F.lit(" 題 "), F.lit(None).cast("string"))
+    r = d.select(T.clean_names(F.col("n")), *day, bill, T.person_id(F.lit("山田"))).first()
+    assert tuple(r[:4]) == (["山田 太郎", "鈴木外一名"], dt.date(2024, 12, 16), dt.date(2026, 2, 3), None)
+    assert r[4] == "unknown-settlement-unknown-" + hashlib.sha1("題".encode()).hexdigest()[:8] and r[5] == hashlib.sha256("山田".encode()).hexdigest()
+
+
+def test_sessions_newest_first(spark):
+    d = spark.createDataFrame([("p", 1, 1, "a"), ("p", None, 2, "b"), ("p", 3, 4, "d"), ("p", 3, 3, "c")], "k string, s int, o int, x string")
+    assert [(r.s, r["items"]) for r in serve.group_by_session(d, ["k"], "s", "o", "x").collect()] == [(3, ["c", "d"]), (1, ["a"]), (None, ["b"])]
