@@ -1,12 +1,17 @@
 """Operator 1: BPE encoding and decoding by tree concatenation.
 
-Text without a split point (one very long pre-token) is cut into leaves that are encoded in parallel. Neighbours are
-joined pairwise: the tokens around the join are re-encoded in a window that doubles until its outermost tokens are
+A text is cut at white space into runs, each run by the vocabulary's own normaliser and pre-tokenizer into pre-tokens.
+A pre-token is cut into leaves of at most ``LEAF`` symbols; leaves are encoded each for itself, and neighbours are joined
+pairwise, as a tree: the tokens around a join are encoded anew in a window that doubles until its outermost tokens are
 those that both sides already had. A token sequence is the encoding of its text exactly if every adjacent pair is, so
-agreement on the two outermost tokens proves the joined sequence exact.
+agreement on the outermost tokens proves the joined sequence exact. Nothing in this depends on how long a text is; leaves
+of texts with over ``LONG_CHARS`` characters are only dealt to many tasks, and the same joins meet them again.
 
-Defined results: null text counts as empty; an empty text has no ids; repeated rows and repeated ids each give a row;
-other columns of the input are not read and may have any name.
+Runs that come again are looked up: each worker keeps a bounded table of runs and their ids.
+
+Defined results: null text counts as empty; an empty text has no ids; the strings of special tokens give their ids, as
+the library does it; repeated rows and repeated ids each give a row; an empty table gives none; other columns of the
+input are not read and may have any name. Texts may be of any length.
 """
 
 from __future__ import annotations
@@ -14,7 +19,6 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-import unicodedata
 from array import array
 from collections.abc import Iterator
 
@@ -22,13 +26,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import lean
+
 VOCABULARY = "word_bpe_49k.json"
-#: Pre-tokens over this many symbols are encoded as a tree of leaves.
-LEAF = 512
-#: Texts over this many characters are cut into rows, encoded apart and joined again.
+#: Symbols in a leaf of the tree.
+LEAF = 12
+#: Texts over this many characters are dealt to several tasks, in rows of about ``PIECE_CHARS``.
 LONG_CHARS = 1 << 20
 PIECE_CHARS = 1 << 16
-CACHE = 400_000
+#: Runs that a worker keeps, twice (a younger and an older table); longer runs than ``KEPT_CHARS`` aren't kept.
+CACHE = 100_000
+KEPT_CHARS = 64
+#: White space as the vocabulary's patterns know it (Python's own has four more control characters).
+SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def vocabulary_path(path: str | None) -> str:
@@ -39,52 +49,35 @@ def vocabulary_path(path: str | None) -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
-def byte_letters() -> list[str]:
-    """The letter that byte-level vocabularies write for each byte: itself if printable, else from U+0100 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in plain]
-    return [chr(b) if b in plain else chr(256 + rest.index(b)) for b in range(256)]
-
-
 class Encoder:
-    """Encodes whole texts exactly as the tokenizers library does; learns nothing, keeps two bounded caches."""
+    """Encodes whole texts exactly as the tokenizers library does; learns nothing."""
 
-    def __init__(self, path: str | None = None, leaf: int = LEAF):
-        import regex
+    def __init__(self, path: str | None = None, leaf: int = LEAF, strings: bool = True):
         from tokenizers import Tokenizer, models
 
         path = vocabulary_path(path)
-        self.lib = Tokenizer.from_file(path)
-        self.lib.no_truncation()
-        self.lib.no_padding()
-        self.model, self.leaf = self.lib.model, leaf
+        lib = Tokenizer.from_file(path)
+        self.model, self.leaf, self.strings = lib.model, leaf, strings
+        self.normal, self.pretokens = lib.normalizer.normalize_str, lib.pre_tokenizer.pre_tokenize_str
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         m = spec["model"]
+        self.end = m["end_of_word_suffix"]
         self.inner = models.BPE(vocab=m["vocab"], merges=[tuple(x) for x in m["merges"]])  # symbols inside a word: no end mark
-        self.specials = [t["content"] for t in spec["added_tokens"]]
         self.ids = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        size = max([*m["vocab"].values(), *self.ids.values()]) + 1
-        self.tokens = [""] * size
+        self.tokens = [""] * (max([*m["vocab"].values(), *self.ids.values()]) + 1)
         for t, i in [*m["vocab"].items(), *self.ids.items()]:
             self.tokens[i] = t
-        self.letters = byte_letters()
-        pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.split = regex.compile(pattern).findall
-        self.split_ascii = re.compile(pattern.replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9"), re.ASCII).findall
-        self.odd = re.compile("[\x1c-\x1f]").search  # white space to Python, not to the library
-        self.exotic = re.compile("[^\x00-ɏ]").search
-        self.special = re.compile("(" + "|".join(map(re.escape, self.specials)) + ")").split
-        self.decimal, self.strings = [str(i) for i in range(size)], True
-        self.new, self.old, self.words, self.past = {}, {}, {}, {}
+        self.decimal = [str(i) for i in range(len(self.tokens))]
+        self.special = re.compile("(" + "|".join(map(re.escape, self.ids)) + ")").split
+        self.odd = re.compile("[\x1c-\x1f]").search
+        self.split = re.compile(f"[^{SPACES}]+").findall
+        self.new, self.old = {}, {}
 
     # one pre-token
 
-    def _leaf(self, s: str, last: bool) -> list[int]:
-        return [t.id for t in (self.model if last else self.inner).tokenize(s)] if s else []
-
-    def _text(self, ids: list[int]) -> str:
-        return "".join(self.tokens[i] for i in ids)
+    def encode_leaf(self, symbols: str, last: bool) -> list[int]:
+        return [t.id for t in (self.model if last else self.inner).tokenize(symbols)] if symbols else []
 
     def join(self, left: list[int], right: list[int], last: bool) -> list[int]:
         """The ids of the two sides' text, from the sides' ids; ``last``: the right side ends the word."""
@@ -92,89 +85,70 @@ class Encoder:
         while left and right:
             a, b = left[-k:], right[:k]
             ends = last and k >= len(right)
-            s = self._text(a + b)
-            if ends:
-                s = s.removesuffix("</w>")
-            w = self._leaf(s, ends)
+            s = "".join([self.tokens[i] for i in a + b])
+            w = self.encode_leaf(s.removesuffix(self.end) if ends else s, ends)
             if (k >= len(left) or w[0] == a[0]) and (k >= len(right) or w[-1] == b[-1]):
                 return left[:-k] + w + right[k:]
             k *= 2
         return left + right
 
-    def tree(self, parts: list[list[int]]) -> list[int]:
-        """Join leaves' ids pairwise; the last part ends the word."""
+    def tree(self, parts: list[list[int]], last: bool = True) -> list[int]:
+        """Join neighbours' ids pairwise until one sequence is left; ``last``: the last part ends the word."""
         while len(parts) > 1:
             n = len(parts)
-            parts = [self.join(parts[i], parts[i + 1], i + 2 >= n) if i + 1 < n else parts[i] for i in range(0, n, 2)]
+            parts = [self.join(parts[i], parts[i + 1], last and i + 2 >= n) if i + 1 < n else parts[i] for i in range(0, n, 2)]
         return parts[0] if parts else []
 
-    def leaves(self, symbols: str) -> list[str]:
-        return [symbols[i : i + self.leaf] for i in range(0, len(symbols), self.leaf)]
-
-    def symbols(self, pretoken: str) -> str:
-        return pretoken if pretoken.isascii() and pretoken.isalnum() else "".join(self.letters[b] for b in pretoken.encode())
+    def encode_symbols(self, symbols: str, last: bool = True) -> list[int]:
+        """The ids of a pre-token, or of a stretch inside it, through the tree of its leaves."""
+        leaves = [symbols[i : i + self.leaf] for i in range(0, len(symbols), self.leaf)]
+        return self.tree([self.encode_leaf(x, last and i + 1 == len(leaves)) for i, x in enumerate(leaves)], last)
 
-    def pretokens(self, chunk: str) -> list[str]:
-        return (self.split_ascii if chunk.isascii() else self.split)(chunk)
+    # texts
 
-    @staticmethod
-    def normal(text: str) -> str:
-        """NFC, then each letter in lower case by itself (Python's own lower() looks at a sigma's neighbours)."""
-        text = text if text.isascii() else unicodedata.normalize("NFC", text)
-        return "".join(c.lower() for c in text) if "Σ" in text else text.lower()
+    def runs(self, text: str) -> list[str]:
+        return self.split(text) if self.odd(text) else text.split()
 
-    def word(self, pretoken: str) -> list[int]:
-        e = self.words.get(pretoken)
-        if e is not None:
-            return e
-        e = self.past.get(pretoken)
-        if e is None:
-            s = self.symbols(pretoken)
-            if len(s) <= self.leaf:
-                e = [t.id for t in self.model.tokenize(s)]
-            else:
-                parts = self.leaves(s)
-                return self.tree([self._leaf(p, i + 1 == len(parts)) for i, p in enumerate(parts)])
-        if len(self.words) >= CACHE:
-            self.words, self.past = {}, self.words
-        self.words[pretoken] = e
-        return e
+    def parts(self, text: str) -> Iterator[tuple[bool, str]]:
+        """(is a special token, text) in order."""
+        if "<|" not in text:
+            yield False, text
+            return
+        for p in self.special(text):
+            yield p in self.ids, p
 
-    # texts
+    def words(self, run: str) -> list[str]:
+        """The pre-tokens of a run without white space, as symbols."""
+        return [x[0] for x in self.pretokens(self.normal(run))]
 
-    def _entry(self, ids) -> tuple:
+    def entry(self, ids: list[int]) -> tuple:
         packed = array("I", ids).tobytes()
         return (packed, " ".join([self.decimal[i] for i in ids]), " ".join([self.tokens[i] for i in ids])) if self.strings else (packed,)
 
-    def _miss(self, chunk: str) -> tuple:
-        e = self.old.get(chunk)
+    def _miss(self, run: str) -> tuple:
+        e = self.old.get(run)
         if e is None:
-            if not chunk.isascii() and self.exotic(chunk) and len(chunk) <= self.leaf:
-                e = self._entry(self.lib.encode(chunk, add_special_tokens=False).ids)
-            elif len(parts := self.pretokens(chunk)) == 1:
-                e = self._entry(self.word(parts[0]))
-            else:
-                e = self._entry([i for p in parts for i in self.word(p)])
-        if len(chunk) < 200:
+            e = self.entry([i for w in self.words(run) for i in self.encode_symbols(w)])
+        if len(run) <= KEPT_CHARS:
             if len(self.new) >= CACHE:
                 self.new, self.old = {}, self.new
-            self.new[chunk] = e
+            self.new[run] = e
         return e
 
     def entries(self, text: str) -> list[tuple]:
-        """(ids as bytes, decimal ids, decoded text) of each run between white space, in order."""
-        if "<|" in text and len(parts := self.special(text)) > 1:
-            return [e for p in parts for e in ([self._entry([self.ids[p]])] if p in self.ids else self.entries(p))]
-        if self.odd(text):
-            return [self._entry(self.lib.encode(text, add_special_tokens=False).ids)]
-        out, add, get = [], None, self.new.get
-        add = out.append
-        for chunk in self.normal(text).split():
-            e = get(chunk)
-            if e is None:
-                e = self._miss(chunk)
-                get = self.new.get
-            add(e)
+        """(ids as bytes, decimal ids, decoded text) of each run, in order."""
+        out = []
+        for special, part in self.parts(text):
+            if special:
+                out.append(self.entry([self.ids[part]]))
+                continue
+            get, add = self.new.get, out.append
+            for run in self.runs(part):
+                e = get(run)
+                if e is None:
+                    e = self._miss(run)
+                    get = self.new.get
+                add(e)
         return out
 
     def encode_bytes(self, text: str | None) -> bytes:
@@ -190,16 +164,38 @@ class Encoder:
         """As the library decodes without a decoder: tokens joined by one space, special tokens kept."""
         return " ".join([self.tokens[i] for i in ids])
 
-
-_ENCODERS: dict = {}
+    def pieces(self, text: str, chars: int = PIECE_CHARS) -> Iterator[tuple[str, str]]:
+        """(kind, piece): 'text' ends at white space, 'special' is such a token; 'mid' and 'last' are stretches of one long pre-token."""
+        for special, part in self.parts(text):
+            if special:
+                yield "special", part
+                continue
+            held, size = [], 0
+            for run in self.runs(part):
+                if len(run) <= chars:
+                    held.append(run)
+                    size += len(run)
+                    if size >= chars:
+                        yield "text", " ".join(held)
+                        held, size = [], 0
+                    continue
+                if held:
+                    yield "text", " ".join(held)
+                held, size = [], 0
+                for w in self.words(run):
+                    for i in range(0, len(w), chars):
+                        yield ("last" if i + chars >= len(w) else "mid"), w[i : i + chars]
+            if held:
+                yield "text", " ".join(held)
 
 
 def encoder(path: str | None = None, strings: bool = False) -> Encoder:
-    """One encoder for each worker process and vocabulary; ``strings``: entries also hold decimal ids and decoded text."""
-    if (path, strings) not in _ENCODERS:
-        _ENCODERS[path, strings] = Encoder(path)
-        _ENCODERS[path, strings].strings = strings
-    return _ENCODERS[path, strings]
+    """One encoder for each worker process; ``strings``: entries also hold decimal ids and decoded text."""
+    kept = lean("bpe")
+    if (path, strings) not in kept:
+        kept.clear()
+        kept[path, strings] = Encoder(path, strings=strings)
+    return kept[path, strings]
 
 
 def digest(entries: list[tuple]) -> tuple[int, str, str]:
@@ -208,35 +204,6 @@ def digest(entries: list[tuple]) -> tuple[int, str, str]:
     return n, hashlib.sha256(" ".join([e[1] for e in full]).encode()).hexdigest(), hashlib.sha256(" ".join([e[2] for e in full]).encode()).hexdigest()
 
 
-def _pieces(enc: Encoder, text: str) -> Iterator[tuple[str, str]]:
-    """(kind, piece): 'text' is cut at white space; 'mid' and 'last' are leaves of one long pre-token."""
-    if enc.odd(text) or ("<|" in text and len(enc.special(text)) > 1):
-        yield "text", text
-        return
-    held, size = [], 0
-    for chunk in enc.normal(text).split():
-        if len(chunk) > PIECE_CHARS:
-            for p in enc.pretokens(chunk):
-                s = enc.symbols(p)
-                if len(s) <= PIECE_CHARS:
-                    held.append(p)
-                    continue
-                if held:
-                    yield "text", " ".join(held)
-                held, size = [], 0
-                cuts = [s[i : i + PIECE_CHARS] for i in range(0, len(s), PIECE_CHARS)]
-                for i, c in enumerate(cuts):
-                    yield ("last" if i + 1 == len(cuts) else "mid"), c
-        else:
-            held.append(chunk)
-        size += len(chunk)
-        if size >= PIECE_CHARS:
-            yield "text", " ".join(held)
-            held, size = [], 0
-    if held:
-        yield "text", " ".join(held)
-
-
 def encode_long(df: DataFrame, path: str | None) -> DataFrame:
     """doc_id, ids (binary) of long texts: pieces become rows, are encoded apart, and are joined by document."""
 
@@ -244,25 +211,14 @@ def encode_long(df: DataFrame, path: str | None) -> DataFrame:
         enc = encoder(path)
         for b in batches:
             for rid, doc, text in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
-                for seq, (kind, piece) in enumerate(_pieces(enc, text)):
+                for seq, (kind, piece) in enumerate(enc.pieces(text)):
                     yield pa.RecordBatch.from_pylist([{"rid": rid, "doc_id": doc, "seq": seq, "kind": kind, "piece": piece}], pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("seq", pa.int64()), ("kind", pa.string()), ("piece", pa.string())]))
 
     def code(batches):
-        import numpy as np
-
         enc = encoder(path)
         for b in batches:
             x = b.to_pydict()
-            ids = []
-            for kind, piece in zip(x["kind"], x["piece"], strict=True):
-                if kind == "text":
-                    ids.append(enc.encode_bytes(piece))
-                else:
-                    parts = enc.leaves(piece)
-                    tree = [enc._leaf(p, kind == "last" and i + 1 == len(parts)) for i, p in enumerate(parts)]
-                    while len(tree) > 1:
-                        tree = [enc.join(tree[i], tree[i + 1], kind == "last" and i + 2 >= len(tree)) if i + 1 < len(tree) else tree[i] for i in range(0, len(tree), 2)]
-                    ids.append(np.array(tree[0], "<u4").tobytes())
+            ids = [enc.encode_bytes(piece) if kind in ("text", "special") else array("I", enc.encode_symbols(piece, kind == "last")).tobytes() for kind, piece in zip(x["kind"], x["piece"], strict=True)]
             yield pa.RecordBatch.from_pydict({"rid": x["rid"], "doc_id": x["doc_id"], "seq": x["seq"], "kind": x["kind"], "ids": ids}, pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("seq", pa.int64()), ("kind", pa.string()), ("ids", pa.binary())]))
 
     def join(t: pa.Table) -> pa.Table:
@@ -271,18 +227,19 @@ def encode_long(df: DataFrame, path: str | None) -> DataFrame:
         enc, out, parts = encoder(path), [], []
         x = t.sort_by("seq").to_pydict()
         for kind, ids in zip(x["kind"], x["ids"], strict=True):
-            if kind == "text":
+            if kind in ("text", "special"):
                 out.append(ids)
             else:
                 parts.append(np.frombuffer(ids, "<u4").tolist())
                 if kind == "last":
-                    out.append(np.array(enc.tree(parts), "<u4").tobytes())
+                    out.append(array("I", enc.tree(parts)).tobytes())
                     parts = []
         return pa.Table.from_pydict({"doc_id": [x["doc_id"][0]], "ids": [b"".join(out)]}, pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())]))
 
     rows = df.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     cutup = rows.mapInArrow(cut, "rid long, doc_id long, seq long, kind string, piece string").repartition("rid", "seq")
     coded = cutup.mapInArrow(code, "rid long, doc_id long, seq long, kind string, ids binary")
+    # an empty text has no piece and so no row here, but such a text is never long
     return coded.groupBy("rid").applyInArrow(join, "doc_id long, ids binary")
 
 
@@ -306,7 +263,7 @@ def per_document(df: DataFrame, path: str | None, make, schema: str, long_chars:
         enc = encoder(path, strings)
         for b in batches:
             for doc, ids in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                rows = make(enc, doc, [enc._entry(np.frombuffer(ids, "<u4").tolist())])
+                rows = make(enc, doc, [enc.entry(np.frombuffer(ids, "<u4").tolist())])
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), arrow.types, strict=True)], schema=arrow)
 
     size = F.length("text")
