@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,11 +30,15 @@ def scratch_dir(spark: SparkSession) -> str:
 class Scratch:
     """Tables written to the shared folder: they cut lineage and survive lost executors.
 
-    ``drop`` deletes the ones that no returned plan reads any more.
+    ``drop`` deletes the ones that no returned plan reads any more; the others go when the application ends.
     """
 
     def __init__(self, spark: SparkSession):
         self.spark, self.root, self.paths = spark, f"{scratch_dir(spark)}/minutesmith-{uuid.uuid4().hex}", {}
+        p = spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(p)
+        fs.deleteOnExit(p)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
@@ -47,9 +53,27 @@ class Scratch:
             p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def small_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Bound the rows of an Arrow batch: whole texts are long, and a batch is held in a task's memory."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def small_batches(spark: SparkSession, mb: int = 2) -> None:
+    """Bound the bytes of an Arrow batch: texts may be long, and a batch is held in a task's memory.
+
+    Plans read the setting when they run, after a query has returned, so it stays set for the session; it never changes a
+    result.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(mb << 20))
+
+
+_HELD: dict = {}
+
+
+def lean(owner: str = "") -> dict:
+    """Called as a task of an operator begins: what other operators keep in this worker process goes, and freed memory
+    is handed back, for workers live on through all stages of a job. Returns what ``owner`` keeps between its tasks."""
+    for name in [k for k in _HELD if k != owner]:
+        del _HELD[name]
+    pa.default_memory_pool().release_unused()
+    if hasattr(ctypes.CDLL(None), "malloc_trim"):
+        ctypes.CDLL(None).malloc_trim(0)
+    return _HELD.setdefault(owner, {}) if owner else {}
 
 
 def ascii_lower(c: Column) -> Column:
@@ -68,9 +92,9 @@ def maybe_in(keys: DataFrame, bits: int = 1 << 24):
     """A test on 64-bit columns: true for every value in the one column of ``keys``, and for few others.
 
     It is a bitmap of fixed size that tasks fill chunk by chunk, so it may be sent to all tasks whatever ``keys`` holds.
+    Returns the test and the broadcast, which the caller destroys once the rows are written.
     """
     import numpy as np
-    import pyarrow as pa
 
     chunk = 1 << 16
 
@@ -91,4 +115,4 @@ def maybe_in(keys: DataFrame, bits: int = 1 << 24):
         b = bit.to_numpy()
         return pd.Series((sent.value[b >> 3] >> (7 - (b & 7)).astype(np.uint8)) & 1 == 1)
 
-    return lambda c: test(F.pmod(F.xxhash64(c), F.lit(bits)))
+    return (lambda c: test(F.pmod(F.xxhash64(c), F.lit(bits)))), sent

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, fresh, lean
 
 WIDTH = 50
 GRAM = 24
@@ -30,7 +30,9 @@ SHALLOW = 16
 BITS = 1 << 27
 BUCKET_BYTES = 1 << 20
 FLUSH = 400_000
-SUFFIXES = 200_000
+SUFFIXES = 100_000
+#: Bytes of text whose anchors are computed at a time.
+STRETCH = 1 << 19
 NULL_ID = (1 << 63) - 1
 
 
@@ -67,17 +69,30 @@ def gram_hashes(b, gram: int = GRAM):
     return scramble(out)
 
 
-def anchors(b, begin, width: int = WIDTH, gram: int = GRAM):
-    """(anchor hash, document, first window, last window, anchor place): runs of windows of one document with one anchor.
+def anchors(b, begin, width: int = WIDTH, gram: int = GRAM, stretch: int = STRETCH):
+    """(anchor hash, document, first window, last window): runs of windows of one document with one anchor.
 
-    b: the bytes of all texts; begin: where each text begins, and the end.
+    b: the bytes of all texts; begin: where each text begins, and the end. Memory is bounded by ``stretch``, however long
+    the texts are: a run that crosses from one stretch into the next is told as two.
     """
     import numpy as np
 
+    found = []
+    for lo in range(0, max(1, len(b) - width + 1), stretch):
+        hi = min(len(b), lo + stretch + width - 1)
+        d0, d1 = int(np.searchsorted(begin, lo, "right")) - 1, int(np.searchsorted(begin, hi, "left"))
+        h, doc, w0, w1 = _anchors(b[lo:hi], np.clip(begin[max(0, d0) : d1 + 1] - lo, 0, hi - lo), width, gram)
+        found.append((h, doc + max(0, d0), w0 + lo, w1 + lo))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def _anchors(b, begin, width: int, gram: int):
+    import numpy as np
+
     none = np.zeros(0, np.int64)
     span = width - gram + 1
     if len(b) < width:
-        return none.astype(np.uint64), none, none, none, none
+        return none.astype(np.uint64), none, none, none
     v = gram_hashes(b, gram)
     p = np.arange(len(v), dtype=np.int32)
     have = 1
@@ -92,11 +107,11 @@ def anchors(b, begin, width: int = WIDTH, gram: int = GRAM):
     ok = doc[:n] == doc[width - 1 :]
     at = np.flatnonzero(ok)
     if not len(at):
-        return none.astype(np.uint64), none, none, none, none
+        return none.astype(np.uint64), none, none, none
     pa_, da = p[at], doc[at]
     new = np.flatnonzero(np.concatenate([[True], (pa_[1:] != pa_[:-1]) | (da[1:] != da[:-1])]))
     last = np.concatenate([new[1:] - 1, [len(at) - 1]])
-    return v[at[new]], da[new].astype(np.int64), at[new], at[last], pa_[new].astype(np.int64)
+    return v[at[new]], da[new].astype(np.int64), at[new], at[last]
 
 
 def text_bytes(col):
@@ -117,13 +132,17 @@ def _find_shared(docs: DataFrame, buckets: int, width: int, gram: int, bits: int
     own = bits // buckets // 8 * 8
 
     def emit(batches):
+        lean()
         held, size = [], 0
 
         def flush():
             h, d = (np.concatenate(x) for x in zip(*held, strict=True))
             k = ((h >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-            o = np.lexsort((d, k))
-            k, h, d = k[o], h[o].astype(np.uint32), d[o]
+            o = np.lexsort((d, h, k))
+            k, h, d = k[o], h[o], d[o]
+            new = np.concatenate([[True], h[1:] != h[:-1]])
+            ends = new | np.append(new[1:], True)  # of an anchor's documents the smallest and the largest are enough
+            k, h, d = k[ends], h[ends].astype(np.uint32), d[ends]
             first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
             end = np.append(first[1:], len(k))
             rows = [(int(k[i]), h[i:j].tobytes(), d[i:j].tobytes()) for i, j in zip(first, end, strict=True)]
@@ -131,7 +150,7 @@ def _find_shared(docs: DataFrame, buckets: int, width: int, gram: int, bits: int
 
         for b in batches:
             text, begin = text_bytes(b.column(2))
-            h, doc, _, _, _ = anchors(text, begin, width, gram)
+            h, doc, _, _ = anchors(text, begin, width, gram)
             if len(h):
                 ids = b.column(0).to_numpy()[doc]
                 held.append((h, ids))
@@ -169,7 +188,7 @@ def sort_classes(text, start, width: int, shallow: int = SHALLOW):
 
     n, words = len(start), -(-width // 8)
     grid = np.zeros((n, words * 8), np.uint8)
-    grid[:, :width] = text[start[:, None] + np.arange(width)]
+    grid[:, :width] = np.lib.stride_tricks.sliding_window_view(text, width)[start]
     w = grid.view(">u8").astype(np.uint64)
     # shallow: refine groups word by word
     order, group = np.arange(n), np.zeros(n, np.int64)
@@ -264,22 +283,22 @@ def _sort_some(part, d, s0, begin, size, blob, width: int):
     return c, s0[c] + k[a], s0[c] + k[last] + width
 
 
-def _cover(docs: DataFrame, bitmap, own: int, buckets: int, width: int, gram: int) -> DataFrame:
-    """doc_id, rk, spans: intervals of repeated bytes (int32 pairs), some rows for each document that has any."""
-    held = docs.sparkSession.sparkContext.broadcast(bitmap)
+def _cover(docs: DataFrame, held, own: int, buckets: int, width: int, gram: int) -> DataFrame:
+    """doc, rk, a, z: intervals of repeated bytes, some rows for each document that has any."""
 
     def emit(batches):
         import numpy as np
         import zstandard
 
+        lean()
         pack = zstandard.ZstdCompressor(level=1).compress
         bits = held.value
         stock, size = [], 0
 
         def flush():
-            cols = [np.concatenate([x[i] for x in stock]) for i in range(7)]
-            k, h, doc, rk, s0, n, src = cols
-            texts = np.concatenate([x[7] for x in stock])
+            k, h, doc, rk, s0, n = (np.concatenate([x[i] for x in stock]) for i in range(6))
+            texts = np.concatenate([x[6] for x in stock])
+            begin = np.cumsum(n) - n
             o = np.lexsort((h, k))
             k = k[o]
             first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
@@ -287,27 +306,26 @@ def _cover(docs: DataFrame, bitmap, own: int, buckets: int, width: int, gram: in
             for i, j in zip(first, np.append(first[1:], len(k)), strict=True):
                 x = o[i:j]
                 m = n[x]
-                idx = np.repeat(src[x] - (np.cumsum(m) - m), m) + np.arange(m.sum())
+                idx = np.repeat(begin[x] - (np.cumsum(m) - m), m) + np.arange(m.sum())
                 rows.append((int(k[i]), h[x].astype(np.uint32).tobytes(), doc[x].tobytes(), rk[x].tobytes(), s0[x].astype(np.int32).tobytes(), m.astype(np.uint8).tobytes(), pack(texts[idx].tobytes())))
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), *[pa.binary()] * 6), strict=True)], names=["bucket", "h", "doc", "rk", "s0", "size", "blob"])
 
         for b in batches:
             text, begin = text_bytes(b.column(2))
-            h, doc, w0, w1, _ = anchors(text, begin, width, gram)
+            h, doc, w0, w1 = anchors(text, begin, width, gram)
             if not len(h):
                 continue
             k = ((h >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
             bit = k * own + (h & np.uint64(0xFFFFFFFF)).astype(np.int64) % own
-            hit = (bits[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1 == 1
-            if not hit.any():
-                continue
-            k, h, doc, w0, w1 = k[hit], h[hit], doc[hit], w0[hit], w1[hit]
-            shift = sum(len(x[7]) for x in stock)
-            stock.append((k, h, b.column(0).to_numpy()[doc], b.column(1).to_numpy()[doc], w0 - begin[doc], w1 - w0 + width, w0 + shift, text.copy()))
-            size += len(h)
-            if size >= FLUSH // 4 or shift > (64 << 20):
-                yield flush()
-                stock, size = [], 0
+            hit = np.flatnonzero((bits[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1 == 1)
+            for at in np.array_split(hit, -(-len(hit) // (FLUSH // 4))) if len(hit) else ():
+                n = w1[at] - w0[at] + width
+                idx = np.repeat(w0[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                stock.append((k[at], h[at], b.column(0).to_numpy()[doc[at]], b.column(1).to_numpy()[doc[at]], w0[at] - begin[doc[at]], n, text[idx]))
+                size += len(at)
+                if size >= FLUSH // 4:
+                    yield flush()
+                    stock, size = [], 0
         if stock:
             yield flush()
 
@@ -338,20 +356,20 @@ def merge(spans):
     return out
 
 
-def repeated_spans(df: DataFrame, s: Scratch, width: int = WIDTH, gram: int = GRAM, bits: int = BITS) -> tuple[DataFrame, DataFrame]:
-    """(every row's columns with doc, rk, text; doc, rk, spans of the documents that lose bytes)."""
-    ranked = df.withColumns({"_doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), "_text": F.coalesce(F.col("text").cast("string"), F.lit(""))}).withColumn("_rk", F.xxhash64("_text"))
-    docs = ranked.select(F.col("_doc").alias("doc"), F.col("_rk").alias("rk"), F.col("_text").alias("text"))
+def _with_spans(df: DataFrame, width: int, gram: int, bits: int) -> tuple[DataFrame, str, str]:
+    """(the columns of ``df``, the text without nulls, and the spans to remove), and the names of the last two."""
+    s = Scratch(df.sparkSession)
+    doc, rk, text, spans = (fresh(df, n) for n in ("_doc", "_rk", "_text", "_spans"))
+    ranked = df.withColumns({doc: F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), text: F.coalesce(F.col("text").cast("string"), F.lit(""))}).withColumn(rk, F.xxhash64(text))
+    docs = ranked.select(F.col(doc).alias("doc"), F.col(rk).alias("rk"), F.col(text).alias("text"))
     total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     buckets = max(16, min(1 << 20, total // BUCKET_BYTES))
     bitmap, own = _find_shared(docs, buckets, width, gram, bits)
-    cover = s.keep(_cover(docs, bitmap, own, buckets, width, gram), "cover")
-    return ranked, cover.groupBy("doc", "rk").agg(F.collect_set(F.struct("a", "z")).alias("spans"))
-
-
-def _with_spans(df: DataFrame, width: int, gram: int, bits: int) -> DataFrame:
-    ranked, spans = repeated_spans(df, Scratch(df.sparkSession), width, gram, bits)
-    return ranked.join(spans.select(F.col("doc").alias("_doc"), F.col("rk").alias("_rk"), F.col("spans").alias("_spans")), ["_doc", "_rk"], "left")
+    held = df.sparkSession.sparkContext.broadcast(bitmap)
+    cover = s.keep(_cover(docs, held, own, buckets, width, gram), "cover")
+    held.destroy()
+    found = cover.groupBy(F.col("doc").alias(doc), F.col("rk").alias(rk)).agg(F.collect_set(F.struct("a", "z")).alias(spans))
+    return ranked.join(found, [doc, rk], "left"), text, spans
 
 
 def _cut(text: str, spans) -> tuple[bytes, int, int, int]:
@@ -370,23 +388,25 @@ def suffix_dedup(df: DataFrame, width: int = WIDTH, gram: int = GRAM, bits: int
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
 
     def run(batches):
+        lean()
         for b in batches:
             out = [_cut(t, x) for t, x in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.int64()), pa.array([x[3] for x in out], pa.int64()), pa.array([hashlib.sha256(x[0]).hexdigest() for x in out], pa.string())], schema=schema)
 
-    rows = _with_spans(df, width, gram, bits).select(F.col("doc_id").cast("long").alias("doc_id"), "_text", "_spans")
-    return rows.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    rows, text, spans = _with_spans(df, width, gram, bits)
+    return rows.select(F.col("doc_id").cast("long").alias("doc_id"), text, spans).mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def remove_repeats(df: DataFrame, width: int = WIDTH, gram: int = GRAM, bits: int = BITS) -> DataFrame:
     """The columns of ``df`` with repeated bytes cut out of text. A character of which a byte goes, goes whole."""
 
     def run(batches):
+        lean()
         for b in batches:
             at = b.schema.get_field_index("text")
             text = [None if t is None else _cut(t, x)[0].decode("utf-8", "ignore") for t, x in zip(b.column(at).to_pylist(), b.column(b.num_columns - 1).to_pylist(), strict=True)]
             keep = [i for i in range(b.num_columns) if i < b.num_columns - 1]
             yield pa.RecordBatch.from_arrays([pa.array(text, pa.string()) if i == at else b.column(i) for i in keep], names=[b.schema.names[i] for i in keep])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    return _with_spans(df, width, gram, bits).select(*df.columns, "_spans").mapInArrow(run, schema)
+    rows, _, spans = _with_spans(df, width, gram, bits)
+    return rows.select(*df.columns, spans).mapInArrow(run, df.schema)
