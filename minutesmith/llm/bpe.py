@@ -34,8 +34,8 @@ LEAF = 12
 #: Texts over this many characters are dealt to several tasks, in rows of about ``PIECE_CHARS``.
 LONG_CHARS = 1 << 20
 PIECE_CHARS = 1 << 16
-#: Runs that a worker keeps, twice (a younger and an older table); longer runs than ``KEPT_CHARS`` aren't kept.
-CACHE = 100_000
+#: Runs, and pre-tokens, that a worker keeps, twice (a younger and an older table); longer ones than ``KEPT_CHARS`` aren't kept.
+CACHE = 150_000
 KEPT_CHARS = 64
 #: White space as the vocabulary's patterns know it (Python's own has four more control characters).
 SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -72,7 +72,10 @@ class Encoder:
         self.special = re.compile("(" + "|".join(map(re.escape, self.ids)) + ")").split
         self.odd = re.compile("[\x1c-\x1f]").search
         self.split = re.compile(f"[^{SPACES}]+").findall
+        pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
+        self.plain = re.compile(pattern.replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9"), re.ASCII).findall
         self.new, self.old = {}, {}
+        self.young, self.aged = {}, {}
 
     # one pre-token
 
@@ -118,17 +121,31 @@ class Encoder:
             yield p in self.ids, p
 
     def words(self, run: str) -> list[str]:
-        """The pre-tokens of a run without white space, as symbols."""
+        """The pre-tokens of a run without white space, as symbols; printable ASCII stands for itself once it is in lower case."""
+        if run.isascii() and run.isprintable():
+            return self.plain(run.lower())
         return [x[0] for x in self.pretokens(self.normal(run))]
 
     def entry(self, ids: list[int]) -> tuple:
         packed = array("I", ids).tobytes()
         return (packed, " ".join([self.decimal[i] for i in ids]), " ".join([self.tokens[i] for i in ids])) if self.strings else (packed,)
 
+    def word(self, symbols: str) -> list[int]:
+        """A pre-token's ids, looked up if it was seen before."""
+        e = self.young.get(symbols)
+        if e is None:
+            e = self.aged.get(symbols) or self.encode_symbols(symbols)
+            if len(symbols) <= KEPT_CHARS:
+                if len(self.young) >= CACHE:
+                    self.young, self.aged = {}, self.young
+                self.young[symbols] = e
+        return e
+
     def _miss(self, run: str) -> tuple:
         e = self.old.get(run)
         if e is None:
-            e = self.entry([i for w in self.words(run) for i in self.encode_symbols(w)])
+            words = self.words(run)
+            e = self.entry(self.word(words[0]) if len(words) == 1 else [i for w in words for i in self.word(w)])
         if len(run) <= KEPT_CHARS:
             if len(self.new) >= CACHE:
                 self.new, self.old = {}, self.new
