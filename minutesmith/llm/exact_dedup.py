@@ -4,8 +4,8 @@ Every normalised text is cut into blocks of ``BLOCK`` bytes. Equal blocks get on
 pairs are named again, until each document has one name. Documents of equal byte length have equal texts exactly if
 their last names are equal: no fingerprint decides, so there are no collisions.
 
-How names are given: distinct blocks are grouped (each text byte is shuffled once) and written in the sorted order of
-each partition with consecutive integers. A block finds its name by a 64-bit key of its content; where two different
+How names are given: distinct blocks are grouped (each text byte is shuffled once), sorted within their partition and
+numbered in that order with consecutive integers. A block finds its name by a 64-bit key of its content; where two different
 blocks share a key, those blocks are named by content instead (``collided``), so the outcome is exact at any key width.
 Joins back to the names read written tables on both sides, so that adaptive execution can split a name that a third of
 all rows carry.
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from .common import Scratch, ascii_lower, fresh
 
 BLOCK = 4096
+BITS = 1 << 24
 
 
 def _blocks(b: str, block: int) -> Column:
@@ -46,7 +47,7 @@ def identities(df: DataFrame, s: Scratch, block: int = BLOCK, key_bits: int = 64
     docs = s.keep(text.select("rid", "doc_id", F.octet_length("b").cast("long").alias("n_bytes"), F.sha2("b", 256).alias("sha"), keys.alias("keys")), "docs")
     blocks = text.select(F.explode(_blocks("b", block)).alias("block"))
     names = s.keep(
-        blocks.groupBy("block").agg(F.count("*").alias("n")).select(_key(F.col("block"), key_bits).alias("key"), F.monotonically_increasing_id().alias("name")),
+        blocks.groupBy("block").agg(F.count("*").alias("n")).sortWithinPartitions("block").select(_key(F.col("block"), key_bits).alias("key"), F.monotonically_increasing_id().alias("name")),
         "names",
     )
     by_key = s.keep(names.groupBy("key").agg(F.min("name").alias("name"), F.count("*").alias("n")), "by_key")
@@ -65,7 +66,7 @@ def identities(df: DataFrame, s: Scratch, block: int = BLOCK, key_bits: int = 64
             .agg(F.max(F.when(F.col("pos") % 2 == 0, F.col("name"))).alias("l"), F.coalesce(F.max(F.when(F.col("pos") % 2 == 1, F.col("name"))), F.lit(-1)).alias("r")),
             f"pairs{j}",
         )
-        names = s.keep(pairs.groupBy("l", "r").agg(F.count("*").alias("n")).select("l", "r", F.monotonically_increasing_id().alias("name")), f"names{j}")
+        names = s.keep(pairs.groupBy("l", "r").agg(F.count("*").alias("n")).sortWithinPartitions("l", "r").select("l", "r", F.monotonically_increasing_id().alias("name")), f"names{j}")
         level = s.keep(pairs.join(names, ["l", "r"]).select("rid", "n_blocks", "pos", "name"), f"level{j}")
         s.drop(f"pairs{j}", f"names{j}")
         done.append(level.where(F.col("n_blocks") <= (1 << j)).select("rid", "name"))
@@ -107,8 +108,17 @@ def keep_first_of_copies(df: DataFrame, block: int = BLOCK) -> DataFrame:
     s = Scratch(df.sparkSession)
     gone = s.keep(found.where(~F.col("kept")).select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("d"), "text_sha256", (~F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("other")), "gone")
     rows = df.withColumn(key, F.sha2(F.encode(ascii_lower(F.coalesce(F.col("text").cast("string"), F.lit(""))), "UTF-8"), 256))
-    lost = gone.where("other").dropDuplicates()
-    rows = rows.join(lost, (low == lost["d"]) & (F.col(key) == lost["text_sha256"]), "left_anti")
+    lost = gone.where("other").select("d", "text_sha256").dropDuplicates()
+    # a bitmap of fixed size (``BITS`` in words of 64, so at most BITS / 64 rows) goes to all tasks: only rows that may be
+    # lost are shuffled with their texts
+    bit, word = fresh(df, "_bit"), fresh(df, "_word")
+    place = F.pmod(F.xxhash64("d", "text_sha256"), F.lit(BITS))
+    marks = lost.select(place.alias("b")).groupBy(F.shiftright("b", 6).alias(word)).agg(F.bit_or(F.expr("shiftleft(1L, cast(b % 64 as int))")).alias(bit))
+    at = F.pmod(F.xxhash64(low, F.col(key)), F.lit(BITS))
+    rows = rows.withColumn(word, F.shiftright(at, 6)).join(F.broadcast(s.keep(marks, "marks")), word, "left")
+    rows = rows.withColumn(bit, F.getbit(F.coalesce(bit, F.lit(0).cast("long")), (at % 64).cast("int")))
+    unsure = rows.where(F.col(bit) == 1).join(lost, (low == lost["d"]) & (F.col(key) == lost["text_sha256"]), "left_anti")
+    rows = rows.where(F.col(bit) == 0).unionByName(unsure)
     if gone.where("not other").limit(1).count():  # the winning id itself repeats
         rows = rows.dropDuplicates(["doc_id", key])
     return rows.select(*df.columns)
