@@ -34,21 +34,20 @@ def without_space(c: Column) -> Column:
 
 def agenda_prefix(c: Column) -> Column:
     """Leading circles, item numbering and order-of-the-day marks go."""
-    c = F.regexp_replace(normalize_text(c), "^○+", "")
-    c = F.regexp_replace(c, "^一、", "")
-    return F.trim(F.regexp_replace(F.trim(c), f"^日程第{NUMBER}(及び第{NUMBER})*", ""))
+    n = "[一二三四五六七八九十百千0-9０-９]+"
+    c = F.regexp_replace(normalize_text(c), "^○*(?:[一二三四五六七八九十百千]+、)?", "")
+    return F.trim(F.regexp_replace(c, f"^日程第{n}(及び第{n})*", ""))
 
 
 def bill_title_key(c: Column) -> Column:
     """A bill's title without its submission notes, explanation marks and white space."""
-    c = F.regexp_replace(agenda_prefix(c), "（[^（）]*(提出|衆法|参法|閣法)[^（）]*）", "")
-    c = F.regexp_replace(c, "（趣旨説明）|趣旨説明|（予）", "")
+    c = F.regexp_replace(agenda_prefix(c), "（[^）]*(提出|衆法|参法|閣法)[^）]*）|（趣旨説明）|（予）", "")
     return without_space(c)
 
 
 def petition_title_key(c: Column) -> Column:
-    c = F.regexp_replace(agenda_prefix(c), f"外{NUMBER}件の請願", "請願")
-    return without_space(F.regexp_replace(c, "（第[^（）]*号[^（）]*）", ""))
+    c = F.regexp_replace(agenda_prefix(c), "外[〇零一二三四五六七八九十百千0-9０-９]+件の請願$", "請願")
+    return without_space(F.regexp_replace(c, "（第[^）]*号[^）]*）", ""))
 
 
 def strip_honorific(c: Column) -> Column:
@@ -82,61 +81,91 @@ def parse_int(c: Column) -> Column:
 
 
 def kanji_number(c: Column) -> Column:
-    """Arabic, positional kanji, unit kanji, or 元; null for anything else."""
+    """Arabic, positional kanji, unit kanji, or 元; null for anything else, Arabic and kanji mixed among it."""
     t = narrow_digits(normalize_text(c))
     digit = F.translate(t, "".join(NUMERALS), "".join(map(str, NUMERALS.values())))
-    parts = F.filter(F.split(digit, ""), lambda x: x != "")
-    zero = F.struct(F.lit(0).alias("sum"), F.lit(-1).alias("now"))
+    zero = F.struct(F.lit(0).alias("sum"), F.lit(0).alias("now"))
 
     def step(acc, x):
         unit = F.try_element_at(lookup(UNITS), x)
-        here = F.when(acc["now"] < 0, 1).otherwise(acc["now"])
-        num = F.when(acc["now"] < 0, 0).otherwise(acc["now"] * 10) + x.try_cast("int")
-        return F.when(unit.isNotNull(), F.struct((acc["sum"] + here * unit).alias("sum"), F.lit(-1).alias("now"))).otherwise(F.struct(acc["sum"].alias("sum"), num.alias("now")))
+        grown = F.struct((acc["sum"] + F.greatest(acc["now"], F.lit(1)) * unit).alias("sum"), F.lit(0).alias("now"))
+        return F.when(unit.isNotNull(), grown).otherwise(F.struct(acc["sum"].alias("sum"), x.try_cast("int").alias("now")))
 
-    units = F.aggregate(parts, zero, step, lambda a: a["sum"] + F.greatest(a["now"], F.lit(0)))
-    return F.when(t == "元", 1).when(digit.rlike("^[0-9]+$"), digit.try_cast("int")).when(digit.rlike("^[0-9十百千]+$"), units)
+    units = F.aggregate(F.filter(F.split(digit, ""), lambda x: x != ""), zero, step, lambda a: a["sum"] + a["now"])
+    plain = t.rlike("^([0-9]+|[〇零一二三四五六七八九]+)$")
+    return F.when(t == "元", 1).when(plain, digit.try_cast("int")).when(t.rlike("^[〇零一二三四五六七八九十百千]+$"), units)
 
 
 def _date(y: Column, m: Column, d: Column) -> Column:
     return F.when(y.isNotNull() & m.isNotNull() & d.isNotNull(), F.try_to_timestamp(F.format_string("%04d-%02d-%02d", y, m, d), F.lit("yyyy-MM-dd")).cast("date"))
 
 
+def small_numbers(c: Column) -> Column:
+    """Text in which kanji numerals below a hundred, and 元, are digits: one pass of replacements, no numeral by numeral reading.
+
+    Where digits stand beside a ten, the numeral is neither, and it stays as it is.
+    """
+    t = F.regexp_replace(narrow_digits(without_space(c)), "(?<![〇零一二三四五六七八九十百千0-9])元(?=年)", "1")
+    t = F.regexp_replace(t, "(?<![0-9〇零一二三四五六七八九十百千])十(?![0-9百千])", "一十")
+    t = F.regexp_replace(t, "(?<=[一二三四五六七八九])十(?![0-9〇零一二三四五六七八九十百千])", "〇")
+    t = F.regexp_replace(t, "(?<=[一二三四五六七八九])十(?=[一二三四五六七八九])", "")
+    return F.translate(t, "".join(NUMERALS), "".join(map(str, NUMERALS.values())))
+
+
+def bound(c: Column, f) -> Column:
+    """f(c), with ``c`` worked out once however often ``f`` uses it."""
+    return F.transform(F.array(c), f)[0]
+
+
+WESTERN = "[0-9]{4}年[0-9]{1,2}月[0-9]{1,2}日"
+
+
 def era_date(c: Column) -> Column:
     """A western date if there is one, else an era date; null for placeholders and impossible days."""
-    t = without_space(c)
-    west = "([0-9０-９]{4})年([0-9０-９]+)月([0-9０-９]+)日"
-    east = f"({'|'.join(ERAS)})({NUMBER})年({NUMBER})月({NUMBER})日"
-    g = lambda p, i: F.regexp_extract(t, p, i)
-    w = _date(*(narrow_digits(g(west, i)).try_cast("int") for i in (1, 2, 3)))
-    e = _date(F.try_element_at(lookup(ERAS), g(east, 1)) + kanji_number(g(east, 2)), kanji_number(g(east, 3)), kanji_number(g(east, 4)))
-    return F.when(t.rlike(west), w).otherwise(e)
+    west = F.regexp_extract(narrow_digits(without_space(c)), WESTERN, 0)
+    east = F.regexp_extract(small_numbers(c), f"({'|'.join(ERAS)})[0-9]+年[0-9]+月[0-9]+日", 0)
+
+    def read(m):
+        base = F.when(m.rlike("^[0-9]"), 0).otherwise(F.try_element_at(lookup(ERAS), F.substring(m, 1, 2)))
+        p = F.split(F.regexp_replace(m, "^[^0-9]+", ""), "[年月日]")
+        return _date(base + p[0].try_cast("int"), F.try_element_at(p, F.lit(2)).try_cast("int"), F.try_element_at(p, F.lit(3)).try_cast("int"))
+
+    return bound(F.coalesce(blank_to_null(west), blank_to_null(east)), read)
+
+
+def _month_day(c: Column) -> Column:
+    """[month, day] of the first such pair, null without one."""
+    m = F.regexp_extract(small_numbers(c), "(?<![0-9])[0-9]{1,2}月[0-9]{1,2}日", 0)
+    return F.transform(F.slice(F.split(blank_to_null(m), "[月日]"), 1, 2), lambda x: x.try_cast("int"))
 
 
 def month_day_near(c: Column, reference: Column) -> Column:
     """Month and day in the year nearest to the reference date; ties: the same year, then the one before."""
-    p = f"({NUMBER})月({NUMBER})日"
-    t = without_space(c)
-    m, d = kanji_number(F.regexp_extract(t, p, 1)), kanji_number(F.regexp_extract(t, p, 2))
-    options = F.array(*[F.struct(F.abs(F.datediff(_date(F.year(reference) + k, m, d), reference)).alias("gap"), F.lit(o).alias("o"), _date(F.year(reference) + k, m, d).alias("day")) for o, k in enumerate((0, -1, 1))])
-    return F.try_element_at(F.array_sort(F.filter(options, lambda x: x["day"].isNotNull())), F.lit(1))["day"]
+
+    def nearest(p):
+        days = F.transform(F.array(F.lit(0), F.lit(-1), F.lit(1)), lambda k, i: F.struct(i.alias("o"), _date(F.year(reference) + k, p[0], p[1]).alias("day")))
+        options = F.transform(F.filter(days, lambda x: x["day"].isNotNull()), lambda x: F.struct(F.abs(F.datediff(x["day"], reference)).alias("gap"), x["o"], x["day"].alias("day")))
+        return F.array_min(options)["day"]
+
+    return bound(_month_day(c), nearest)
 
 
 def month_day_default(c: Column, year: Column) -> Column:
     """A whole date if there is one, else month and day in the default year; null for impossible days."""
-    n = "([0-9０-９]{1,2}|[〇零一二三四五六七八九十]+)"
-    t = normalize_text(c)
-    m, d = (kanji_number(F.regexp_extract(t, f"{n} ?月 ?{n} ?日", i)) for i in (1, 2))
-    return F.coalesce(era_date(c), _date(year.cast("int"), m, d))
+    return F.coalesce(era_date(c), bound(_month_day(c), lambda p: _date(year.cast("int"), p[0], p[1])))
 
 
 def clock_time(c: Column) -> Column:
-    """HH:MM of noon, or of morning and afternoon hours; null out of range."""
-    t = without_space(c)
-    p = f"(午前|午後)({NUMBER})時(?:({NUMBER})分)?"
-    h, m = kanji_number(F.regexp_extract(t, p, 2)), F.coalesce(kanji_number(F.regexp_extract(t, p, 3)), F.lit(0))
-    hour = F.when(F.regexp_extract(t, p, 1) == "午前", F.when(h == 12, 0).otherwise(h)).otherwise(F.when(h == 12, 12).otherwise(h + 12))
-    return F.when(t.rlike(p), F.when((hour < 24) & (m < 60), F.format_string("%02d:%02d", hour, m))).when(t.contains("正午"), F.lit("12:00"))
+    """HH:MM of noon, or of morning and afternoon hours; afternoon hours from 12 on stand as they are; null out of range."""
+
+    def read(m):
+        p = F.transform(F.split(F.substring(m, 3, 20), "[時分]"), lambda x: x.try_cast("int"))
+        h, minute = p[0], F.coalesce(F.try_element_at(p, F.lit(2)), F.lit(0))
+        hour = F.when(m.startswith("午後") & (h < 12), h + 12).when(m.startswith("午前") & (h == 12), 0).otherwise(h)
+        return F.when((hour < 24) & (minute < 60), F.format_string("%02d:%02d", hour, minute))
+
+    found = F.regexp_extract(small_numbers(c), "(午前|午後)[0-9]{1,2}時([0-9]{1,2}分)?", 0)
+    return F.when(without_space(c).contains("正午"), F.lit("12:00")).otherwise(bound(blank_to_null(found), read))
 
 
 def name_and_count(c: Column) -> Column:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import bill_title_key, petition_title_key
+
 
 def title_index(titles: DataFrame, key: str, ident: str, title: str, ordinal: str, scope: tuple[str, ...] = ()) -> DataFrame:
     """One row for each key: the id and title that come first in ``ordinal``."""
@@ -17,44 +21,51 @@ def exact_link(keys: DataFrame, index: DataFrame, key: str, scope: tuple[str, ..
     return keys.join(index.withColumnRenamed("key", key), [*scope, key]).select(*scope, key, "id", "title")
 
 
-def prefix_link(keys: DataFrame, index: DataFrame, key: str, scope: tuple[str, ...] = (), grip: int = 2) -> DataFrame:
-    """Keys that begin a title or that a title begins, with the first such title in index order.
+def _begins(short: DataFrame, long: DataFrame, key: str, text: str, scope: tuple[str, ...]) -> DataFrame:
+    """The rows of ``long`` with the rows of ``short`` whose ``key`` begins their ``text``.
 
-    Texts and titles of ``grip`` characters or more meet by their first ones (an equi-join, so no nested loop over
-    everything); shorter texts and titles meet by all of their own, shorter beginning.
+    Texts are cut at the lengths that keys have (there are few), so both sides meet on whole, equal keys.
     """
-    out, index, other = None, index.withColumnRenamed("key", "_title_key"), "_title_key"
-    for n in range(1, grip + 1):
-        k = F.substring(key, 1, n)
-        t = F.substring(other, 1, n)
-        left, right = keys.withColumn("_p", k), index.withColumn("_p", t)
-        if n < grip:  # pairs in which one side is exactly n long
-            cond = (F.length(key) == n) | (F.length(other) == n)
-        else:
-            cond = (F.length(key) >= n) & (F.length(other) >= n)
-        hit = left.join(right, [*scope, "_p"]).where(cond & (F.col(key).startswith(F.col(other)) | F.col(other).startswith(F.col(key))))
-        out = hit if out is None else out.unionByName(hit)
-    first = F.min_by(F.struct("id", "title"), "ordinal")
-    return out.groupBy(*scope, key).agg(first.alias("x")).select(*scope, key, "x.id", "x.title")
+    lengths = sorted(r[0] for r in short.select(F.length(key)).distinct().collect() if r[0])
+    if not lengths:
+        lengths = [1]
+    cut = F.filter(F.array(*map(F.lit, lengths)), lambda n: n <= F.length(text))
+    starts = long.withColumn(key, F.explode(F.transform(cut, lambda n: F.substring(F.col(text), F.lit(1), n))))
+    return starts.join(short, [*scope, key])
 
 
-def title_link(items: DataFrame, index: DataFrame, key: str, scope: tuple[str, ...] = ()) -> DataFrame:
-    """The items with id, title and kind ('exact', 'prefix' or null). Only distinct keys are joined, then met again."""
-    keys = items.select(*scope, key).where(F.length(key) > 0).distinct()
-    exact = exact_link(keys, index, key, scope).withColumn("kind", F.lit("exact"))
-    rest = keys.join(exact, [*scope, key], "left_anti")
-    found = exact.unionByName(prefix_link(rest, index, key, scope).withColumn("kind", F.lit("prefix")))
-    return items.join(found, [*scope, key], "left")
+def prefix_link(keys: DataFrame, index: DataFrame, key: str, scope: tuple[str, ...] = ()) -> DataFrame:
+    """Keys that begin a title or that a title begins, with the first such title in index order."""
+    titles, texts = index.withColumnRenamed("key", "_title_key"), keys.select(*scope, key).distinct()
+    hits = _begins(titles, texts, "_title_key", key, scope).unionByName(_begins(texts, titles, key, "_title_key", scope))
+    return hits.groupBy(*scope, key).agg(F.min_by(F.struct("id", "title", "ordinal"), "ordinal").alias("x")).select(*scope, key, "x.*")
 
 
-def precedence_link(items: DataFrame, item: str, candidates: list[DataFrame]) -> DataFrame:
-    """One candidate for each item: those of the first frame win, then those of the second, and so on."""
+def title_link(items: DataFrame, index: DataFrame, text: str, normalize: Callable[[Column], Column] | None = None, scope: tuple[str, ...] = ()) -> DataFrame:
+    """The items with id, title and kind ('exact', 'prefix' or null).
+
+    Only distinct texts are normalised and linked; the items, of which many may share a text, are read once and meet them again.
+    """
+    raw = items.select(*scope, text).distinct()
+    keyed = raw.withColumn("_key", normalize(F.col(text)) if normalize else F.col(text)).where(F.length("_key") > 0)
+    exact = exact_link(keyed.select(*scope, "_key").distinct(), index, "_key", scope).withColumn("kind", F.lit("exact"))
+    rest = keyed.select(*scope, "_key").distinct().join(exact, [*scope, "_key"], "left_anti")
+    found = exact.unionByName(prefix_link(rest, index, "_key", scope).drop("ordinal").withColumn("kind", F.lit("prefix")))
+    return items.join(keyed.join(found, [*scope, "_key"]).drop("_key"), [*scope, text], "left")
+
+
+def precedence_link(items: DataFrame, text: str, bills: DataFrame, petitions: DataFrame, scope: tuple[str, ...] = ()) -> DataFrame:
+    """The items with item_type, id, title: an equal bill, else an equal petition, else a bill or else a petition that begins
+    the text or that it begins; of several the first in index order. Both indexes are of the item's ``scope`` (its house)."""
+    raw = items.select(*scope, text).distinct().withColumns({"_bill": bill_title_key(F.col(text)), "_petition": petition_title_key(F.col(text))})
     out = None
-    for i, c in enumerate(candidates):
-        c = c.withColumn("priority", F.lit(i))
-        out = c if out is None else out.unionByName(c)
-    best = out.groupBy(item).agg(F.min_by(F.struct("item_type", "id", "priority"), F.struct("priority", "id")).alias("x"))
-    return items.join(best.select(item, "x.*"), item, "left")
+    for p, (kind, index, key, link) in enumerate((("bill", bills, "_bill", exact_link), ("petition", petitions, "_petition", exact_link), ("bill", bills, "_bill", prefix_link), ("petition", petitions, "_petition", prefix_link))):
+        keys = raw.select(*scope, key).where(F.length(key) > 0).distinct()
+        hit = raw.join(link(keys, index, key, scope).select(*scope, key, "id", "title"), [*scope, key])
+        hit = hit.select(*scope, text, F.struct(F.lit(p).alias("priority"), F.lit(kind).alias("item_type"), F.col("id").cast("string").alias("id"), "title").alias("x"))
+        out = hit if out is None else out.unionByName(hit)
+    best = out.groupBy(*scope, text).agg(F.min_by("x", "x.priority").alias("x"))
+    return items.join(best.select(*scope, text, "x.item_type", "x.id", "x.title"), [*scope, text], "left")
 
 
 def reverse_links(links: DataFrame, target: str, source: str, text: str, order: list[str], day: str) -> DataFrame:

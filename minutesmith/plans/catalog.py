@@ -47,14 +47,17 @@ def normalize_text(t):
 
 @query("SELECT c_custkey, c_name AS text FROM customer")
 def agenda_prefix(t):
-    c = F.concat(F.lit("○一、日程第二及び第十 "), "c_name")
+    number = F.concat(F.lit("○"), kanji(F.col(KEY) % 99 + 1), F.lit("、"))
+    c = F.concat(F.when(F.col(KEY) % 3 == 0, F.lit("")).otherwise(number), F.lit("日程第二及び第十 "), "c_name")
     return t.customer.select(KEY, T.agenda_prefix(c).alias("text"))
 
 
-@query("SELECT p_partkey, replace(p_name, ' ', '') AS bill, replace(p_name, ' ', '') || '請願' AS petition FROM part")
+@query("""SELECT p_partkey, replace(p_name, ' ', '') || CASE WHEN p_partkey % 2 = 0 THEN '趣旨説明聴取の件' ELSE '' END AS bill,
+replace(p_name, ' ', '') || CASE WHEN p_partkey % 2 = 0 THEN '外二件の請願に関する件' ELSE '請願' END AS petition FROM part""")
 def title_key(t):
-    bill = F.concat(F.lit("日程第一　"), "p_name", F.lit("（内閣提出第三号）（趣旨説明）"))
-    petition = F.concat("p_name", F.lit("外二件の請願（第一二号）"))
+    even = F.col("p_partkey") % 2 == 0
+    bill = F.concat(F.lit("日程第一　"), "p_name", F.when(even, "趣旨説明聴取の件").otherwise("（内閣提出第三号）（趣旨説明）"))
+    petition = F.concat("p_name", F.when(even, "外二件の請願に関する件（第一二号）").otherwise("外二件の請願"))
     return t.part.select("p_partkey", T.bill_title_key(bill).alias("bill"), T.petition_title_key(petition).alias("petition"))
 
 
@@ -85,9 +88,12 @@ def kanji(n):
     return F.concat(F.when(tens == 0, "").when(tens == 1, "十").otherwise(F.concat(F.element_at(name, tens + 1), F.lit("十"))), F.element_at(name, ones + 1))
 
 
-@query("SELECT CAST(l_quantity AS INTEGER) AS n, count(*) AS rows FROM lineitem GROUP BY 1")
+@query("SELECT CASE WHEN l_linenumber = 7 THEN NULL WHEN l_linenumber = 6 THEN 30 WHEN l_linenumber = 5 THEN CAST(l_quantity AS INTEGER) * 100 + 5 ELSE CAST(l_quantity AS INTEGER) END AS n, count(*) AS rows FROM lineitem GROUP BY 1")
 def kanji_number(t):
-    return t.lineitem.select(T.kanji_number(kanji(F.col("l_quantity").cast("int"))).alias("n")).groupBy("n").agg(F.count("*").alias("rows"))
+    q, line = F.col("l_quantity").cast("int"), F.col("l_linenumber")
+    positional = F.translate(F.concat((q * 100 + 5).cast("string")), "0123456789", "〇一二三四五六七八九")
+    c = F.when(line == 7, F.concat(F.lit("2"), kanji(q), F.lit("十"))).when(line == 6, "二三十").when(line == 5, positional).when(line == 4, q.cast("string")).otherwise(kanji(q))
+    return t.lineitem.select(T.kanji_number(c).alias("n")).groupBy("n").agg(F.count("*").alias("rows"))
 
 
 @query("SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders")
@@ -133,7 +139,10 @@ def bill_id(t):
 def clock_time(t):
     h, m = F.hour("ts"), F.minute("ts")
     half = F.when(h < 12, "午前").otherwise("午後")
-    c = F.when((h == 12) & (m == 0), "正午").otherwise(F.concat(half, (h % 12).cast("string"), F.lit("時"), m.cast("string"), F.lit("分")))
+    odd = F.col("event_id") % 2 == 1  # afternoon hours also come as 13 to 23, and a line may hold noon and another time
+    hour = F.when(odd & (h > 12), h.cast("string")).otherwise(F.when(odd, kanji(h % 12)).otherwise((h % 12).cast("string")))
+    hour = F.when(hour == "", "〇").otherwise(hour)
+    c = F.when((h == 12) & (m == 0), "正午 午後一時").otherwise(F.concat(half, hour, F.lit("時"), m.cast("string"), F.lit("分")))
     return t.events.select("event_id", T.clock_time(c).alias("clock"))
 
 
@@ -177,7 +186,7 @@ def title_index(t):
 
 def _items(t):
     c = F.concat(F.lit("日程第一　"), "p_name", F.when(F.col("l_linenumber") % 2 == 1, "に関する件").otherwise(""), F.lit("（閣法第3号）"))
-    items = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).withColumn("key", T.bill_title_key(c))
+    items = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select("l_orderkey", c.alias("text"))
     p = t.part.withColumn("key", T.bill_title_key(F.col("p_name")))
     return items, link.title_index(p, "key", "p_partkey", "p_name", "p_partkey")
 
@@ -195,25 +204,30 @@ linked AS (SELECT it.*, f.id, f.kind FROM it LEFT JOIN (SELECT * FROM ex UNION A
 @query(ITEMS_SQL + "SELECT key, id, kind, count(*) AS n FROM linked GROUP BY ALL")
 def title_link(t):
     items, index = _items(t)
-    return link.title_link(items.select("key"), index, "key").groupBy("key", "id", "kind").agg(F.count("*").alias("n"))
+    counts = items.groupBy("text").agg(F.count("*").alias("n"))
+    return link.title_link(counts, index, "text", T.bill_title_key).groupBy(T.bill_title_key(F.col("text")).alias("key"), "id", "kind").agg(F.sum("n").alias("n"))
 
 
 @query(ITEMS_SQL + "SELECT l_orderkey, count(*) AS items, count(*) FILTER (WHERE kind = 'exact') AS matched FROM linked GROUP BY 1")
 def match_count(t):
     items, index = _items(t)
-    x = link.title_link(items.select("l_orderkey", "key"), index, "key")
+    x = link.title_link(items, index, "text", T.bill_title_key)
     return x.groupBy("l_orderkey").agg(F.count("*").alias("items"), F.count_if(F.col("kind") == "exact").alias("matched"))
 
 
 @query("""
-WITH it AS (SELECT o_orderkey, o_orderpriority AS k FROM orders), a AS (SELECT DISTINCT o_orderpriority AS k FROM orders WHERE o_orderstatus = 'O' AND o_orderkey % 1000 < 50),
-b AS (SELECT DISTINCT o_orderpriority AS k FROM orders)
-SELECT o_orderkey, CASE WHEN k = '1-URGENT' THEN 'bill' ELSE 'petition' END AS item_type, k AS id, CASE WHEN k = '1-URGENT' THEN 0 ELSE 1 END AS priority FROM it""")
+WITH part_ AS (SELECT *, replace(p_name, ' ', '') AS k FROM part),
+b AS (SELECT k, min(p_partkey) AS id FROM part_ WHERE p_partkey % 3 = 0 GROUP BY 1), p AS (SELECT k, min(p_partkey) AS id FROM part_ WHERE p_partkey % 3 = 1 GROUP BY 1),
+it AS (SELECT p_partkey, p_partkey % 4 AS m, k || CASE p_partkey % 4 WHEN 1 THEN 'に関する件' WHEN 2 THEN '請願' ELSE '' END AS t FROM part_),
+c AS (SELECT p_partkey, 0 AS r, id, 'bill' AS item_type FROM it JOIN b ON k = t UNION ALL SELECT p_partkey, 1, id, 'petition' FROM it JOIN p ON k = t
+UNION ALL SELECT p_partkey, 2, id, 'bill' FROM it JOIN b ON starts_with(t, k) OR starts_with(k, t) UNION ALL SELECT p_partkey, 3, id, 'petition' FROM it JOIN p ON starts_with(t, k) OR starts_with(k, t))
+SELECT it.p_partkey, x.item_type, CAST(x.id AS VARCHAR) AS id FROM it LEFT JOIN (SELECT p_partkey, arg_min(item_type, (r, id)) AS item_type, arg_min(id, (r, id)) AS id FROM c GROUP BY 1) x ON x.p_partkey = it.p_partkey""")
 def precedence_link(t):
-    items = t.orders.select("o_orderkey", F.col("o_orderpriority").alias("k"))
-    bills = items.where("k = '1-URGENT'").select("o_orderkey", F.lit("bill").alias("item_type"), F.col("k").alias("id"))
-    petitions = items.select("o_orderkey", F.lit("petition").alias("item_type"), F.col("k").alias("id"))
-    return link.precedence_link(items.select("o_orderkey"), "o_orderkey", [bills, petitions])
+    k, m = F.col("p_partkey"), F.col("p_partkey") % 4
+    text = F.concat(F.lit("二、"), "p_name", F.when(m == 1, "に関する件（閣法第1号）").when(m == 2, "外三件の請願").when(m == 3, "（第一号）").otherwise(""))
+    text = F.when(m == 3, F.concat(F.lit("○"), "p_name")).otherwise(text)
+    index = lambda rest: link.title_index(t.part.where(k % 3 == rest).withColumn("key", T.bill_title_key(F.col("p_name"))), "key", "p_partkey", "p_name", "p_partkey")
+    return link.precedence_link(t.part.select("p_partkey", text.alias("text")), "text", index(0), index(1)).select("p_partkey", "item_type", "id")
 
 
 @query("""

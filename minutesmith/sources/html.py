@@ -13,7 +13,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CELL = "table_no int, caption string, row_no int, col_no int, tag string, text string, hrefs array<string>"
+CELL = "table_no int, caption string, table_id string, table_class string, heading_before string, anchor_before string, row_no int, col_no int, tag string, text string, hrefs array<string>"
+ABOUT = ["table_id", "table_class", "heading_before", "anchor_before"]
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 # The charsets tried before and after the declared one.
 FIRST_CHARSETS, LAST_CHARSETS = ("cp932",), ("utf-8", "shift_jis", "euc_jp")
 
@@ -61,12 +63,18 @@ class _Cells(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.tables, self.open, self.cell, self.caption = [], [], None, False
+        self.heading, self.anchor, self.in_heading = "", "", False
 
     def handle_starttag(self, tag, attrs):
         a = dict(attrs)
         if tag == "table":
-            self.tables.append({"caption": "", "rows": []})
+            about = {"table_id": a.get("id") or "", "table_class": a.get("class") or "", "heading_before": " ".join(self.heading.split()), "anchor_before": self.anchor}
+            self.tables.append({"caption": "", "rows": []} | about)
             self.open.append(self.tables[-1])
+        elif not self.open and tag in HEADINGS:
+            self.heading, self.in_heading = "", True
+        elif not self.open and tag == "a" and (a.get("name") or a.get("id")):
+            self.anchor = a.get("name") or a.get("id")
         elif not self.open:
             return
         elif tag == "caption":
@@ -85,6 +93,8 @@ class _Cells(HTMLParser):
         if tag == "table" and self.open:
             self.open.pop()
             self.cell = None
+        elif tag in HEADINGS:
+            self.in_heading = False
         elif tag == "caption":
             self.caption = False
         elif tag in ("td", "th", "tr"):
@@ -93,6 +103,8 @@ class _Cells(HTMLParser):
     def handle_data(self, data):
         if self.caption and self.open:
             self.open[-1]["caption"] += data
+        elif self.in_heading:
+            self.heading += data
         elif self.cell:
             self.cell[3].append(data)
 
@@ -137,10 +149,10 @@ def html_cells(df: DataFrame, key: str, html: str = "html", spans: bool = True)
                 for t, table in enumerate(p.tables):
                     for r, c, x in _grid(table["rows"], spans):
                         keys.append(i)
-                        out.append((t, " ".join(table["caption"].split()), r, c, x[0], " ".join("".join(x[3]).split()), x[4]))
-            cols = list(zip(*out, strict=True)) if out else [[]] * 7
-            types = [pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.list_(pa.string())]
-            names = [key, "table_no", "caption", "row_no", "col_no", "tag", "text", "hrefs"]
+                        out.append((t, " ".join(table["caption"].split()), *(table[k] for k in ABOUT), r, c, x[0], " ".join("".join(x[3]).split()), x[4]))
+            cols = list(zip(*out, strict=True)) if out else [[]] * 11
+            types = [pa.int32(), *[pa.string()] * 5, pa.int32(), pa.int32(), pa.string(), pa.string(), pa.list_(pa.string())]
+            names = [key, "table_no", "caption", *ABOUT, "row_no", "col_no", "tag", "text", "hrefs"]
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(keys, pa.int32())), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], names=names)
 
     return df.select(key, html).mapInArrow(run, f"`{key}` {kind}, {CELL}")
@@ -189,3 +201,79 @@ def text_of(html: Column) -> Column:
         return x.map(clean_text)
 
     return run(html)
+
+
+class _Links(HTMLParser):
+    """The targets of all links, in page order; character references are decoded, names of tags may be of any case."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.found = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "a" and (href := dict(attrs).get("href")) is not None:
+            self.found.append(href)
+
+
+def links_of(html: Column) -> Column:
+    """All link targets of every row's page; null pages have none."""
+
+    def read(text: str | None) -> list[str]:
+        p = _Links()
+        p.feed(text or "")
+        p.close()
+        return p.found
+
+    @F.pandas_udf("array<string>")
+    def run(x: pd.Series) -> pd.Series:
+        return x.map(read)
+
+    return run(html)
+
+
+class _Halves(HTMLParser):
+    """Text lines before and after the first rule; blocks that hold a link are left out, and so is what stands before the start."""
+
+    def __init__(self, start: str):
+        super().__init__(convert_charrefs=True)
+        self.start, self.begun, self.after = start, not start, False
+        self.halves, self.divs, self.inside = ([], []), [], 0
+
+    def handle_starttag(self, tag, attrs):
+        a = dict(attrs)
+        if not self.begun:
+            self.begun, self.inside = a.get("id") == self.start, 1
+            return
+        if tag == "hr":
+            self.after = True
+        elif tag == "div":
+            self.divs.append((len(self.halves[0]), len(self.halves[1])))
+        elif tag == "a" and a.get("href") and self.divs:  # the whole outermost block goes
+            self.divs = [self.divs[0]] + [None] * (len(self.divs) - 1)
+            self.divs[0] = (*self.divs[0][:2], True)
+
+    def handle_endtag(self, tag):
+        if tag == "div" and self.divs:
+            d = self.divs.pop()
+            if not self.divs and d and len(d) == 3:
+                del self.halves[0][d[0] :], self.halves[1][d[1] :]
+
+    def handle_data(self, data):
+        if self.begun:
+            self.halves[self.after].extend(line.strip() for line in data.splitlines() if line.strip())
+
+
+def halves_of(html: Column, start: str = "TopContents") -> Column:
+    """struct(preamble, body): lines before and after the page's rule, from the element ``start`` on, without blocks of links."""
+
+    @F.pandas_udf("preamble string, body string")
+    def run(x: pd.Series) -> pd.DataFrame:
+        out = []
+        for text in x:
+            p = _Halves(start)
+            p.feed(text or "")
+            p.close()
+            out.append(["\n".join(h) for h in p.halves])
+        return pd.DataFrame(out, columns=["preamble", "body"])
+
+    return run(html)
