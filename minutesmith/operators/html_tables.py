@@ -19,13 +19,18 @@ def pick_by_caption(cells: DataFrame, suffix: str) -> DataFrame:
     return cells.where(F.col("caption").endswith(suffix)).withColumn("category", F.regexp_replace("caption", f"{suffix}$", ""))
 
 
-def header_roles(cells: DataFrame, key: str, roles: dict[str, str]) -> DataFrame:
+def header_roles(cells: DataFrame, key: str, roles: dict[str, str], needed: list[str] | None = None) -> DataFrame:
     """One row for each body row, one column for each role; a header has the first role whose word it holds.
 
-    Of several headers of one role the last one counts.
+    Of several headers of one role the last one counts. A table without a header for each of ``needed`` gives an error.
     """
     role = F.coalesce(*[F.when(F.col("text").contains(w), F.lit(r)) for w, r in roles.items()])
     head = cells.where("row_no = 0").withColumn("role", role).where("role IS NOT NULL").groupBy(key, "table_no", "role").agg(F.max("col_no").alias("col_no"))
+    if needed:
+        have = head.groupBy(key, "table_no").agg(F.collect_set("role").alias("roles"))
+        lacks = F.size(F.array_except(F.array(*map(F.lit, needed)), F.col("roles"))) > 0
+        whole = have.select(key, "table_no", F.when(lacks, F.raise_error(F.concat(F.lit("no header for all of: "), F.lit(", ".join(needed))))).cast("string").alias("_error"))
+        head = head.join(whole, [key, "table_no"]).where("_error IS NULL").drop("_error")
     body = cells.where("row_no > 0").join(head, [key, "table_no", "col_no"])
     return body.groupBy(key, "table_no", "row_no").pivot("role", sorted(set(roles.values()))).agg(F.first(F.nullif("text", F.lit(""))))
 
@@ -59,9 +64,9 @@ def stitch(rows: DataFrame, key: str, starts: Column, height: int = 3) -> DataFr
     return t.select(key, F.posexplode(F.transform(at, lambda i: F.transform(F.slice("r", i + 1, height), lambda y: y["cell"]))).alias("record_no", "record"))
 
 
-def links(html: Column) -> Column:
-    """All link targets, in page order."""
-    return F.regexp_extract_all(html, F.lit(r'<a [^>]*href="([^"]*)"'), 1)
+def first_link(hrefs: Column, pattern: str = "") -> Column:
+    """The first link that holds ``pattern``, null without one."""
+    return F.try_element_at(F.filter(hrefs, lambda x: x.contains(pattern)), F.lit(1))
 
 
 def absolute(url: Column, base: Column) -> Column:
@@ -100,3 +105,9 @@ def compact_lines(text: Column) -> Column:
     """Trimmed lines; runs of blank ones become one, and those at both ends go."""
     lines = F.transform(F.split(text, "\r?\n"), lambda x: F.trim(x))
     return F.regexp_replace(F.regexp_replace(F.array_join(lines, "\n"), "\n{3,}", "\n\n"), "^\n+|\n+$", "")
+
+
+def filled_lines(text: Column) -> Column:
+    """Trimmed lines without blank ones; a text of blank lines is one blank line."""
+    lines = F.transform(F.split(text, "\r?\n"), lambda x: F.trim(x))
+    return F.array_join(F.filter(lines, lambda x: x != ""), "\n")

@@ -44,10 +44,11 @@ def prefix_link(keys: DataFrame, index: DataFrame, key: str, scope: tuple[str, .
 def title_link(items: DataFrame, index: DataFrame, text: str, normalize: Callable[[Column], Column] | None = None, scope: tuple[str, ...] = ()) -> DataFrame:
     """The items with id, title and kind ('exact', 'prefix' or null).
 
-    Only distinct texts are normalised and linked; the items, of which many may share a text, are read once and meet them again.
+    Only distinct texts are normalised and linked, and kept while the links are worked out; the items, of which many may share
+    a text, meet them again.
     """
     raw = items.select(*scope, text).distinct()
-    keyed = raw.withColumn("_key", normalize(F.col(text)) if normalize else F.col(text)).where(F.length("_key") > 0)
+    keyed = raw.withColumn("_key", normalize(F.col(text)) if normalize else F.col(text)).where(F.length("_key") > 0).persist()
     exact = exact_link(keyed.select(*scope, "_key").distinct(), index, "_key", scope).withColumn("kind", F.lit("exact"))
     rest = keyed.select(*scope, "_key").distinct().join(exact, [*scope, "_key"], "left_anti")
     found = exact.unionByName(prefix_link(rest, index, "_key", scope).drop("ordinal").withColumn("kind", F.lit("prefix")))
@@ -57,7 +58,7 @@ def title_link(items: DataFrame, index: DataFrame, text: str, normalize: Callabl
 def precedence_link(items: DataFrame, text: str, bills: DataFrame, petitions: DataFrame, scope: tuple[str, ...] = ()) -> DataFrame:
     """The items with item_type, id, title: an equal bill, else an equal petition, else a bill or else a petition that begins
     the text or that it begins; of several the first in index order. Both indexes are of the item's ``scope`` (its house)."""
-    raw = items.select(*scope, text).distinct().withColumns({"_bill": bill_title_key(F.col(text)), "_petition": petition_title_key(F.col(text))})
+    raw = items.select(*scope, text).distinct().withColumns({"_bill": bill_title_key(F.col(text)), "_petition": petition_title_key(F.col(text))}).persist()
     out = None
     for p, (kind, index, key, link) in enumerate((("bill", bills, "_bill", exact_link), ("petition", petitions, "_petition", exact_link), ("bill", bills, "_bill", prefix_link), ("petition", petitions, "_petition", prefix_link))):
         keys = raw.select(*scope, key).where(F.length(key) > 0).distinct()

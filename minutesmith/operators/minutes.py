@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +13,10 @@ from ..functions import text as T
 # Headers of attendance sections and of roles.
 SECTIONS = ["委員外の出席者", "委員以外の出席者", "委員外出席者", "国務大臣", "副大臣", "大臣政務官", "事務局側", "参考人", "政府参考人", "政府特別補佐人"]
 ROLES = ["理事", "委員", "委員長", "事務局側", "政府参考人", "政府特別補佐人", "大臣政務官"]
+# Lines that open the attendance, the changes of members, and the agenda.
+PRESENT = ["出席委員", "出席者は左のとおり。"]
+CHANGES = "委員の異動"
+AGENDA = ["本日の会議に付した案件", "本日の会議に付した事件", "本日の開議に付した事件"]
 # What an item of its own ends in.
 ITEM_ENDS = ["法律案", "予算", "決算", "条約", "承認", "請求", "同意", "請願", "の件", "関する件", "互選", "選任", "選挙", "辞職", "挨拶", "祝辞", "謝辞", "報告聴取"]
 
@@ -52,16 +58,113 @@ def wrapped_items(lines: DataFrame, key: str, ends: list[str] = ITEM_ENDS) -> Da
     return kept.withColumn("text", text).withColumn("item_no", F.greatest(n, F.lit(1))).groupBy(key, "item_no").agg(item.alias("item"))
 
 
-def attendance(lines: DataFrame, key: str, default_role: str | None = None) -> DataFrame:
-    """key, pos, n, section, role, name: section and role headers hold for the lines below; a line may name several people."""
+def next_lines(lines: DataFrame, key: str, rows: int, name: str) -> DataFrame:
+    """``name``: the array of the ``rows`` lines below each line, without white space."""
+    w = Window.partitionBy(key).orderBy("pos").rowsBetween(1, rows)
+    return lines.withColumn(name, F.collect_list(T.without_space(F.col("line"))).over(w))
+
+
+def before_stop(below: Column, stop: Callable[[Column], Column]) -> Column:
+    """The lines of an array up to the first that stops, that one included."""
+    at = F.array_min(F.filter(F.transform(below, lambda x, i: F.when(stop(x), i + 1)), lambda i: i.isNotNull()))
+    return F.slice(below, F.lit(1), F.coalesce(at, F.size(below)))
+
+
+def sections(lines: DataFrame, key: str, has_date: Column | None = None) -> DataFrame:
+    """Every filled line with its state, and whether it is a control line: the section of the minutes that it stands in.
+
+    States: attendance, membership, referred, agenda, or null. Only control lines change the state, so they alone (a few
+    a meeting) are folded, in order; the state then holds for the lines below. What a line is, may depend on lines ahead:
+    a day may begin a section of referrals or of changes of members.
+    """
+    raw, flat = F.col("line"), T.without_space(F.col("line"))
+    opens = lambda x: x.contains("開議") | x.contains("開会")
+    agenda = lambda x: F.regexp_replace(x, "^[○●]+", "").isin(AGENDA)
+    x = next_lines(next_lines(lines, key, 11, "_far"), key, 7, "_near")
+    # blank lines fill the frame but tell nothing
+    far = F.filter(F.transform(before_stop(F.col("_far"), lambda y: opens(y) | (y == CHANGES) | y.endswith(AGENDA[0]) | y.endswith("付託された。")), lambda y: y), lambda y: y != "")
+    near = F.array_join(before_stop(F.col("_near"), lambda y: opens(y) | agenda(y)), "")
+    sub = near.contains("補欠") | near.contains("当選") | near.contains("選任")
+    day, relative = flat.rlike(f"^{T.NUMBER}月{T.NUMBER}日$"), flat.rlike(f"^同日$|^同月{T.NUMBER}日$")
+    dated = F.lit(True) if has_date is None else has_date
+    moved = flat.contains("辞任") & (flat.contains("補欠") | flat.contains("当選") | flat.contains("選任"))
+    x = x.where(flat != "").select(
+        *lines.columns,
+        (day | relative).alias("_day"),
+        F.struct(
+            F.col("pos"),
+            M.is_rule(raw).alias("rule"),
+            flat.isin(PRESENT).alias("present"),
+            (flat == CHANGES).alias("changes"),
+            ((dated & day & near.contains("辞任") & sub) | relative | moved).alias("moves"),
+            agenda(flat).alias("agenda"),
+            (dated & day & F.coalesce(F.try_element_at(far, F.lit(-1)).endswith("付託された。"), F.lit(False))).alias("refers"),
+            flat.endswith("付託された。").alias("referred"),
+            opens(flat).alias("opens"),
+        ).alias("_m"),
+    )
+    m = F.col("_m")
+    control = m["rule"] | m["present"] | m["changes"] | m["moves"] | m["agenda"] | m["refers"] | m["referred"] | m["opens"]
+    marks = x.where(control).groupBy(key).agg(F.array_sort(F.collect_list("_m")).alias("_marks"))
+
+    def step(acc, c):
+        at = F.element_at(acc, -1)["state"]
+        state = (
+            F.when(c["rule"], "none")
+            .when(c["present"], "attendance")
+            .when(c["changes"], "membership")
+            .when(c["moves"] & (at == "attendance"), "membership")
+            .when(c["agenda"], "agenda")
+            .when(c["refers"] & (at == "none"), "referred")
+            .when(c["referred"] & (at == "referred"), "none")
+            .when(c["opens"] & (at == "agenda"), "none")
+            .otherwise(at)
+        )
+        # a line that opens or ends a section has no item of its own; a day inside a section of changes is one of its lines
+        own = c["rule"] | c["present"] | c["changes"] | c["agenda"] | (c["refers"] & (at == "none")) | (c["referred"] & (at == "referred")) | (c["opens"] & (at == "agenda"))
+        return F.array_append(acc, F.struct(c["pos"].cast("int").alias("pos"), state.alias("state"), own.alias("control")))
+
+    none = F.array(F.struct(F.lit(-1).alias("pos"), F.lit("none").alias("state"), F.lit(False).alias("control")))
+    folded = marks.select(key, F.explode(F.aggregate("_marks", none, step)).alias("s")).select(key, "s.*")
+    w = Window.partitionBy(key).orderBy("pos")
+    y = x.drop("_m").join(folded, [key, "pos"], "left")
+    return y.withColumns({"state": F.nullif(F.last("state", ignorenulls=True).over(w), F.lit("none")), "control": F.coalesce("control", F.lit(False)), "is_day": F.col("_day")}).drop("_day")
+
+
+def attendance(lines: DataFrame, key: str, default_role: str | None = None, default_section: str | None = None) -> DataFrame:
+    """key, pos, n, section, role, title, name: section and role headers hold for the lines below; a line may name several people.
+
+    Lines without a name that are no headers are the wrapped beginning of the next line with one. What stands in brackets
+    before a name is a title, under the role or else the section above. Of a line nothing counts from the first piece on
+    that is no person. Lines may come from ``sections`` (then only the section of attendance counts) or from anywhere.
+    """
+    flat, text = T.without_space(F.col("line")), T.normalize_text(F.col("line"))
+    x = lines.where(flat != "")
+    if "state" in lines.columns:
+        x = x.where("state = 'attendance' OR control")
+    reset = M.is_rule(F.col("line")) | flat.isin(PRESENT) | (F.col("control") if "control" in lines.columns else F.lit(False))
+    bare = ~F.col("line").contains("君") & ~text.startswith("〔") & ~reset
+    head = bare & (flat.isin(SECTIONS) | flat.endswith("委員会"))
+    role = bare & ~head & flat.isin(ROLES)
+    pending = bare & ~head & ~role
     w = Window.partitionBy(key).orderBy("pos")
-    head = T.normalize_text(F.col("line"))
-    x = lines.withColumn("section", F.last(F.when(head.isin(SECTIONS), head), ignorenulls=True).over(w))
-    section = F.when(head.isin(SECTIONS), F.lit("")).when(head.isin(ROLES), head)  # a new section ends the role
-    x = x.withColumn("header", F.last(section, ignorenulls=True).over(w))
-    x = x.select(key, "pos", "section", "header", F.posexplode(M.names_in(F.col("line"))).alias("n", "person")).withColumn("p", M.name_and_role(F.col("person")))
-    role = F.coalesce(T.blank_to_null(F.col("p.role")), T.blank_to_null(F.col("header")), F.lit(default_role).cast("string"))
-    return x.where("p IS NOT NULL").select(key, "pos", "n", "section", role.alias("role"), F.col("p.name").alias("name"))
+    section = F.when(flat.isin(PRESENT), F.lit(default_section).cast("string")).when(head, flat)
+    x = x.withColumns({"_reset": reset, "_head": head, "_pending": pending})
+    named = F.struct(F.coalesce(section, F.lit("")).alias("v"))  # a struct tells "no section" from "no header here"
+    x = x.withColumn("section", T.blank_to_null(F.last(F.when(head | reset, named), ignorenulls=True).over(w)["v"]))
+    x = x.withColumn("header", T.blank_to_null(F.last(F.when(head | reset, F.lit("")).when(role, flat), ignorenulls=True).over(w)))
+    x = x.withColumn("_group", F.sum(F.when(pending, 0).otherwise(1)).over(w) - F.when(pending, 0).otherwise(1))
+    carried = F.array_join(F.collect_list(F.when(F.col("_pending"), text)).over(Window.partitionBy(key, "_group").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)), " ")
+    x = x.withColumn("_whole", F.trim(F.concat_ws(" ", carried, text))).where(~F.col("_pending") & ~F.col("_head") & ~F.col("_reset"))
+    pieces = F.filter(F.split("_whole", "(?<!^)(?=(?:委員長|理事) )"), lambda p: F.trim(p) != "")
+    people = F.transform(pieces, lambda p: F.transform(M.names_in(p), M.name_and_role))
+    known = F.transform(people, lambda p: F.slice(p, F.lit(1), F.coalesce(F.array_min(F.filter(F.transform(p, lambda y, i: F.when(y.isNull(), i)), lambda i: i.isNotNull())), F.size(p))))
+    x = x.select(key, "pos", "section", "header", F.posexplode(F.flatten(known)).alias("n", "p"))
+    prefix = F.replace(F.col("p.role"), F.lit(" "))
+    titled = prefix.rlike("^[（(]") & F.coalesce("header", "section").isNotNull()
+    usual = F.coalesce("header", F.lit(default_role).cast("string"))
+    who = F.when(titled, F.coalesce("header", "section")).otherwise(F.coalesce(T.blank_to_null(prefix), usual))
+    return x.select(key, "pos", "n", "section", who.alias("role"), F.when(titled, prefix).alias("title"), F.col("p.name").alias("name"))
 
 
 def changes(lines: DataFrame, key: str, meeting_date: str) -> DataFrame:
@@ -70,9 +173,11 @@ def changes(lines: DataFrame, key: str, meeting_date: str) -> DataFrame:
     `同月D日` is a day of the meeting's month; `同日` is the date above it, or the meeting's date where there is none.
     """
     w, held, line = Window.partitionBy(key).orderBy("pos"), F.col(meeting_date), T.without_space(F.col("line"))
-    same_month = f"^同月({T.NUMBER})日$"
-    named = F.when(line.rlike(same_month), F.concat(F.month(held).cast("string"), F.regexp_replace(line, "^同", ""))).otherwise(F.col("line"))
-    x = lines.withColumn("changed_at", F.coalesce(F.last(T.month_day_near(named, held), ignorenulls=True).over(w), F.when(F.max(line == "同日").over(w), held)))
+    whole = line.rlike(f"^({T.NUMBER}月|同月){T.NUMBER}日$")  # the whole line is a day
+    named = F.regexp_replace(line, "^同月", F.concat(F.month(held).cast("string"), F.lit("月")))
+    x = lines.withColumn("changed_at", F.coalesce(F.last(F.when(whole, T.month_day_near(named, held)), ignorenulls=True).over(w), F.when(F.max(line == "同日").over(w), held)))
+    if "state" in lines.columns:
+        x = x.where("state = 'membership'")
     x = x.withColumn("p", M.names_in(F.col("line")))
     return x.where(F.size("p") >= 2).select(key, "pos", "changed_at", T.person_key(F.col("p")[0]).alias("resigned"), T.person_key(F.col("p")[1]).alias("appointed"))
 

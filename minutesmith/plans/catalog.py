@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import entity, link, serve
+from ..operators import entity, incremental, link, serve
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -340,15 +340,16 @@ def union_sources(t):
     return entity.relations([t.customer.select(F.lit("customer").alias("house"), F.col("c_custkey").alias("id"), F.col("c_name").alias("name")), t.supplier.select(F.lit("supplier").alias("house"), F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))])
 
 
-@query("SELECT c_custkey AS id FROM customer ORDER BY CAST(c_custkey AS VARCHAR) LIMIT 100 OFFSET 50")
+@query("SELECT c_custkey AS id, (SELECT count(*) FROM customer) AS total FROM customer ORDER BY CAST(c_custkey AS VARCHAR) LIMIT 100 OFFSET 50")
 def page_ids(t):
-    return serve.page(t.customer.select(F.col("c_custkey").alias("id")), [F.col("id").cast("string")], 50, 100)
+    x = t.customer.select(F.col("c_custkey").alias("id"))
+    return serve.with_total(serve.page(x, [F.col("id").cast("string")], 50, 100), x)
 
 
-@query("SELECT c_custkey, c_name FROM customer WHERE contains(c_name, '12') ORDER BY c_name LIMIT 20")
+@query("SELECT c_custkey, c_name, count(*) OVER () AS total FROM customer WHERE contains(c_name, '12') ORDER BY c_name LIMIT 20")
 def people_search(t):
     x = t.customer.select("c_custkey", "c_name", F.array(F.concat(F.lit("x "), "c_name")).alias("v"))
-    return serve.search(x, "12", "c_name", "v").drop("v")
+    return serve.with_total(serve.search(x, "12", "c_name", "v"), serve.search_hits(x, "12", "c_name", "v")).drop("v")
 
 
 @query("SELECT o_orderpriority AS label, count(*) AS n, min(o_orderkey) AS first FROM orders GROUP BY 1")
@@ -373,9 +374,13 @@ def availability_matrix(t):
     return serve.availability({"bills": t.orders.select(F.year("o_orderdate").alias("session")), "questions": t.lineitem.select(F.year("l_shipdate").alias("session")), "minutes": t.events.select(F.year("ts").alias("session"))}, "session")
 
 
-@query("SELECT conv_id, role, count(*) AS n, min(turn) AS first FROM conversations GROUP BY 1, 2")
+@query("""WITH c AS (SELECT conv_id, turn, role, CASE WHEN turn % 3 = 1 THEN 'p' || turn END AS position FROM conversations WHERE turn % 5 <> 4)
+SELECT conv_id, 'x' || role AS person_key, arg_min('x ' || role || CASE WHEN turn % 2 = 0 THEN '君' ELSE '' END, turn) AS name, count(*) AS n, min(turn) AS first, arg_min(position, turn) AS position FROM c GROUP BY 1, 2""")
 def speaker_summary(t):
-    return serve.speaker_summary(t.conversations, "conv_id", "role", "turn")
+    turn = F.col("turn")
+    name = F.when(turn % 5 == 4, serve.INFORMATION).otherwise(F.concat(F.lit("x "), "role", F.when(turn % 2 == 0, "君").otherwise("")))
+    x = t.conversations.select("conv_id", "turn", name.alias("speaker"), F.when(turn % 3 == 1, F.concat(F.lit("p"), turn.cast("string"))).alias("position"))
+    return serve.speaker_summary(x, "conv_id", "speaker", "turn", ("position",))
 
 
 @query("SELECT conv_id, arg_min(length(text), turn) AS first_chars, arg_max(length(text), turn) AS last_chars FROM conversations GROUP BY 1")
@@ -385,16 +390,17 @@ def first_last(t):
 
 @query("SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS session FROM orders ORDER BY 1 DESC LIMIT 2")
 def latest_n(t):
-    return t.orders.select(F.year("o_orderdate").alias("session")).distinct().orderBy(F.desc("session")).limit(2)
+    return incremental.targets(t.orders.select(F.year("o_orderdate").alias("session")))
 
 
-@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey = 7")
+@query("SELECT c_custkey, c_name, o_orderkey FROM customer JOIN orders ON c_custkey = o_custkey WHERE c_name LIKE '%1'")
 def point_lookup(t):
-    return t.customer.where("c_custkey = 7").select("c_custkey", "c_name")
+    index = t.customer.select("c_custkey", "c_name", F.right("c_name", F.lit(1)).alias("last"))
+    return serve.details_of(index, t.orders.select(F.col("o_custkey").alias("c_custkey"), "o_orderkey"), "c_custkey", "last", "1").drop("last")
 
 
 def _load():
-    from . import documents, minutes, pages  # noqa: F401  (they add their queries to this catalogue)
+    from . import documents, minutes, more, pages  # noqa: F401  (they add their queries to this catalogue)
 
 
 def queries():

@@ -58,7 +58,12 @@ def source_url(t):
     return t.orders.select("o_orderkey", D.question_list_url(session).alias("questions"), D.bill_list_url(session).alias("bills"))
 
 
-@query("SELECT c_custkey, c_name || chr(10) || c_mktsegment || ' & b' || chr(10) || 'c' AS text FROM customer")
+@query("")
 def html_text(t):
-    page = F.concat(F.lit("<html><style>p{}</style><p> "), "c_name", F.lit("</p>\n <!-- x --><script>if (a<b) {}</script><p>"), "c_mktsegment", F.lit(" &amp; b<b>c</b></p>"))
-    return t.customer.select(KEY, html.text_of(page).alias("text"))
+    return t.pages.select("page_id", html.text_of(F.col("html")).alias("text"))
+
+
+@query("""SELECT o_orderkey, o_orderpriority || chr(10) || '答弁書' AS preamble, o_orderstatus || chr(10) || o_orderkey AS body FROM orders""")
+def document_halves(t):
+    page = F.concat(F.lit("<html><body>top<h1 id='TopContents'>"), "o_orderpriority", F.lit("</h1><div><a href='x'>links</a> menu</div><p>答弁書</p><hr/><p> "), "o_orderstatus", F.lit(" </p><div><p><a href='y'>back</a></p></div><div>"), F.col("o_orderkey").cast("string"), F.lit("</div></body></html>"))
+    return t.orders.select("o_orderkey", html.halves_of(page).alias("h")).select("o_orderkey", "h.*")

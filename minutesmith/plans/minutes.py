@@ -9,9 +9,9 @@ from ..operators import minutes as O
 from .catalog import KEY, kanji, query
 
 
-@query("SELECT conv_id, turn, count(*) AS n, sum(length(line)) AS chars FROM (SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line FROM (SELECT conv_id, turn, 'a' || chr(10) || role AS text FROM conversations)) GROUP BY 1, 2")
+@query("SELECT conv_id, turn, count(*) AS n, sum(length(rtrim(line))) AS chars FROM (SELECT conv_id, turn, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM conversations) GROUP BY 1, 2")
 def text_lines(t):
-    x = t.conversations.select(F.struct("conv_id", "turn").alias("k"), F.concat(F.lit("a  \r\n"), "role", F.lit(" ")).alias("text"))
+    x = t.conversations.select(F.struct("conv_id", "turn").alias("k"), F.regexp_replace("text", "\n", "\r\n").alias("text"))
     return O.text_lines(x, "k").groupBy("k").agg(F.count("*").alias("n"), F.sum(F.length("line")).alias("chars")).select("k.*", "n", "chars")
 
 
@@ -39,29 +39,65 @@ def wrap_join(t):
     return O.wrapped_items(lines, "o_orderkey").select("o_orderkey", F.col("item_no").cast("int").alias("item_no"), "item")
 
 
-@query("""
-SELECT c_custkey, '国務大臣' AS section, '法務大臣' AS role, '田中三郎' AS name FROM customer UNION ALL SELECT c_custkey, NULL, '理事', '鈴木一郎' FROM customer
-UNION ALL SELECT c_custkey, NULL, '理事', '佐藤花子' FROM customer UNION ALL SELECT c_custkey, NULL, '委員', '高橋次郎' FROM customer""")
+K_SQL = "translate(CAST(%s AS VARCHAR), '0123456789', '零一二三四五六七八九')"
+
+
+def _k(c):
+    """A key as a name's letters: its digits in kanji."""
+    return F.translate(c.cast("string"), "0123456789", "零一二三四五六七八九")
+
+
+@query(f"""WITH c AS (SELECT c_custkey, {K_SQL % "c_custkey"} AS k, c_mktsegment AS seg FROM customer)
+SELECT c_custkey, '国務大臣' AS section, seg || '大臣' AS role, NULL AS title, '谷' || k || '四郎' AS name FROM c UNION ALL SELECT c_custkey, NULL, '理事', NULL, '森' || k || '一' FROM c
+UNION ALL SELECT c_custkey, NULL, '理事', NULL, '林' || k || '二' FROM c UNION ALL SELECT c_custkey, NULL, '委員', NULL, '高' || k || '三' FROM c
+UNION ALL SELECT c_custkey, '国務大臣', seg || '附属研究所' || '所長', NULL, '川' || k || '五' FROM c UNION ALL SELECT c_custkey, '国務大臣', '国務大臣', '（' || seg || '担当）', '原' || k || '六' FROM c""")
 def attendance_rows(t):
-    text = F.lit("　理事 鈴木　一郎君 理事 佐藤　花子君\n　　高橋　次郎君\n国務大臣\n　法務大臣 田中　三郎君")
+    k = _k(F.col(KEY))
+    text = F.concat(F.lit("　理事 森"), k, F.lit("　一君 理事 林"), k, F.lit("　二君\n　　高"), k, F.lit("　三君\n国務大臣\n　"), "c_mktsegment", F.lit("大臣 谷"), k, F.lit("　四郎君\n　"), "c_mktsegment", F.lit("附属研究所\n　　　所長 川"), k, F.lit("　五君\n　（"), "c_mktsegment", F.lit("担当） 原"), k, F.lit("　六君"))
     lines = O.text_lines(t.customer.select(KEY, text.alias("text")), KEY)
-    return O.attendance(lines, KEY, "委員").select(KEY, "section", "role", "name")
+    return O.attendance(lines, KEY, "委員").select(KEY, "section", "role", "title", "name")
 
 
-@query("SELECT o_orderkey, CAST(o_orderdate AS DATE) AS changed_at, '伊藤四郎' AS resigned, '渡辺五郎' AS appointed FROM orders")
+@query(f"""WITH o AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, {K_SQL % "o_custkey"} AS k FROM orders)
+SELECT o_orderkey, d AS changed_at, '伊' || k || '四郎' AS resigned, '渡' || k || '五郎' AS appointed FROM o UNION ALL SELECT o_orderkey, d, '石' || k || '一', '岡' || k || '二' FROM o""")
 def change_rows(t):
-    d = F.col("o_orderdate").cast("date")
-    text = F.concat(F.lit("委員の異動\n"), kanji(F.month(d)), F.lit("月"), kanji(F.dayofmonth(d)), F.lit("日\n辞任 補欠選任\n　伊藤　四郎君 渡辺　五郎君"))
+    d, k = F.col("o_orderdate").cast("date"), _k(F.col("o_custkey"))
+    text = F.concat(F.lit("委員の異動\n"), kanji(F.month(d)), F.lit("月"), kanji(F.dayofmonth(d)), F.lit("日\n辞任 補欠選任\n　伊"), k, F.lit("　四郎君 渡"), k, F.lit("　五郎君\n平成元年一月一日付の文書\n同日\n　石"), k, F.lit("　一君 岡"), k, F.lit("　二君"))
     lines = O.text_lines(t.orders.select(F.struct("o_orderkey", F.date_add(d, 5).alias("day")).alias("k"), text.alias("text")), "k")
     return O.changes(lines, "k", "k.day").select("k.o_orderkey", "changed_at", "resigned", "appointed")
 
 
-@query("SELECT c_custkey, '国立大学教授' AS role, 'ジョンスミス' AS name FROM customer WHERE c_custkey % 2 = 0 UNION ALL SELECT c_custkey, '法務大臣', '田中三郎' FROM customer WHERE c_custkey % 2 = 1")
+@query(f"""WITH c AS (SELECT c_custkey, {K_SQL % "c_custkey"} AS k, c_mktsegment AS seg FROM customer)
+SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN '国立大学教授' WHEN 1 THEN seg || '大臣' WHEN 2 THEN '' ELSE seg || '代表 ' || k || '局長' END AS role,
+CASE c_custkey % 4 WHEN 0 THEN 'ジョンスミス' WHEN 1 THEN '田' || k || '三郎' WHEN 2 THEN '田中' || k || '三郎' ELSE '山田太郎' || k END AS name FROM c""")
 def name_role_split(t):
-    c = F.when(F.col(KEY) % 2 == 0, "国立大学教授 ジョン スミス君").otherwise("法務大臣 田中 三郎君")
+    m, k = F.col(KEY) % 4, _k(F.col(KEY))
+    c = F.when(m == 0, F.lit("国立大学教授 ジョン スミス君")).when(m == 1, F.concat("c_mktsegment", F.lit("大臣 田"), k, F.lit(" 三郎君"))).when(m == 2, F.concat(F.lit("田中"), k, F.lit("三郎君")))
+    c = c.otherwise(F.concat("c_mktsegment", F.lit("代表 "), k, F.lit("局長 山田太郎"), k, F.lit("君")))
     return t.customer.select(KEY, M.name_and_role(c).alias("x")).select(KEY, "x.*")
 
 
+@query(f"""WITH o AS (SELECT o_orderkey, o_orderkey % 2 = 1 AS odd, o_orderpriority AS p, {K_SQL % "o_custkey"} AS k FROM orders), n AS (SELECT unnest(['attendance', 'attendance', 'attendance', 'membership', 'referred', 'agenda', 'agenda']) AS state, generate_subscripts([1, 2, 3, 4, 5, 6, 7], 1) AS i)
+SELECT o_orderkey, state, CASE i WHEN 1 THEN '委員長' WHEN 2 THEN '委員' WHEN 3 THEN replace(p, ' ', '') || '大臣' WHEN 4 THEN '伊' || k || '四郎' END AS a,
+CASE i WHEN 1 THEN '山' || k || '太郎' WHEN 2 THEN '高' || k || '三' WHEN 3 THEN '谷' || k || '六' WHEN 4 THEN '渡' || k || '五郎' WHEN 5 THEN p || '法律案（第' || k || '号）' WHEN 6 THEN p || 'の一部を改正する法律案（趣旨説明）' ELSE k || '審査の件' END AS b
+FROM o, n WHERE i <> 5 OR NOT odd""")
+def section_state(t):
+    d, k, p = F.col("o_orderdate").cast("date"), _k(F.col("o_custkey")), F.col("o_orderpriority")
+    odd, day = F.col("o_orderkey") % 2 == 1, F.concat(kanji(F.month(d)), F.lit("月"), kanji(F.dayofmonth(d)), F.lit("日"))
+    present = F.concat(F.lit("会議録\n 出席委員\n   委員長 山"), k, F.lit("　太郎君\n      高"), k, F.lit("　三君\n 国務大臣\n   "), p, F.lit("\n      大臣 谷"), k, F.lit("　六君\n"))
+    # half of the meetings change members inside the attendance, and a day there is no section of referrals
+    change = F.concat(F.when(odd, F.lit("")).otherwise("――――◇―――――\n委員の異動\n"), day, F.lit("\n　辞任 補欠選任\n　伊"), k, F.lit("　四郎君 渡"), k, F.lit("　五郎君\n――――◇―――――\n"))
+    refer = F.when(odd, F.lit("")).otherwise(F.concat(day, F.lit("\n　"), p, F.lit("法律案（第"), k, F.lit("号）\nは本委員会に付託された。\n")))
+    agenda = F.concat(F.lit("――――◇―――――\n本日の会議に付した案件\n　"), p, F.lit("の一部を改正する法律案\n　　（趣旨説明）\n○"), k, F.lit("審査の件\n――――◇―――――\n午前十時開議\n　発言"))
+    meetings = t.orders.select(F.struct("o_orderkey", F.date_add(d, 3).alias("day")).alias("k"), F.concat(present, change, refer, agenda).alias("text"))
+    s = O.sections(O.text_lines(meetings, "k"), "k")
+    key = F.col("k.o_orderkey").alias("o_orderkey")
+    item = lambda state: O.wrapped_items(s.where((F.col("state") == state) & ~F.col("control")), "k").select(key, F.lit(state).alias("state"), F.lit(None).cast("string").alias("a"), F.col("item").alias("b"))
+    people = O.attendance(s, "k", "委員", "出席委員").select(key, F.lit("attendance").alias("state"), F.col("role").alias("a"), F.col("name").alias("b"))
+    moved = O.changes(s, "k", "k.day").select(key, F.lit("membership").alias("state"), F.col("resigned").alias("a"), F.col("appointed").alias("b"))
+    return people.unionByName(moved).unionByName(item("referred")).unionByName(item("agenda"))
+
+
 @query("""
 WITH s AS (SELECT conv_id, role, min(turn) AS f FROM conversations GROUP BY 1, 2), n AS (SELECT conv_id, string_agg(role, ',' ORDER BY f, role) AS speakers FROM s GROUP BY 1)
 SELECT conv_id, any_value(speakers) AS speakers, count(*) AS speech_count, length(arg_min(text, turn)) AS intro, length(arg_max(text, turn)) AS closing FROM conversations JOIN n USING (conv_id) GROUP BY 1""")

@@ -66,10 +66,10 @@ def row_stitch(t):
     return r.select(KEY, "record_no", *[F.col("record")[i][0].alias(n) for i, n in enumerate(("number", "status", "priority"))])
 
 
-@query("SELECT page_id, len(l) AS n, array_to_string(l, ' ') AS urls FROM (SELECT page_id, regexp_extract_all(html, '<a [^>]*href=\"([^\"]*)\"', 1) AS l FROM pages)")
+@query("""SELECT page_id, len(l) AS n, replace(array_to_string(l, ' '), '&amp;', '&') AS urls, list_filter(l, lambda x: contains(x, '/'))[1] AS first FROM (SELECT page_id, regexp_extract_all(html, '<a [^>]*href="([^"]*)"', 1) AS l FROM pages)""")
 def page_links(t):
-    x = t.pages.select("page_id", H.links(F.col("html")).alias("l"))
-    return x.select("page_id", F.size("l").cast("long").alias("n"), F.array_join("l", " ").alias("urls"))
+    x = t.pages.select("page_id", html.links_of(F.col("html")).alias("l"))
+    return x.select("page_id", F.size("l").cast("long").alias("n"), F.array_join("l", " ").alias("urls"), H.first_link(F.col("l"), "/").alias("first"))
 
 
 @query("SELECT page_id, regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) || '/a' AS root, 'http://x.y/z' AS whole FROM pages")

@@ -28,6 +28,11 @@ def page_scan(spark: SparkSession, root: str) -> DataFrame:
     return files.select(at(-4).alias("dataset"), at(-3).alias("house"), at(-2).try_cast("int").alias("session"), F.regexp_replace(at(-1), "[.][^.]*$", "").alias("kind"), "content")
 
 
+def scan_pages(spark: SparkSession, root: str) -> DataFrame:
+    """path, content and the keys (dataset, house, session, entity ...) of files in folders named `key=value`."""
+    return spark.read.format("binaryFile").load(root).drop("modificationTime", "length")
+
+
 def decode_page(content: bytes | None, declared: str | None) -> str:
     """The first charset that decodes without an error; else UTF-8 with replacement characters."""
     content = content or b""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,3 +45,37 @@ def publish(df: DataFrame, path: str, partitions: list[str]) -> None:
 def to_json(keep_nulls: bool) -> Column:
     """The row as JSON, with nulls kept or dropped."""
     return F.to_json(F.struct("*"), {"ignoreNullFields": "false" if keep_nulls else "true"})
+
+
+def read_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Records of JSON lines; a record that doesn't fit keeps its text in ``_bad``."""
+    return spark.read.schema(f"{schema}, _bad string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").json(path)
+
+
+def publish_details(df: DataFrame, path: str, keep_nulls: bool) -> None:
+    """One row an entity: a table with nested columns, and the same as lines of JSON."""
+    df.write.mode("overwrite").parquet(f"{path}/table")
+    df.write.mode("overwrite").option("ignoreNullFields", "false" if keep_nulls else "true").json(f"{path}/json")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share (spark.checkpoint.dir); a fresh temporary one only where it is unset, as in tests."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    return root or "file://" + tempfile.mkdtemp(prefix="minutesmith-")
+
+
+def first_fault(rules: dict[str, Column]) -> Column:
+    """The name of the first rule that a row breaks (null counts as broken), an empty text if none: rows with one go to quarantine."""
+    return F.coalesce(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in rules.items()], F.lit(""))
+
+
+HOUSES = ["shugiin", "sangiin"]
+
+
+def known_house(c: Column) -> Column:
+    return c.isin(HOUSES)
+
+
+def houses_of(c: Column) -> Column:
+    """`all` is both houses, a house itself; anything else has none."""
+    return F.when(c == "all", F.array(*map(F.lit, HOUSES))).when(known_house(c), F.array(c)).otherwise(F.expr("cast(array() as array<string>)"))

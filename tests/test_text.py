@@ -14,6 +14,8 @@ CASES = [
     (T.era_date, "2024年 3月 1日", dt.date(2024, 3, 1)), (T.era_date, "未定", None), (T.era_date, "令和8年2月30日", None),
     (T.clock_time, "午前十時四分", "10:04"), (T.clock_time, "午後一時三十分", "13:30"), (T.clock_time, "正午", "12:00"), (T.clock_time, "午前十二時", "00:00"), (T.clock_time, "午後二十五時", None),
     (T.person_key, "山田　太郎君", "山田太郎"), (T.agenda_prefix, "○一、日程第二 刑法", "刑法"), (T.bill_title_key, "日程第一 刑法の一部を改正する法律案（内閣提出第三号）（趣旨説明）", "刑法の一部を改正する法律案"),
+    (T.agenda_prefix, "十三、刑法", "刑法"), (T.bill_title_key, "趣旨説明聴取の件", "趣旨説明聴取の件"), (T.petition_title_key, "外二件の請願に関する件", "外二件の請願に関する件"),
+    (T.kanji_number, "2十", None), (T.kanji_number, "二三十", 30), (T.clock_time, "午後十三時", "13:00"), (T.clock_time, "正午から午後一時", "12:00"), (T.era_date, "平成三十一年四月三十日", dt.date(2019, 4, 30)),
     (T.petition_title_key, "保育に関する外二件の請願", "保育に関する請願"), (T.closing_note, "令和6年10月9日（解散）", "解散"), (T.parse_int, "第２２１回", 221),
 ]
 
