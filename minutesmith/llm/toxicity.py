@@ -122,6 +122,11 @@ def _count(df: DataFrame, only: set[str] | None) -> DataFrame:
     return df.select("text").mapInArrow(count, "feature string, n long, marks long").groupBy("feature").agg(F.sum("n").alias("n"), F.bit_or("marks").alias("marks"))
 
 
+def _columns(df: DataFrame):
+    t = df.select("feature", "n", "marks").toArrow()
+    return zip(*(t.column(i).to_pylist() for i in range(3)), strict=True)
+
+
 def distinct(n: int, marks: int) -> float:
     """At most how many of n rows have neighbourhoods of their own, from the sketch (a full one tells nothing)."""
     import math
@@ -149,9 +154,10 @@ def propose_voters(labelled: DataFrame) -> tuple[dict[str, tuple[float, float]],
     share, enough = toxic / (toxic + clean), -math.log(CHANCE)
     least = enough / -math.log(share)  # fewer rows than these are no evidence, even if none is clean
     form = F.col("feature").startswith("#")
-    pos = {r["feature"]: distinct(r["n"], r["marks"]) for r in _count(labelled.where("y = 1"), None).where((F.col("n") >= least) | form).collect() if r["feature"]}
+    # columns, not rows, come to the driver: what can vote is bounded by LABEL_ROWS
+    pos = {f: distinct(n, m) for f, n, m in _columns(_count(labelled.where("y = 1"), None).where((F.col("n") >= least) | form)) if f}
     names = {f"#{n}{t}" for n in ("capitals", "loud") for t in SHARES} | {f"#same{t}" for t in (0.5, 0.8)} | {f"#run{k}" for k in RUNS}
-    neg = {r["feature"]: r["n"] for r in _count(labelled.where("y = 0"), set(pos) | names).collect()}
+    neg = {f: n for f, n, _ in _columns(_count(labelled.where("y = 0"), set(pos) | names))}
     rate = lambda f: ((pos.get(f, 0) + 0.1) / (toxic + 1), (neg.get(f, 0) + 0.2) / (clean + 1))
     good, bad = [], {}
     for f in set(pos) | names:
@@ -312,6 +318,8 @@ def train(df: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, label_rows
     post = {v: float(p) for ((v, _), _), p in zip(patterns, model["post"], strict=True)}
     gain = model["on"]
     w = fit_linear([(r["words"], vote_sum(v, gain), post[v]) for r, v in zip(sample, votes, strict=True)])
+    del sample, patterns, votes, counts
+    lean()
     return {"voters": voters, "toxic": m, "gain": gain.tolist(), "w": w.tolist(), "accuracy": model["accuracy"].tolist(), "correlation": model["correlation"].tolist()}
 
 
