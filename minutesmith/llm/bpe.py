@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import unicodedata
 from array import array
 from collections.abc import Iterator
 
@@ -34,13 +35,25 @@ LEAF = 12
 #: Texts over this many characters are dealt to several tasks, in rows of about ``PIECE_CHARS``.
 LONG_CHARS = 1 << 20
 PIECE_CHARS = 1 << 16
-#: Runs, and pre-tokens, that a worker keeps, twice (a younger and an older table); longer ones than ``KEPT_CHARS`` aren't kept.
-CACHE = 150_000
+#: Runs, and half as many pre-tokens, that a worker keeps, twice (a younger and an older table); longer ones than
+#: ``KEPT_CHARS`` aren't kept.
+CACHE = 300_000
 KEPT_CHARS = 64
 #: White space as the vocabulary's patterns know it (Python's own has four more control characters).
 SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
+#: Characters below this one need no normaliser but for their lower case (U+0250 ends the Latin letters with one).
+LATIN = 0x250
+
+
+def byte_letters() -> list[str]:
+    """The letter that byte-level vocabularies write for each byte: itself if printable, else from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return [chr(b) if b in plain else chr(256 + rest.index(b)) for b in range(256)]
+
+
 def vocabulary_path(path: str | None) -> str:
     if path:
         return path
@@ -49,6 +62,25 @@ def vocabulary_path(path: str | None) -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
+class Runs(dict):
+    """The ids of runs, worked out when first asked for; at ``CACHE`` runs the table starts anew beside its older self."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.old = make, {}
+
+    def __missing__(self, run: str):
+        e = self.old.get(run)
+        if e is None:
+            e = self.make(run)
+        if len(run) <= KEPT_CHARS:
+            if len(self) >= CACHE:
+                self.old = self.copy()
+                self.clear()
+            self[run] = e
+        return e
+
+
 class Encoder:
     """Encodes whole texts exactly as the tokenizers library does; learns nothing."""
 
@@ -73,8 +105,11 @@ class Encoder:
         self.odd = re.compile("[\x1c-\x1f]").search
         self.split = re.compile(f"[^{SPACES}]+").findall
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.plain = re.compile(pattern.replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9"), re.ASCII).findall
-        self.new, self.old = {}, {}
+        kind = {k: "".join(re.escape(chr(c)) for c in range(LATIN) if unicodedata.category(chr(c))[0] == k) for k in "LN"}
+        self.plain = re.compile(pattern.replace(r"[\p{L}]", f"[{kind['L']}]").replace(r"[\p{N}]", f"[{kind['N']}]").replace(r"\p{L}\p{N}", kind["L"] + kind["N"])).findall
+        self.foreign = re.compile(f"[^!-~\xa1-\xac\xae-{chr(LATIN - 1)}]").search
+        self.letters = dict(enumerate(byte_letters()))
+        self.found = Runs(self._run)
         self.young, self.aged = {}, {}
 
     # one pre-token
@@ -104,6 +139,8 @@ class Encoder:
 
     def encode_symbols(self, symbols: str, last: bool = True) -> list[int]:
         """The ids of a pre-token, or of a stretch inside it, through the tree of its leaves."""
+        if len(symbols) <= self.leaf:
+            return self.encode_leaf(symbols, last)
         leaves = [symbols[i : i + self.leaf] for i in range(0, len(symbols), self.leaf)]
         return self.tree([self.encode_leaf(x, last and i + 1 == len(leaves)) for i, x in enumerate(leaves)], last)
 
@@ -121,14 +158,22 @@ class Encoder:
             yield p in self.ids, p
 
     def words(self, run: str) -> list[str]:
-        """The pre-tokens of a run without white space, as symbols; printable ASCII stands for itself once it is in lower case."""
-        if run.isascii() and run.isprintable():
-            return self.plain(run.lower())
-        return [x[0] for x in self.pretokens(self.normal(run))]
-
-    def entry(self, ids: list[int]) -> tuple:
+        """The pre-tokens of a run without white space, as symbols.
+
+        Printable characters below ``LATIN`` have no marks to order or compose and one lower case each, so that the same
+        pattern over an explicit list of letters and digits gives what the library's normaliser and pre-tokenizer give.
+        """
+        if self.foreign(run):
+            return [x[0] for x in self.pretokens(self.normal(run))]
+        low = run.lower()
+        if low.isascii():
+            return self.plain(low)
+        return [w if w.isascii() else w.encode().decode("latin-1").translate(self.letters) for w in self.plain(low)]
+
+    def entry(self, ids: list[int]):
+        """ids as bytes, or with ``strings`` (ids as bytes, decimal ids, decoded text)."""
         packed = array("I", ids).tobytes()
-        return (packed, " ".join([self.decimal[i] for i in ids]), " ".join([self.tokens[i] for i in ids])) if self.strings else (packed,)
+        return (packed, " ".join([self.decimal[i] for i in ids]), " ".join([self.tokens[i] for i in ids])) if self.strings else packed
 
     def word(self, symbols: str) -> list[int]:
         """A pre-token's ids, looked up if it was seen before."""
@@ -136,41 +181,30 @@ class Encoder:
         if e is None:
             e = self.aged.get(symbols) or self.encode_symbols(symbols)
             if len(symbols) <= KEPT_CHARS:
-                if len(self.young) >= CACHE:
+                if len(self.young) >= CACHE // 2:
                     self.young, self.aged = {}, self.young
                 self.young[symbols] = e
         return e
 
-    def _miss(self, run: str) -> tuple:
-        e = self.old.get(run)
-        if e is None:
-            words = self.words(run)
-            e = self.entry(self.word(words[0]) if len(words) == 1 else [i for w in words for i in self.word(w)])
-        if len(run) <= KEPT_CHARS:
-            if len(self.new) >= CACHE:
-                self.new, self.old = {}, self.new
-            self.new[run] = e
-        return e
+    def _run(self, run: str):
+        words = self.words(run)
+        return self.entry(self.word(words[0]) if len(words) == 1 else [i for w in words for i in self.word(w)])
 
-    def entries(self, text: str) -> list[tuple]:
-        """(ids as bytes, decimal ids, decoded text) of each run, in order."""
+    def entries(self, text: str) -> list:
+        """The entry of each run, in order."""
         out = []
         for special, part in self.parts(text):
             if special:
                 out.append(self.entry([self.ids[part]]))
-                continue
-            get, add = self.new.get, out.append
-            for run in self.runs(part):
-                e = get(run)
-                if e is None:
-                    e = self._miss(run)
-                    get = self.new.get
-                add(e)
+            else:
+                found = self.found
+                out += [found[run] for run in self.runs(part)]
         return out
 
     def encode_bytes(self, text: str | None) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        return b"".join([e[0] for e in self.entries(text or "")])
+        e = self.entries(text or "")
+        return b"".join([x[0] for x in e] if self.strings else e)
 
     def encode(self, text: str | None) -> list[int]:
         import numpy as np

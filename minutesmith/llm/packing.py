@@ -121,7 +121,7 @@ def pieces(df: DataFrame, path: str | None, window: int) -> DataFrame:
     end = END.to_bytes(4, "little")
 
     def cut(enc, doc, entries):
-        ids = b"".join([e[0] for e in entries]) + end
+        ids = b"".join(entries) + end
         n = len(ids) // 4
         return [(doc, s, min(window, n - s), zlib.crc32(ids[4 * s : 4 * (s + window)]), n) for s in range(0, n, window)]
 
