@@ -35,9 +35,9 @@ LEAF = 12
 #: Texts over this many characters are dealt to several tasks, in rows of about ``PIECE_CHARS``.
 LONG_CHARS = 1 << 20
 PIECE_CHARS = 1 << 16
-#: Runs, and half as many pre-tokens, that a worker keeps, twice (a younger and an older table); longer ones than
+#: Runs (half as many where their strings are kept), and half as many pre-tokens, that a worker keeps, twice (a younger and an older table); longer ones than
 #: ``KEPT_CHARS`` aren't kept.
-CACHE = 300_000
+CACHE = 500_000
 KEPT_CHARS = 64
 #: White space as the vocabulary's patterns know it (Python's own has four more control characters).
 SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -63,18 +63,18 @@ def vocabulary_path(path: str | None) -> str:
 
 
 class Runs(dict):
-    """The ids of runs, worked out when first asked for; at ``CACHE`` runs the table starts anew beside its older self."""
+    """The ids of runs, worked out when first asked for; at ``most`` runs the table starts anew beside its older self."""
 
-    def __init__(self, make):
+    def __init__(self, make, most: int):
         super().__init__()
-        self.make, self.old = make, {}
+        self.make, self.most, self.old = make, most, {}
 
     def __missing__(self, run: str):
         e = self.old.get(run)
         if e is None:
             e = self.make(run)
         if len(run) <= KEPT_CHARS:
-            if len(self) >= CACHE:
+            if len(self) >= self.most:
                 self.old = self.copy()
                 self.clear()
             self[run] = e
@@ -109,7 +109,7 @@ class Encoder:
         self.plain = re.compile(pattern.replace(r"[\p{L}]", f"[{kind['L']}]").replace(r"[\p{N}]", f"[{kind['N']}]").replace(r"\p{L}\p{N}", kind["L"] + kind["N"])).findall
         self.foreign = re.compile(f"[^!-~\xa1-\xac\xae-{chr(LATIN - 1)}]").search
         self.letters = dict(enumerate(byte_letters()))
-        self.found = Runs(self._run)
+        self.found = Runs(self._run, CACHE // 2 if strings else CACHE)
         self.young, self.aged = {}, {}
 
     # one pre-token
@@ -175,20 +175,26 @@ class Encoder:
         packed = array("I", ids).tobytes()
         return (packed, " ".join([self.decimal[i] for i in ids]), " ".join([self.tokens[i] for i in ids])) if self.strings else packed
 
-    def word(self, symbols: str) -> list[int]:
-        """A pre-token's ids, looked up if it was seen before."""
+    def word(self, symbols: str):
+        """A pre-token's entry, looked up if it was seen before."""
         e = self.young.get(symbols)
         if e is None:
-            e = self.aged.get(symbols) or self.encode_symbols(symbols)
+            e = self.aged.get(symbols)
+            if e is None:
+                e = self.entry(self.encode_symbols(symbols))
             if len(symbols) <= KEPT_CHARS:
-                if len(self.young) >= CACHE // 2:
+                if len(self.young) >= self.found.most // 2:
                     self.young, self.aged = {}, self.young
                 self.young[symbols] = e
         return e
 
     def _run(self, run: str):
-        words = self.words(run)
-        return self.entry(self.word(words[0]) if len(words) == 1 else [i for w in words for i in self.word(w)])
+        parts = [self.word(w) for w in self.words(run)]
+        if len(parts) == 1:
+            return parts[0]
+        if not self.strings:
+            return b"".join(parts)
+        return b"".join([p[0] for p in parts]), " ".join([p[1] for p in parts]), " ".join([p[2] for p in parts])
 
     def entries(self, text: str) -> list:
         """The entry of each run, in order."""
