@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -57,6 +58,7 @@ class Blocks(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.stack, self.blocks, self.tags, self.silent, self.link = [], [], 0, 0, 0
+        self.open, self.around = Counter(), [()]  # open elements by name; the features around, shared while none is added
         self.fresh()
 
     def fresh(self):
@@ -66,14 +68,17 @@ class Blocks(HTMLParser):
         self.tags += 1
         if tag in BLOCKS:
             for open_tag in ("p", "li", "dt", "dd", "td", "th", "tr", "option"):
-                if tag in CLOSES[open_tag] and self.stack and any(t == open_tag for t, _ in self.stack):
+                if self.open[open_tag] and tag in CLOSES[open_tag]:
                     self.close_to(open_tag, {"ul", "ol", "dl", "table", "article", "main", "section", "div"})
             self.fresh()
         elif tag == "br":
             self.handle_data(" ")
         if tag in VOID:
             return
-        self.stack.append((tag, features(tag, attrs)))
+        added = tuple(f for f in features(tag, attrs) if f not in NEUTRAL)
+        self.stack.append(tag)
+        self.open[tag] += 1
+        self.around.append(self.around[-1] + added if added else self.around[-1])
         self.silent += tag in SILENT
         self.link += tag == "a"
 
@@ -84,19 +89,22 @@ class Blocks(HTMLParser):
 
     def close_to(self, tag, stops):
         for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == tag:
-                for t, _ in self.stack[i:]:
+            if self.stack[i] == tag:
+                for t in self.stack[i:]:
                     self.silent -= t in SILENT
                     self.link -= t == "a"
-                del self.stack[i:]
+                    self.open[t] -= 1
+                del self.stack[i:], self.around[i + 1 :]
                 return
-            if self.stack[i][0] in stops:
+            if self.stack[i] in stops:
                 return
 
     def handle_endtag(self, tag):
         self.tags += 1
         if tag in BLOCKS:
             self.fresh()
+        if not self.open[tag]:
+            return
         self.close_to(tag, {"article", "main", "body"} - {tag} if tag not in ("html", "body") else set())
 
     def handle_data(self, data):
@@ -105,7 +113,7 @@ class Blocks(HTMLParser):
         if self.now is None:
             if not data.strip():
                 return
-            self.now = [[], [f for _, fs in self.stack for f in fs], self.tags, any(t in ("article", "main") for t, _ in self.stack), 0]
+            self.now = [[], self.around[-1], self.tags, bool(self.open["article"] or self.open["main"]), 0]
             self.blocks.append(self.now)
             self.tags = 0
         self.now[0].append(data)

@@ -71,6 +71,19 @@ def test_html(spark):
     assert out == [(1, want, len(want))] * 2 + [(2, "", 0), (3, "", 0), (4, "Only some plain words.", 22)]
 
 
+def test_html_nesting():
+    """Cost grows in proportion to nesting, and so does the text that is found."""
+    import time
+
+    took = []
+    for n in (4_000, 32_000):
+        page = "<div>word " * n + "</div>" * n
+        t = time.process_time()
+        assert html_extract.extract(page).count("word") == n
+        took.append(time.process_time() - t)
+    assert took[1] < 20 * took[0] and took[1] < 5
+
+
 def test_html_learned(spark):
     """A class with much inside content and far more outside is boilerplate, one with far more inside is content, and rare
     classes of many sites count as well."""
