@@ -1,31 +1,48 @@
 """Operator 8: scores of a log-bilinear language model trained with noise-contrastive estimation.
 
-Spark counts every training token, then every pair of neighbouring word classes (the most frequent words, and one class
-for the rest). The model gives class w after class h the score r_h . q_w + b_w; it is trained in numpy on the counted
-pairs by noise-contrastive estimation against the unigram distribution, and one batched matrix product normalises the
-scores of all classes after each class. A rare word's probability is its class's times its share of the class.
+Classes: the most frequent words and the end have a class each; every other word, known or not, shares one of as many
+hashed classes, and its probability is its class's times its smoothed share of the class. There are ``CLASSES`` plus
+twice the root of the number of different training words, so the model grows with the corpus.
+
+Context: ``CONTEXT`` words before. For each distance the log-bilinear model gives class w after class h the score
+r(distance, h) . q_w + b_w, and batched matrix products over all classes normalise it. The token's probability is a
+mixture of the distances and of the class's own frequency, so it is normalised too; the mixture's weights are estimated
+by expectation-maximisation. Training is numpy inside Spark tasks: in each of ``PASSES`` passes every task goes through
+all pairs of its own training texts by noise-contrastive estimation, from the parameters of the last pass; Spark then
+averages each vector over the tasks, weighted by its number of pairs. Steps grow with tokens, nothing is sampled but the
+noise. Only the parameters, whose number grows with the root of the vocabulary, travel to the driver and back.
 
 ``base_score`` uses the exact count of every token: frequent words travel to the tasks as a table of at most ``HEAVY``
 words; the others are joined with their counts.
 
 Defined results: null and empty texts are one end token; a null doc_id belongs to training; repeated rows each count
-and each give a row; with no training token at all the model is uniform.
+and each give a row; with no training token at all every class is equally likely; long texts are scored whole; other
+columns, whatever they are called, are not read.
 """
 
 from __future__ import annotations
 
+import zlib
+from dataclasses import dataclass
+from math import isqrt
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, lean
 
 HEAVY = 1 << 17
 CLASSES = 1024
-DIM = 40
-NOISE = 16
-BATCH = 4096
-STEPS = 500
+CONTEXT = 2
+DIM = 32
+PASSES = 2
+#: Noise samples for each pair, and how many are drawn for a batch, whose pairs share them.
+NOISE, SHARED = 16, 64
+BATCH = 512
+#: Pairs are counted over so many tokens of a task, and one that comes more often than ``REPEAT`` times counts as several.
+TOKENS, REPEAT = 1 << 19, 8
+RATE = 0.2
 END = b""
 
 
@@ -59,60 +76,260 @@ def count_words(df: DataFrame) -> DataFrame:
     return df.select("text").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def count_pairs(df: DataFrame, classes: dict[bytes, int], rest: int) -> DataFrame:
-    """pair (before * size + after), c over the texts; class 0 is the end, which also stands before the first word."""
-    size = rest + 1
+@dataclass
+class Vocabulary:
+    """Frequent words, their counts and the classes: 0 is the end, then the words of their own, then the hashed ones."""
 
-    def run(batches):
+    words: list
+    known: object
+    own: int
+    size: int
+    class_count: object
+    class_words: object
+
+    def __post_init__(self):
         import numpy as np
 
-        total = np.zeros(size * size, np.int64)
-        get = classes.get
-        for b in batches:
-            ids = []
-            for text in b.column(0).to_pylist():
-                ids.append(0)
-                ids += [get(w, rest) for w in words_of(text)]
-            if ids:
-                a = np.array([*ids, 0])
-                total += np.bincount(a[:-1] * size + a[1:], minlength=size * size)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["pair", "c"])
+        self.place = {w: i for i, w in enumerate(self.words)}
+        names = [w for w in self.words if w != END][: self.own]
+        named = {w: i + 1 for i, w in enumerate(names)}
+        self.class_of = np.array([0 if w == END else named.get(w) or self.hashed(w) for w in self.words], np.int64)
+
+    def hashed(self, word: bytes) -> int:
+        return self.own + 1 + zlib.crc32(word) % (self.size - self.own - 1)
+
+    def shares(self):
+        """log10 of each hashed class's smoothed total, by which the smoothed count of one of its words is divided."""
+        import numpy as np
+
+        out = np.log10(self.class_count + 0.1 * (self.class_words + 1))
+        out[: self.own + 1] = 0
+        return out
+
+    def unigram(self):
+        q = self.class_count + 0.5
+        return q / q.sum()
+
+    def read(self, texts):
+        """Places (``len(words)``: not frequent) and classes of all tokens of the texts, ``CONTEXT`` ends before each text
+        and one after it, where each text starts, and its rare words."""
+        import numpy as np
 
-    return df.select("text").mapInArrow(run, "pair long, c long").groupBy("pair").agg(F.sum("c").alias("c"))
+        miss, get, at, start, places, rare = len(self.words), self.place.get, 0, [], [], []
+        for text in texts:
+            w = words_of(text)
+            p = [get(x, miss) for x in w]
+            rare.append([x for x, i in zip(w, p, strict=True) if i == miss])
+            start.append(at)
+            places += [-1] * CONTEXT
+            places += p
+            places.append(-1)
+            at += len(w) + CONTEXT + 1
+        places = np.array(places, np.int64)
+        classes = np.zeros(len(places), np.int64)
+        frequent = (places >= 0) & (places < miss)
+        classes[frequent] = self.class_of[places[frequent]]
+        classes[places == miss] = [self.hashed(x) for r in rare for x in r]
+        return places, classes, np.array(start, np.int64), rare
 
 
-def train_nce(pairs, counts, size: int, dim: int = DIM, steps: int = STEPS, batch: int = BATCH, noise: int = NOISE):
-    """log10 P(after | before), (size, size) float32, from counted pairs."""
+def vocabulary(counts: DataFrame, heavy: int, classes: int) -> tuple[Vocabulary, int, int]:
+    """The vocabulary, and the numbers of all and of different training tokens."""
     import numpy as np
 
+    total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+    n, v = total["n"], total["v"]
+    size = classes + 2 * isqrt(v)
+    top = counts.orderBy(F.desc("c"), "word").limit(heavy).toArrow()
+    words, known = top.column("word").to_pylist(), np.array(top.column("c").to_pylist(), np.int64)
+    own = min(size // 2, len(words))
+    of = Vocabulary(words, known, own, size, np.zeros(size), np.zeros(size))
+    # totals of the hashed classes over all words, less the words that have a class of their own
+    slots = size - own - 1
+    for r in counts.groupBy((F.crc32("word") % slots).alias("slot")).agg(F.sum("c").alias("c"), F.count("*").alias("v")).toArrow().to_pylist():
+        of.class_count[own + 1 + r["slot"]], of.class_words[own + 1 + r["slot"]] = r["c"], r["v"]
+    for w, c, k in zip(words, known.tolist(), of.class_of.tolist(), strict=True):
+        if k <= own:
+            h = of.hashed(w)
+            of.class_count[h] -= c
+            of.class_words[h] -= 1
+            of.class_count[k] = c
+    if END not in of.place:
+        end = counts.where(F.length("word") == 0).select("c").first()
+        if end:
+            of.class_count[0] = end["c"]
+            h = of.hashed(END)
+            of.class_count[h] -= end["c"]
+            of.class_words[h] -= 1
+    return of, n, v
+
+
+def contexts(classes, at, size: int):
+    """Row of r for each distance (one column each) and each place."""
+    import numpy as np
+
+    return np.stack([classes[at - d] + (d - 1) * size for d in range(1, CONTEXT + 1)], 1)
+
+
+def targets(n: int, start):
+    """Places of tokens that are predicted: all but the ends before a text."""
+    import numpy as np
+
+    keep = np.ones(n, bool)
+    for d in range(CONTEXT):
+        keep[start + d] = False
+    return np.flatnonzero(keep)
+
+
+def components(r, w, z, q, h, t):
+    """Probability of class t by its frequency and by each distance's model, one column each."""
+    import numpy as np
+
+    out = np.empty((len(t), CONTEXT + 1))
+    out[:, 0] = q[t]
+    for a in range(0, len(t), 1 << 15):
+        v = w[t[a : a + (1 << 15)]]
+        for d in range(CONTEXT):
+            x = h[a : a + (1 << 15), d]
+            out[a : a + (1 << 15), d + 1] = np.exp(np.einsum("ij,ij->i", r[x], v) - z[x])
+    return out
+
+
+def gather(rows, values):
+    """Distinct rows, and the sums of their values."""
+    import numpy as np
+
+    order = np.argsort(rows, kind="stable")
+    rows = rows[order]
+    first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+    return rows[first], np.add.reduceat(values[order], first, axis=0)
+
+
+def train_nce(r, w, gr, gw, q, h, t, c, rng, rate: float = RATE, batch: int = BATCH):
+    """One pass of noise-contrastive estimation over pairs (h, t) that occur c times; changes r, w and their step sizes.
+
+    The last place of every r is 1, so that the last one of w is the bias."""
+    import numpy as np
+
+    logkq, cum = np.log(NOISE * q).astype(np.float32), np.cumsum(q)
+    order = rng.permutation(len(h))
+    for a in range(0, len(order), batch):
+        i = order[a : a + batch]
+        hi, ti, ci = h[i], t[i], (c[i] / c[i].sum() * 50).astype(np.float32)
+        n = np.minimum(np.searchsorted(cum, rng.random(SHARED)), len(q) - 1)
+        rh, wt, wn = r[hi], w[ti], w[n]
+        g = ci * (1 - 1 / (1 + np.exp(-np.clip(np.einsum("ij,ij->i", rh, wt) - logkq[ti], -30, 30))))
+        gn = -(ci * (NOISE / SHARED))[:, None] / (1 + np.exp(-np.clip(rh @ wn.T - logkq[n], -30, 30)))
+        rows, dr = gather(hi, g[:, None] * wt + gn @ wn)
+        dr[:, -1] = 0
+        cols, dw = gather(np.concatenate([ti, n]), np.concatenate([g[:, None] * rh, gn.T @ rh]))
+        for x, gx, u, d in ((r, gr, rows, dr), (w, gw, cols, dw)):
+            gx[u] += d * d
+            x[u] += rate * d / np.sqrt(gx[u])
+
+
+def mix(p, weights, rounds: int):
+    """Weights of the mixture after rounds of expectation-maximisation over the components' probabilities."""
+    for _ in range(rounds):
+        x = p * weights
+        weights = (x / x.sum(1, keepdims=True)).mean(0)
+    return weights
+
+
+def train(learn: DataFrame, of: Vocabulary, q):
+    """r, w, log normalisers z of r's rows, and the mixture's weights."""
+    import numpy as np
+
+    sc, size = learn.sparkSession.sparkContext, of.size
     rng = np.random.default_rng(11)
-    after = np.bincount(pairs % size, counts, size) + 0.5
-    q = after / after.sum()
-    logkq = np.log(noise * q)
-    r, w, b = rng.normal(0, 0.1, (size, dim)), rng.normal(0, 0.1, (size, dim)), np.log(q)
-    gr, gw, gb = np.full(r.shape, 1e-2), np.full(w.shape, 1e-2), np.full(size, 1e-2)
-    cum, cumq = np.cumsum(counts / max(1, counts.sum())), np.cumsum(q)
-    rate = 0.2
-    for _ in range(steps if len(pairs) else 0):
-        p = pairs[np.minimum(np.searchsorted(cum, rng.random(batch)), len(pairs) - 1)]
-        h, t = p // size, p % size
-        n = np.minimum(np.searchsorted(cumq, rng.random(noise * 16)), size - 1)  # one noise sample serves the batch
-        g = 1 - 1 / (1 + np.exp(-np.clip((r[h] * w[t]).sum(1) + b[t] - logkq[t], -30, 30)))
-        s = r[h] @ w[n].T + b[n] - logkq[n]
-        gn = -1 / (1 + np.exp(-np.clip(s, -30, 30))) / 16
-        dr = np.zeros_like(r)
-        np.add.at(dr, h, g[:, None] * w[t] + gn @ w[n])
-        dw = np.zeros_like(w)
-        np.add.at(dw, t, g[:, None] * r[h])
-        np.add.at(dw, n, gn.T @ r[h])
-        db = np.bincount(t, g, size) + np.bincount(n, gn.sum(0), size)
-        for x, gx, d in ((r, gr, dr / batch * 50), (w, gw, dw / batch * 50), (b, gb, db / batch * 50)):
-            gx += d * d
-            x += rate * d / np.sqrt(gx)
-    s = r @ w.T + b
-    s -= s.max(1, keepdims=True)
-    return ((s - np.log(np.exp(s).sum(1, keepdims=True))) / np.log(10)).astype(np.float32)
+    r, w = (rng.normal(0, 0.1, (k * size, DIM + 1)).astype(np.float32) for k in (CONTEXT, 1))
+    r[:, -1], w[:, -1] = 1, np.log(q)
+    weights, z = np.full(CONTEXT + 1, 1 / (CONTEXT + 1)), None
+    names = [f"d{i}" for i in range(DIM + 1)]
+    vocab = sc.broadcast(of)
+    for step in range(PASSES):
+        sent = sc.broadcast((r, w, z, weights))
+
+        def run(batches, sent=sent, step=step):
+            lean("lm")
+            of, (r0, w0, z, weights) = vocab.value, sent.value
+            size, rng = of.size, np.random.default_rng(step)
+            r, w = r0.copy(), w0.copy()
+            gr, gw = np.full(r.shape, 1e-2, np.float32), np.full(w.shape, 1e-2, np.float32)
+            seen, mixed, tokens = np.zeros(len(r) + size), np.zeros(CONTEXT + 1), 0
+            held, n = [], 0
+
+            def learn_held():
+                key, c = np.unique(np.concatenate(held), return_counts=True)
+                parts = -(-c // REPEAT)
+                key, c = np.repeat(key, parts), np.repeat(c / parts, parts)
+                h, t = key // size, key % size
+                train_nce(r, w, gr, gw, q, h, t, c, rng, RATE / (step + 1))
+                seen[: len(r)] += np.bincount(h, c, len(r))
+                seen[len(r) :] += np.bincount(t, c, size)
+
+            for b in batches:
+                _, classes, start, _ = of.read(b.column(0).to_pylist())
+                at = targets(len(classes), start)
+                if not len(at):
+                    continue
+                h, t = contexts(classes, at, size), classes[at]
+                if z is not None:
+                    mixed += len(t) * mix(components(r0, w0, z, q, h, t), weights, 10)
+                    tokens += len(t)
+                held.append((h * size + t[:, None]).ravel())
+                n += len(t)
+                if n >= TOKENS:
+                    learn_held()
+                    held, n = [], 0
+            if held:
+                learn_held()
+            rows = np.flatnonzero(seen)
+            values = np.concatenate([r, w])[rows]
+            weight = seen[rows]
+            if tokens:
+                rows, weight = np.append(rows, -1), np.append(weight, tokens)
+                last = np.zeros((1, DIM + 1))
+                last[0, : CONTEXT + 1] = mixed / tokens
+                values = np.concatenate([values, last])
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(weight), *(pa.array(values[:, i].astype(np.float32)) for i in range(DIM + 1))], names=["row", "weight", *names])
+
+        parts = learn.select("text").mapInArrow(run, "row long, weight double, " + ", ".join(f"{x} float" for x in names))
+        mean = parts.groupBy("row").agg(F.sum("weight").alias("weight"), *[(F.sum(F.col(x) * F.col("weight")) / F.sum("weight")).cast("float").alias(x) for x in names]).toArrow()
+        rows = mean.column("row").to_numpy()
+        values = np.stack([mean.column(x).to_numpy() for x in names], 1) if len(rows) else np.zeros((0, DIM + 1), np.float32)
+        both, ok = np.concatenate([r, w]), rows >= 0
+        both[rows[ok]] = values[ok]
+        if not ok.all():
+            weights = values[~ok][0, : CONTEXT + 1].astype(float)
+        r, w = both[: len(r)], both[len(r) :]
+        sent.destroy()
+        z = normalisers(learn.sparkSession, r, w)
+    vocab.destroy()
+    return r, w, z, weights / weights.sum()
+
+
+def normalisers(spark, r, w):
+    """log of the sum over all classes of exp(score), for every row of r: batched matrix products, dealt over tasks."""
+    import numpy as np
+
+    sent = spark.sparkContext.broadcast((r, w))
+
+    def run(batches):
+        r, w = sent.value
+        for b in batches:
+            rows, out = b.column(0).to_numpy(), []
+            for a in range(0, len(rows), 256):
+                s = r[rows[a : a + 256]] @ w.T
+                m = s.max(1, keepdims=True)
+                out.append(np.log(np.exp(s - m).sum(1)) + m[:, 0])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.concatenate(out).astype(float) if out else [], pa.float64())], names=["id", "z"])
+
+    found = spark.range(0, len(r), 1, 1 + len(r) * len(w) // (1 << 25)).mapInArrow(run, "id long, z double").toArrow()
+    z = np.zeros(len(r))
+    z[found.column("id").to_numpy()] = found.column("z").to_numpy()
+    sent.destroy()
+    return z
 
 
 def lm_score(df: DataFrame, heavy: int = HEAVY, classes: int = CLASSES) -> DataFrame:
@@ -123,50 +340,40 @@ def lm_score(df: DataFrame, heavy: int = HEAVY, classes: int = CLASSES) -> DataF
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     learn = docs.where(~held_out(F.col("doc_id")))
     counts = s.keep(count_words(learn), "counts")
-    total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    n, v = total["n"], total["v"]
-    top = counts.orderBy(F.desc("c"), "word").limit(heavy).toArrow()
-    words, known = top.column("word").to_pylist(), np.array(top.column("c").to_pylist(), np.int64)
-    names = [w for w in words[: classes - 1] if w != END][: classes - 2]
-    rest = len(names) + 1
-    size = rest + 1
-    of_class = {w: i + 1 for i, w in enumerate(names)} | {END: 0}
-    pairs = count_pairs(learn, of_class, rest).toArrow()
-    pair, times = np.array(pairs.column("pair")), np.array(pairs.column("c"))
-    order = np.argsort(pair, kind="stable")
-    table = train_nce(pair[order], times[order].astype(float), size)
-    place = {w: i for i, w in enumerate(words)}
-    class_of = np.array([of_class.get(w, rest) for w in words] + [rest], np.int64)
-    in_rest = n - sum(int(c) for w, c in zip(words, known, strict=True) if w in of_class)
-    v_rest = v - sum(w in of_class for w in words)
-    base_log, rest_log = float(np.log10(n + 0.1 * (v + 1))), float(np.log10(in_rest + 0.1 * (v_rest + 1)))
-    log_c = np.append(np.log10(known + 0.1), 0.0)
-    end_at, miss = place.get(END, -1), len(words)
-    del top, pairs
+    of, n, v = vocabulary(counts, heavy, classes)
+    q = of.unigram()
+    model = train(learn, of, q)
+    base_log = float(np.log10(n + 0.1 * (v + 1)))
+    end_log = float(np.log10(of.class_count[0] + 0.1))
+    end_known = int(of.class_count[0] > 0)
+    sent = df.sparkSession.sparkContext.broadcast((of, *model))
     fields = "rid long, doc_id long, n_tokens long, n_seen long, base double, lm double, rare array<struct<word:binary,tf:long>>"
     rare_type = pa.list_(pa.struct([("word", pa.binary()), ("tf", pa.int64())]))
 
     def run(batches):
         from collections import Counter
 
-        get = place.get
+        lean("lm")
+        of, r, w, z, weights = sent.value
+        shares, log_c, miss = of.shares(), np.log10(np.append(of.known, 1) + 0.1), len(of.words)
         for b in batches:
-            out = []
-            for text in b.column(2).to_pylist():
-                w = words_of(text)
-                a = np.array([get(x, miss) for x in w] + [end_at if end_at >= 0 else miss], np.int64)
-                c = class_of[a]
-                if end_at < 0:
-                    c[-1] = 0
-                seen = a != miss
-                lm = table[np.concatenate([[0], c[:-1]]), c].sum(dtype=float) + (log_c[a] - rest_log)[seen & (c == rest)].sum()
-                rare = Counter(x for x, ok in zip(w, seen.tolist(), strict=False) if not ok)
-                ends = 0 if end_at >= 0 else 1
-                out.append((len(a), int(seen.sum()), float((log_c[a] - base_log)[seen].sum()) + ends * (-1.0 - base_log), float(lm), [{"word": k, "tf": x} for k, x in rare.items()]))
-            cols = list(zip(*out, strict=True)) if out else [[]] * 5
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.float64()), pa.array(cols[3], pa.float64()), pa.array(cols[4], rare_type)], names=["rid", "doc_id", "n_tokens", "n_seen", "base", "lm", "rare"])
+            places, c, start, rare = of.read(b.column(2).to_pylist())
+            at = targets(len(c), start)
+            if not len(start):
+                continue
+            first = start - CONTEXT * np.arange(len(start))
+            p, t = places[at], c[at]
+            lm = np.log10((components(r, w, z, q, contexts(c, at, of.size), t) * weights).sum(1))
+            logs = np.where((p >= 0) & (p < miss), log_c[p], 0.0)
+            lm += np.where(t > of.own, logs - shares[t], 0.0)
+            base = np.where(p < 0, end_log, logs) - np.where(p == miss, 0.0, base_log)
+            seen = np.where(p < 0, end_known, p < miss)
+            sizes = np.diff(np.append(first, len(at)))
+            found = [[{"word": k, "tf": x} for k, x in Counter(x).items()] for x in rare]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sizes), *(pa.array(np.add.reduceat(x, first), k) for x, k in ((seen.astype(np.int64), pa.int64()), (base, pa.float64()), (lm, pa.float64()))), pa.array(found, rare_type)], names=["rid", "doc_id", "n_tokens", "n_seen", "base", "lm", "rare"])
 
     scored = s.keep(docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text").mapInArrow(run, fields), "scored")
+    sent.destroy()
     rare = scored.select("rid", F.explode("rare").alias("x")).select("rid", "x.word", "x.tf")
     c = F.coalesce(F.col("c"), F.lit(0))
     sums = rare.join(counts, "word", "left").groupBy("rid").agg(F.sum(F.col("tf") * F.log10(c + 0.1)).alias("logs"), F.sum("tf").alias("tf"), F.sum(F.when(F.col("c") > 0, F.col("tf")).otherwise(0)).alias("known"))
@@ -178,5 +385,5 @@ def lm_score(df: DataFrame, heavy: int = HEAVY, classes: int = CLASSES) -> DataF
         (F.col("n_seen") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
         (F.col("base") + logs - tf * F.lit(base_log)).alias("base_score"),
-        (F.col("lm") + logs - tf * F.lit(rest_log)).alias("score"),
+        (F.col("lm") + logs).alias("score"),
     )

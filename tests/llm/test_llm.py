@@ -225,6 +225,47 @@ def test_lm(docs, empty):
     assert all(r.score < 0 for r in got) and lm_score.lm_score(empty).count() == 0
 
 
+def test_lm_brute(docs):
+    """Scores by a plain loop over tokens and classes; probabilities of all classes, and of a class's words, sum to 1."""
+    one = docs.coalesce(1)
+    learn = one.where(~lm_score.held_out(one.doc_id))
+    counts = {bytes(r.word): r.c for r in lm_score.count_words(learn).collect()}
+    of, n, v = lm_score.vocabulary(lm_score.count_words(learn), 20, 12)
+    q = of.unigram()
+    r, w, z, weights = lm_score.train(learn, of, q)
+    assert of.class_count.sum() == n == sum(counts.values()) and of.class_words[of.own + 1 :].sum() == v - of.own - 1
+
+    def after(before):
+        p = weights[0] * q
+        for d, h in enumerate(before):
+            e = np.exp(r[d * of.size + h].astype(float) @ w.T.astype(float))
+            p = p + weights[d + 1] * e / e.sum()
+        return p
+
+    named = [b"", *[x for x in of.words if x][: of.own]]
+    kind = lambda x: named.index(x) if x in named else of.hashed(x)
+    want, inside = [], {}
+    for y, c in counts.items():
+        inside.setdefault(kind(y), []).append(c)
+    for d, x, *_ in ROWS:
+        before, total = [0] * lm_score.CONTEXT, 0.0
+        for word in [*lm_score.words_of(x), b""]:
+            k, p = kind(word), after(before)
+            assert abs(p.sum() - 1) < 1e-4
+            members = inside.get(k, [])
+            total += np.log10(p[k]) + (np.log10((counts.get(word, 0) + 0.1) / (sum(members) + 0.1 * (len(members) + 1))) if k > of.own else 0)
+            before = [k, *before[:-1]]
+        want.append((-1 if d is None else d, total))
+    got = sorted((-1 if x.doc_id is None else x.doc_id, x.score) for x in lm_score.lm_score(one, 20, 12).collect())
+    assert np.allclose(got, sorted(want), rtol=1e-3)
+
+
+def test_lm_held_out(spark):
+    """On texts it hasn't learned from, the model is better than smoothed counts."""
+    out = lm_score.lm_score(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).where("held_out").selectExpr("sum(score) - sum(base_score) as gain", "sum(n_tokens) as n").first()
+    assert out.gain / out.n > 0.1
+
+
 @pytest.mark.parametrize("group_sets", [250, 2])
 def test_jaccard(docs, empty, group_sets):
     sets = []
