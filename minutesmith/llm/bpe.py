@@ -160,12 +160,13 @@ class Encoder:
     def words(self, run: str) -> list[str]:
         """The pre-tokens of a run without white space, as symbols.
 
-        Printable characters below ``LATIN`` have no marks to order or compose and one lower case each, so that the same
-        pattern over an explicit list of letters and digits gives what the library's normaliser and pre-tokenizer give.
+        Printable characters below ``LATIN`` whose lower case is below it as well have no marks to order or compose, so that
+        the same pattern over an explicit list of letters and digits gives what the library's normaliser and pre-tokenizer
+        give. Other runs go through the library's own (some capitals there, as U+0196, have a lower case above it).
         """
-        if self.foreign(run):
-            return [x[0] for x in self.pretokens(self.normal(run))]
         low = run.lower()
+        if self.foreign(run) or not low.isascii() and self.foreign(low):
+            return [x[0] for x in self.pretokens(self.normal(run))]
         if low.isascii():
             return self.plain(low)
         return [w if w.isascii() else w.encode().decode("latin-1").translate(self.letters) for w in self.plain(low)]

@@ -63,6 +63,19 @@ def test_bpe_tree():
         assert e.encode(x) == t.encode(x, add_special_tokens=False).ids
 
 
+def test_bpe_letters():
+    """Every code point of the first blocks alone between letters, and random strings below U+0250."""
+    from tokenizers import Tokenizer
+
+    e, t, r = bpe.Encoder(), Tokenizer.from_file(bpe.vocabulary_path(None)), random.Random(5)
+    for at in range(0, 0x3000, 64):
+        x = " ".join(f"{chr(c)} a{chr(c)}B {chr(c)}{chr(c)}" for c in range(at, at + 64))
+        assert e.encode(x) == t.encode(x, add_special_tokens=False).ids, hex(at)
+    for _ in range(10_000):
+        x = "".join(chr(r.randrange(0x20, 0x250)) if r.random() < 0.5 else r.choice("abIE 1.") for _ in range(r.randint(1, 30)))
+        assert e.encode(x) == t.encode(x, add_special_tokens=False).ids, x
+
+
 def test_html(spark):
     h = '<html><head><title>t</title><script>var a="</p>";</script></head><body><nav><a href=x>Home</a></nav><div class="cookie-notice">We use cookies</div><article><h1>A &amp; B</h1><p>One two\n three.<div class="ad">Buy now</div><p>Four <b>five</b> six seven.</article><section id="comments"><p>nice words here</p></section><footer>&copy; me</footer></body></html>'
     rows = [(1, "u", h), (2, None, None), (3, "u", ""), (1, "u", h), (4, "u", "<p>Only some plain words.")]
