@@ -8,7 +8,7 @@ import uuid
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -53,6 +53,28 @@ class Scratch:
             p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def ranked(s: Scratch, df: DataFrame, group: list[str], order: list[str], what: str) -> DataFrame:
+    """``df`` with ``idx``, each row's place (from 0) in its group by ``order`` (nulls first), and ``n``, the group's rows.
+
+    Rows are dealt out by ranges of group and order, so that a group with a third of all rows is spread over many tasks. A
+    place is the one inside its range plus the group's rows in earlier ranges; only counts by range meet by group. Group
+    columns hold no nulls; ``df`` has no columns ``_at``, ``_tie``, ``idx`` and ``n``.
+    """
+    keys = [F.col(c).asc_nulls_first() for c in [*group, *order]]
+    rows = df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(*keys, "_tie").sortWithinPartitions(*keys, "_tie")
+    rows = s.keep(rows.drop("_tie").withColumn("_at", F.monotonically_increasing_id()), what)
+    part, all_parts = F.shiftright("_at", 33), Window.partitionBy(*group)
+    spans = rows.groupBy(*group, part.alias("_part")).agg(F.min("_at").alias("_first"), F.count("*").alias("_rows"))
+    spans = spans.select(
+        *group,
+        "_part",
+        "_first",
+        (F.sum("_rows").over(all_parts.orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_rows")).alias("_before"),
+        F.sum("_rows").over(all_parts).alias("n"),
+    )
+    return rows.withColumn("_part", part).join(spans, [*group, "_part"]).withColumn("idx", F.col("_at") - F.col("_first") + F.col("_before")).drop("_at", "_part", "_first", "_before")
+
+
 def small_batches(spark: SparkSession, mb: int = 2) -> None:
     """Bound the bytes of an Arrow batch: texts may be long, and a batch is held in a task's memory.
 
