@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+#: DuckDB SQL: crc32 of decimal digits, step by step over their bytes.
+CRC_SQL = "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({x}, ''), lambda c: ascii(c)::BIGINT)), lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda r, z: xor(r >> 1, (r & 1) * 3988292384))), 4294967295)"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, ranked
+from .common import CRC_SQL, Scratch, ranked
 
 BAND = 8
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
@@ -177,9 +177,6 @@ def manifest(df: DataFrame, band: int = BAND, tamper: int = 7) -> DataFrame:
     return found.select("n", kids.alias("kids"), "way", "subroot", "root").mapInArrow(prove, SCHEMA)
 
 
-#: crc32 of decimal digits, step by step over their bytes.
-CRC = "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({x}, ''), lambda c: ascii(c)::BIGINT)), lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda r, z: xor(r >> 1, (r & 1) * 3988292384))), 4294967295)"
-
 SQL = f"""
 WITH RECURSIVE w AS (
   SELECT doc_id, lang, {", ".join(f"coalesce(strlen({f}::VARCHAR) || ':' || {f}::VARCHAR, '-') AS w{i}" for i, f in enumerate(FIELDS))}, coalesce(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1)::VARCHAR, '-') AS more FROM documents),
@@ -199,7 +196,7 @@ b AS (SELECT a.*, CASE WHEN low THEN t.h ELSE u.h END AS sib, CASE WHEN low THEN
 c AS (SELECT tree, i, coalesce(string_agg(sib, '' ORDER BY low DESC, lvl), '') AS proof,
   list(CASE WHEN sib IS NULL THEN '' WHEN bit = 1 THEN '<' || sib ELSE '>' || sib END ORDER BY low DESC, lvl) AS way FROM b GROUP BY tree, i),
 d AS (SELECT p.doc_id, p.leaf, s.subroot, (SELECT h FROM u WHERE n = 1) AS root, sha256(coalesce(c.proof, '')) AS proof_sha256,
-  list_reduce(list_prepend(CASE WHEN {CRC.format(x="p.doc_id::VARCHAR")} % 7 = 0 THEN p.other ELSE p.leaf END, coalesce(c.way, [])),
+  list_reduce(list_prepend(CASE WHEN {CRC_SQL.format(x="p.doc_id::VARCHAR")} % 7 = 0 THEN p.other ELSE p.leaf END, coalesce(c.way, [])),
     lambda q, x: CASE WHEN x = '' THEN sha256(q) WHEN x[1] = '<' THEN sha256(x[2:] || q) ELSE sha256(q || x[2:]) END) AS folded_root
   FROM p JOIN s USING (tree) LEFT JOIN c ON c.tree = p.tree AND c.i = p.i)
 SELECT *, folded_root = root AS verified FROM d

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, bpe, exact_dedup, html_extract, jaccard_join, license_scan, lm_score, merkle, packing, secret_scan, suffix_dedup, toxicity
+from . import ann, bpe, exact_dedup, html_extract, jaccard_join, license_scan, lm_score, merkle, packing, prefix_trie, secret_scan, suffix_dedup, toxicity
 from .common import small_batches, table
 
 
@@ -55,6 +55,11 @@ def op10_nearest(spark, sf_dir):
     return ann.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op11_trie(spark, sf_dir):
+    small_batches(spark)
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_secrets(spark, sf_dir):
     return secret_scan.secret_scan(table(spark, sf_dir, "documents"))
 
@@ -71,8 +76,8 @@ def pipeline(spark, sf_dir):
 
 
 def queries():
-    return {f.__name__: f for f in (op1_bpe, op2_html, op3_exact_dedup, op4_suffix_dedup, op5_packing, op6_license_scan, op7_toxicity, op8_lm_score, op9_jaccard_join, op10_nearest, op12_secrets, op13_manifest, pipeline)}
+    return {f.__name__: f for f in (op1_bpe, op2_html, op3_exact_dedup, op4_suffix_dedup, op5_packing, op6_license_scan, op7_toxicity, op8_lm_score, op9_jaccard_join, op10_nearest, op11_trie, op12_secrets, op13_manifest, pipeline)}
 
 
 def oracle_sql():
-    return {"op3_exact_dedup": exact_dedup.SQL, "op13_manifest": merkle.SQL}
+    return {"op3_exact_dedup": exact_dedup.SQL, "op11_trie": prefix_trie.SQL, "op13_manifest": merkle.SQL}
