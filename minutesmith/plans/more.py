@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..operators import entity, extract, incremental, serve
 from ..operators import html_tables as H
 from ..operators import minutes as O
-from ..sources import html, tables
+from ..sources import html, meetings, tables
 from ..streaming import ingest
 from .catalog import KEY, query
 from .pages import _rows_by_customer, _tr
@@ -207,6 +207,24 @@ def scan_list(t):
     return tables.items(read, ["o_custkey"])
 
 
+@query("""SELECT CASE conv_id % 10 WHEN 1 THEN 'session: int' WHEN 2 THEN 'speech_record[].mood: unknown' WHEN 3 THEN 'issue: missing' WHEN 6 THEN 'pdf_url: url' ELSE '' END AS reason,
+count(DISTINCT conv_id) AS meetings, count(CASE WHEN conv_id % 10 NOT IN (1, 2, 3, 6) THEN 1 END) AS speeches, coalesce(sum(CASE WHEN conv_id % 10 NOT IN (1, 2, 3, 6) THEN length(text) END), 0) AS chars FROM conversations GROUP BY 1""")
+def meeting_scan(t):
+    """Conversations as the meeting service's pages of nested JSON, some with wrong, missing or unknown fields, read back and counted by fault."""
+    path, n = _folder(t), F.col("conv_id") % 10
+    said = F.to_json(F.array_sort(F.collect_list(F.struct(F.col("turn").alias("speechOrder"), F.col("role").alias("speaker"), F.col("text").alias("speech")))))
+    x = t.conversations.groupBy("conv_id").agg(said.alias("said")).withColumn("session", (F.col("conv_id") % 7 + 200).cast("string"))
+    said = F.when(n == 2, F.concat(F.expr("left(said, length(said) - 2)"), F.lit(',"mood":"good"}]'))).otherwise(F.col("said"))
+    session = F.when(n == 1, '"x"').when(n == 4, F.concat(F.lit('"'), "session", F.lit('"'))).otherwise(F.col("session"))
+    record = F.concat(F.lit('{"issueID":"m'), "conv_id", F.lit('","session":'), session, F.when(n == 5, ',"name_of_house"').otherwise(',"nameOfHouse"'), F.lit(':"衆議院","nameOfMeeting":"本会議","date":"2024-02-18"'), F.when(n == 3, "").otherwise(',"issue":"第1号"'), F.when(n == 6, ',"pdfURL":"none"').otherwise(""), F.lit(',"speechRecord":'), said, F.lit("}"))
+    pages = x.select(F.floor(F.col("conv_id") / 10).alias("page"), record.alias("r")).groupBy("page").agg(F.concat(F.lit('{"numberOfRecords":10,"meetingRecord":['), F.array_join(F.collect_list("r"), ","), F.lit("]}")).alias("value"))
+    pages.select("value").write.text(path)
+    read = meetings.scan_meetings(t.spark, path, whole=False).select(F.explode_outer("faults").alias("fault"), "record")
+    good = F.when(F.col("fault").isNull(), F.col("record.speech_record"))
+    chars = F.aggregate(F.transform(good, lambda s: F.length(s["speech"])), F.lit(0).cast("long"), lambda a, k: a + F.coalesce(k, F.lit(0)))
+    return read.groupBy(F.coalesce("fault", F.lit("")).alias("reason")).agg(F.count("*").alias("meetings"), F.coalesce(F.sum(F.size(good)), F.lit(0)).alias("speeches"), F.coalesce(F.sum(chars), F.lit(0)).alias("chars"))
+
+
 @query("")
 def page_scan(t):
     """Pages as files under their dataset, house, session and key, read back by path."""
