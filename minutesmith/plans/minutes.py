@@ -15,11 +15,11 @@ def text_lines(t):
     return O.text_lines(x, "k").groupBy("k").agg(F.count("*").alias("n"), F.sum(F.length("line")).alias("chars")).select("k.*", "n", "chars")
 
 
-@query("SELECT o_orderkey, CAST(o_orderdate AS DATE) AS meeting_date, '10:04' AS opening_time, '15:30' AS closing_time FROM orders")
+@query("SELECT o_orderkey, CAST(o_orderdate AS DATE) AS meeting_date, '午前十時四分開議 ' || o_orderstatus AS opening_line, '10:04' AS opening_time, '午後三時三十分散会' AS closing_line, '15:30' AS closing_time FROM orders")
 def first_match(t):
-    text = F.concat(F.lit("会議録\n"), F.date_format("o_orderdate", "yyyy年M月d日"), F.lit("（水曜日）\n 午前十時四分開議\n午後零時一分休憩\n平成元年一月八日\n午後三時三十分散会\n――"))
+    text = F.concat(F.lit("会議録\n"), F.date_format("o_orderdate", "yyyy年M月d日"), F.lit("（水曜日）\n　  午前十時四分開議　 "), "o_orderstatus", F.lit(" \n午後零時一分休憩\n平成元年一月八日\n　　　午後三時三十分散会\n――"))
     lines = O.text_lines(t.orders.select("o_orderkey", text.alias("text")), "o_orderkey")
-    return O.first_match(lines, "o_orderkey").select("o_orderkey", "meeting_date", "opening_time", "closing_time")
+    return O.first_match(lines, "o_orderkey").select("o_orderkey", "meeting_date", "opening_line", "opening_time", "closing_line", "closing_time")
 
 
 @query("""
@@ -89,13 +89,10 @@ def section_state(t):
     change = F.concat(F.when(odd, F.lit("")).otherwise("――――◇―――――\n委員の異動\n"), day, F.lit("\n　辞任 補欠選任\n　伊"), k, F.lit("　四郎君 渡"), k, F.lit("　五郎君\n――――◇―――――\n"))
     refer = F.when(odd, F.lit("")).otherwise(F.concat(day, F.lit("\n　"), p, F.lit("法律案（第"), k, F.lit("号）\nは本委員会に付託された。\n")))
     agenda = F.concat(F.lit("――――◇―――――\n本日の会議に付した案件\n　"), p, F.lit("の一部を改正する法律案\n　　（趣旨説明）\n○"), k, F.lit("審査の件\n――――◇―――――\n午前十時開議\n　発言"))
-    meetings = t.orders.select(F.struct("o_orderkey", F.date_add(d, 3).alias("day")).alias("k"), F.concat(present, change, refer, agenda).alias("text"))
-    s = O.sections(O.text_lines(meetings, "k"), "k")
-    key = F.col("k.o_orderkey").alias("o_orderkey")
-    item = lambda state: O.wrapped_items(s.where((F.col("state") == state) & ~F.col("control")), "k").select(key, F.lit(state).alias("state"), F.lit(None).cast("string").alias("a"), F.col("item").alias("b"))
-    people = O.attendance(s, "k", "委員", "出席委員").select(key, F.lit("attendance").alias("state"), F.col("role").alias("a"), F.col("name").alias("b"))
-    moved = O.changes(s, "k", "k.day").select(key, F.lit("membership").alias("state"), F.col("resigned").alias("a"), F.col("appointed").alias("b"))
-    return people.unionByName(moved).unionByName(item("referred")).unionByName(item("agenda"))
+    meetings = t.orders.select("o_orderkey", F.date_add(d, 3).alias("day"), F.concat(present, change, refer, agenda).alias("text"))
+    x = O.entries(meetings, "o_orderkey", "text", F.col("day"), "委員", "出席委員")
+    person, moved = F.col("state") == "attendance", F.col("state") == "membership"
+    return x.select("o_orderkey", "state", F.when(person, F.col("role")).when(moved, F.col("name")).alias("a"), F.when(moved, F.col("other")).otherwise(F.col("name")).alias("b"))
 
 
 @query("""
