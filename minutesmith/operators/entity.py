@@ -66,8 +66,13 @@ def entity_relations(rel: DataFrame, types: list[str], natural: list[str], order
 
 
 def assemble(rows: DataFrame, pages: DataFrame, key: str, policy: str) -> DataFrame:
-    """List rows with their pages: 'inner' skips rows without one, 'left' keeps them, 'strict' keeps only their misses."""
-    return rows.join(pages, key, {"inner": "inner", "left": "left", "strict": "left_anti"}[policy])
+    """List rows with their pages: 'inner' skips rows without one, 'left' keeps them, 'misses' keeps those alone, and 'strict'
+    fails on the first of them, naming its key, in the very job that reads the rows."""
+    if policy != "strict":
+        return rows.join(pages, key, {"inner": "inner", "left": "left", "misses": "left_anti"}[policy])
+    found = rows.join(pages.withColumn("_page", F.lit(True)), key, "left")
+    miss = F.raise_error(F.concat(F.lit(f"no page for {key} "), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
+    return found.where(F.when(F.col("_page").isNull(), miss).otherwise(F.lit(True))).drop("_page")
 
 
 def pending(wanted: DataFrame, done: DataFrame, failed: DataFrame, on: list[str]) -> DataFrame:

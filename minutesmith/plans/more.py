@@ -266,6 +266,56 @@ def stream_ingest(t):
     return t.spark.read.parquet(f"{path}/out").agg(F.count("*").alias("n"), F.count_distinct("event_id").alias("keys"))
 
 
+@query("SELECT CAST(day(ts) AS INTEGER) AS session, count(*) AS n, sum(CASE WHEN event_id % 2 = 0 THEN 1 ELSE 0 END) AS changed, sum(event_id) AS ids FROM events GROUP BY 1")
+def stream_publish(t):
+    """Events of two runs merged by session: the second brings the rest, and every even event anew; a third run brings none."""
+    path = _folder(t)
+    x = t.events.select("event_id", F.dayofmonth("ts").alias("session"), F.col("event_id").isNotNull().cast("int").alias("version"))
+    first = x.where("event_id % 3 <> 0").withColumn("version", F.lit(0))
+    second = x.where("event_id % 2 = 0 OR event_id % 3 = 0").withColumn("version", F.when(F.col("event_id") % 2 == 0, 1).otherwise(0))
+    for rows in (first, second, None):
+        if rows is not None:
+            rows.write.mode("append").parquet(f"{path}/in")
+        ingest.publish_stream(t.spark, f"{path}/in", "event_id long, session int, version int", f"{path}/out", f"{path}/state", ["event_id"], "session", "version")
+    return t.spark.read.parquet(f"{path}/out").groupBy("session").agg(F.count("*").alias("n"), F.sum("version").alias("changed"), F.sum("event_id").alias("ids"))
+
+
+@query("""SELECT what, n FROM (SELECT count(*) AS read, count(CASE WHEN o_orderkey % 7 <> 0 AND o_orderstatus <> 'P' THEN 1 END) AS written, count(CASE WHEN o_orderkey % 7 = 0 THEN 1 END) AS "no url", count(CASE WHEN o_orderkey % 7 <> 0 AND o_orderstatus = 'P' THEN 1 END) AS "house unknown" FROM orders)
+UNPIVOT (n FOR what IN (read, written, "no url", "house unknown")) UNION ALL SELECT 'published ' || year(o_orderdate), count(*) FROM orders WHERE o_orderkey % 7 <> 0 AND o_orderstatus <> 'P' GROUP BY year(o_orderdate)""")
+def publish_checked(t):
+    """Rows without an address or a known house are left out of the write and counted by it."""
+    path = _folder(t)
+    x = t.orders.select("o_orderkey", F.year("o_orderdate").alias("session"), F.when(F.col("o_orderkey") % 7 != 0, F.concat(F.lit("https://x.y/"), "o_orderkey")).alias("url"), F.when(F.col("o_orderstatus") == "F", "shugiin").when(F.col("o_orderstatus") == "O", "sangiin").alias("house"))
+    counts = tables.publish_checked(x, path, ["session"], {"no url": F.try_parse_url("url", F.lit("HOST")).isNotNull(), "house unknown": tables.known_house(F.col("house"))}, {"no session": F.col("session").isNotNull()})
+    told = t.spark.createDataFrame(list(counts.items()), "what string, n long")
+    return told.unionByName(t.spark.read.parquet(path).groupBy(F.concat(F.lit("published "), "session").alias("what")).agg(F.count("*").alias("n")))
+
+
+@query("""WITH d AS (SELECT 'bills' AS dataset, CASE WHEN o_orderkey % 2 = 0 THEN 'shugiin' ELSE 'sangiin' END AS house, year(o_orderdate) AS session, CAST(o_orderdate AS DATE) AS built FROM orders
+UNION ALL SELECT 'minutes', 'shugiin', year(l_shipdate), CAST(l_shipdate AS DATE) FROM lineitem WHERE l_shipdate IS NOT NULL)
+SELECT dataset, house, string_agg(DISTINCT CAST(session AS VARCHAR), ',' ORDER BY CAST(session AS VARCHAR)) AS sessions, count(*) AS n, max(built) AS built FROM d GROUP BY 1, 2""")
+def published_meta(t):
+    """Two published datasets described from their folders and footers alone."""
+    path = _folder(t)
+    house = F.when(F.col("o_orderkey") % 2 == 0, "shugiin").otherwise("sangiin").alias("house")
+    tables.publish(t.orders.select("o_orderkey", F.col("o_orderdate").cast("date").alias("built"), house, F.year("o_orderdate").alias("session")), f"{path}/bills", ["house", "session"])
+    tables.publish(t.lineitem.select("l_orderkey", F.col("l_shipdate").cast("date").alias("built"), F.lit("shugiin").alias("house"), F.year("l_shipdate").alias("session")), f"{path}/minutes", ["house", "session"])
+    x = tables.published_meta(t.spark, {"bills": f"{path}/bills", "minutes": f"{path}/minutes"}, "built")
+    return x.select("dataset", "house", F.array_join(F.transform("sessions", lambda s: s.cast("string")), ",").alias("sessions"), "n", "built")
+
+
+@query("SELECT 'bills' AS dataset, CASE WHEN o_orderkey % 2 = 0 THEN 'shugiin' ELSE 'sangiin' END AS house, CAST(year(o_orderdate) AS INTEGER) AS session, o_orderkey, o_orderpriority AS title FROM orders WHERE year(o_orderdate) IN (1994, 1996)")
+def detail_scan(t):
+    """Details as JSON under dataset, house and session: keys come from the path, other sessions' files stay closed."""
+    path = _folder(t)
+    house = F.when(F.col("o_orderkey") % 2 == 0, "shugiin").otherwise("sangiin").alias("house")
+    x = t.orders.select(F.lit("bills").alias("dataset"), house, F.year("o_orderdate").alias("session"), F.struct("o_orderkey", F.col("o_orderpriority").alias("title")).alias("d"))
+    lists = x.groupBy("dataset", "house", "session").agg(F.to_json(F.struct(F.collect_list("d").alias("items"))).alias("value"))
+    lists.write.partitionBy("dataset", "house", "session").text(path)
+    read = tables.read_details(t.spark, path, "items array<struct<o_orderkey:long, title:string>>", [1994, 1996])
+    return read.where("_bad IS NULL").select("dataset", "house", "session", F.explode("items").alias("d")).select("dataset", "house", "session", "d.*")
+
+
 @query("""SELECT CASE WHEN o_orderkey % 7 = 0 THEN 'no id' WHEN year(o_orderdate) NOT BETWEEN 1993 AND 1997 THEN 'session out of range' WHEN o_orderstatus = 'P' THEN 'house unknown' ELSE '' END AS reason, count(*) AS n FROM orders GROUP BY 1""")
 def checked_rows(t):
     x = t.orders.select(F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderkey")).alias("id"), F.year("o_orderdate").alias("session"), F.when(F.col("o_orderstatus") == "F", "shugiin").when(F.col("o_orderstatus") == "O", "sangiin").otherwise("x").alias("house"))
