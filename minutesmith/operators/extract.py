@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import documents as D
 from ..functions import text as T
 from . import html_tables as H
 
@@ -78,7 +79,43 @@ def progress(cells: DataFrame, key: str) -> DataFrame:
         return F.struct(*dates, *pairs, (v(STANCE) if lower else F.lit(None).cast("string")).alias("stance"), *groups)
 
     made = T.date_and_text(v(PROMULGATION))
-    return _values(cells, key).select(key, *own, house(LOWER).alias("house_of_reps"), house(UPPER).alias("house_of_councillors"), made["day"].alias("promulgated_at"), made["text"].alias("law_number"))
+    return _values(cells.where("table_no = 0"), key).select(key, *own, house(LOWER).alias("house_of_reps"), house(UPPER).alias("house_of_councillors"), made["day"].alias("promulgated_at"), made["text"].alias("law_number"))
+
+
+# Labels in the further tables of a member's bill.
+SUBMITTERS, SUPPORTERS = "議案提出者一覧", "議案提出の賛成者"
+
+
+def extra_sections(cells: DataFrame, key: str) -> DataFrame:
+    """key, sections: the tables below a progress page's first, each with its caption (null without) and its labels and values
+    in order; tables without a label are left out."""
+    x = cells.where("table_no > 0").groupBy(key, "table_no", "row_no").agg(F.first("caption").alias("caption"), F.array_sort(F.collect_list(F.struct("col_no", "text"))).alias("c"))
+    x = x.withColumn("t", F.transform("c", lambda y: y["text"])).withColumn("label", F.get("t", F.lit(0))).where(F.length("label") > 0)
+    value = F.array_join(F.slice("t", F.lit(2), F.size("t")), " ")
+    one = x.groupBy(key, "table_no").agg(F.first("caption").alias("caption"), F.array_sort(F.collect_list(F.struct("row_no", "label", value.alias("value")))).alias("e"))
+    entries = F.transform("e", lambda y: F.struct(y["label"].alias("label"), y["value"].alias("value")))
+    sections = F.array_sort(F.collect_list(F.struct("table_no", T.blank_to_null(F.col("caption")).alias("section_name"), entries.alias("entries"))))
+    return one.groupBy(key).agg(F.transform(sections, lambda y: y.dropFields("table_no")).alias("sections"))
+
+
+def member_law(sections: Column) -> Column:
+    """struct(submitter_list, supporters) of a page's further tables; null where both are empty. The last value of a label counts."""
+    entries = F.flatten(F.transform(sections, lambda y: y["entries"]))
+
+    def people(label: str) -> Column:
+        last = F.try_element_at(F.filter(entries, lambda e: e["label"] == label), F.lit(-1))["value"]
+        return F.coalesce(T.split_list(last), F.array().cast("array<string>"))
+
+    mine, theirs = people(SUBMITTERS), people(SUPPORTERS)
+    return F.when((F.size(mine) > 0) | (F.size(theirs) > 0), F.struct(mine.alias("submitter_list"), theirs.alias("supporters")))
+
+
+def document_list(outline: DataFrame, key: str, base: Column) -> DataFrame:
+    """key, pos, section, label, type, title, note, url, file_key: the documents that a bill's text page links below its own
+    folder (`./`), in page order, with the heading they stand under."""
+    links = outline.where("kind = 'link'").where(F.col("href").startswith("./"))
+    x = links.select(key, "pos", F.try_element_at("headings", F.lit(-1)).alias("section"), T.normalize_text(F.col("label")).alias("label"), H.absolute(F.col("href"), base).alias("url"))
+    return x.select(key, "pos", "section", "label", D.classify_document(F.col("label")).alias("d"), "url", D.url_key(F.col("url")).alias("file_key")).select(key, "pos", "section", "label", "d.*", "url", "file_key")
 
 
 def question_progress(cells: DataFrame, key: str) -> DataFrame:

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators import entity, extract, incremental, serve
+from ..operators import entity, extract, incremental, search, serve
 from ..operators import html_tables as H
 from ..operators import minutes as O
 from ..sources import html, meetings, tables
@@ -54,6 +54,34 @@ def extract_progress(t):
     return x.select("o_orderkey", "bill_title", "bill_number", h["bill_received_at"].alias("received"), h["referral"]["day"].alias("referred_at"), h["referral"]["text"].alias("referred_to"), F.array_join(h["supporting_groups"], "|").alias("groups"), F.col("house_of_councillors.stance").alias("upper_stance"), "promulgated_at", "law_number")
 
 
+@query("""WITH o AS (SELECT o_orderkey AS k, o_orderstatus AS s, o_orderpriority AS p FROM orders)
+SELECT k AS o_orderkey, '提出時法律案' AS section, '提出時法律案 (' || s || ')' AS label, 'original_bill' AS type, '提出時法律案' AS title, s AS note, 'https://x.y/a/honbun/' || k || '.htm' AS url, 'honbun_' || k || '.html' AS file_key FROM o
+UNION ALL SELECT k, '修正案', '修正案第' || k || '号：' || p, 'amendment', '修正案第' || k || '号', NULL, 'https://x.y/a/syuuseian/' || k || '-1.htm', 'syuuseian_' || k || '_1.html' FROM o WHERE k % 2 = 0
+UNION ALL SELECT k, '修正案', replace(p, ' ', '') || '要綱', 'outline', '要綱', NULL, 'https://x.y/a/youkou/y' || k || '.htm', 'youkou_y' || k || '.html' FROM o UNION ALL SELECT k, NULL, p, 'other', p, NULL, 'https://x.y/a/b/first.htm', 'b_first.html' FROM o WHERE k % 3 = 0""")
+def document_list(t):
+    """A bill's text page: documents by heading with class, note, address and key; other links of the page are none of them."""
+    n, p = F.col("o_orderkey").cast("string"), F.col("o_orderpriority")
+    first = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit('<A HREF="./b/first.htm">'), p, F.lit("</A>"))).otherwise("")
+    amended = F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit('<li><a href="./syuuseian/'), n, F.lit('-1.htm">修正案第'), n, F.lit("号：<b>"), p, F.lit("</b></a>"))).otherwise("")
+    page = F.concat(F.lit('<a href="../menu.htm">menu</a>'), first, F.lit('<h2>照会できる情報の一覧</h2><h3>提出時 法律案</h3><a href="./honbun/'), n, F.lit('.htm">提出時法律案&nbsp;('), "o_orderstatus", F.lit(")</a><h3>修正案</h3>"), amended, F.lit('<li><a href="./youkou/y'), n, F.lit('.htm">'), F.replace(p, F.lit(" ")), F.lit('要綱</a><a href="/top.htm">top</a><a name="x">no link</a>'))
+    x = extract.document_list(html.outline(t.orders.select("o_orderkey", page.alias("html")), "o_orderkey"), "o_orderkey", F.lit("https://x.y/a/top.htm"))
+    label = F.regexp_replace(F.regexp_replace("label", "： ", "："), "^提出時法律案 ", "提出時法律案 ")
+    return x.select("o_orderkey", F.regexp_replace("section", "提出時 ", "提出時").alias("section"), label.alias("label"), "type", "title", "note", "url", "file_key")
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 0 THEN '森|' || o_custkey END AS submitters, CASE WHEN o_orderkey % 3 <> 0 THEN 'x' END AS supporters, CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 2 END AS sections, CASE WHEN o_orderkey % 2 = 0 THEN '議案提出者' END AS first_name FROM orders""")
+def member_law(t):
+    """The further tables of a member's bill: submitters and supporters, or none of either."""
+    third, c = F.col("o_orderkey") % 3 == 0, F.col("o_custkey").cast("string")
+    caption = F.when(F.col("o_orderkey") % 2 == 0, "<caption>議案提出者</caption>").otherwise("")
+    mine = F.concat(F.lit("<table>"), caption, _tr(F.lit("議案提出者一覧"), F.when(third, " ").otherwise(F.concat(F.lit("森; "), c, F.lit(";")))), F.lit("</table>"))
+    theirs = F.when(third, "").otherwise(F.concat(F.lit("<table>"), _tr(F.lit("議案提出の賛成者"), F.lit("y")), _tr(F.lit(""), F.lit("no label")), _tr(F.lit("議案提出の賛成者"), F.lit("x")), F.lit("</table>")))
+    page = F.concat(F.lit("<table>"), _tr(F.lit("項目"), F.lit("内容")), _tr(F.lit("議案提出者一覧"), F.lit("not this one")), F.lit("</table>"), mine, theirs)
+    x = extract.extra_sections(html.html_cells(t.orders.select("o_orderkey", page.alias("html")), "o_orderkey", spans=False), "o_orderkey")
+    x = x.select("o_orderkey", extract.member_law(F.col("sections")).alias("m"), F.size("sections").alias("sections"), F.col("sections")[0]["section_name"].alias("first_name"))
+    return x.select("o_orderkey", F.array_join("m.submitter_list", "|").alias("submitters"), F.array_join("m.supporters", "|").alias("supporters"), "sections", "first_name")
+
+
 @query("""SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN '答弁受理' WHEN 1 THEN '答弁延期' ELSE '未答弁' END AS status, CAST(o_orderdate AS DATE) AS submitted_at, CASE WHEN o_orderkey % 3 = 1 THEN make_date(year(o_orderdate), 12, CAST(o_orderkey % 28 + 1 AS BIGINT)) END AS due, o_orderkey % 4 <> 0 AS referred FROM orders""")
 def status_case(t):
     d, n = F.col("o_orderdate").cast("date"), F.col("o_orderkey")
@@ -323,6 +351,43 @@ def checked_rows(t):
     return x.select(tables.first_fault(rules).alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
 
 
+TERMS = ["12", "7", "r#0000", "0000000", "LD", "#00000001", "NITURE", "none of these"]
+
+
+@query("SELECT term, c_name AS key FROM customer, (SELECT unnest(['" + "', '".join(TERMS) + "']) AS term) WHERE contains(c_name, term) OR contains(c_mktsegment, term)")
+def search_index(t):
+    """Customers by substrings of their names or segments, from the places of the terms' grams alone."""
+    path = _folder(t)
+    search.write_grams(t.customer.select("c_name", F.array("c_mktsegment").alias("v")), path, "c_name", "v")
+    out = None
+    for term in TERMS:
+        x = search.gram_hits(t.spark, path, term).select(F.lit(term).alias("term"), "key")
+        out = x if out is None else out.unionByName(x)
+    return out
+
+
+@query("""WITH o AS (SELECT o_orderkey, row_number() OVER (ORDER BY CAST(o_orderkey AS VARCHAR)) - 1 AS place, count(*) OVER () AS total FROM orders)
+SELECT 'early' AS page, * FROM o WHERE place BETWEEN 50 AND 149 UNION ALL SELECT 'late', * FROM o WHERE place >= total - 70""")
+def deep_pages(t):
+    """A page near the front and one at the end of all order ids as texts; each reads the ranges that it touches."""
+    path = _folder(t)
+    search.write_pages(t.orders.select("o_orderkey"), path, [F.col("o_orderkey").cast("string")], 32)
+    total = search.read_page(t.spark, path, 0, 1).first()["total"]
+    page = lambda name, offset: search.read_page(t.spark, path, offset).select(F.lit(name).alias("page"), "o_orderkey", "place", "total")
+    return page("early", 50).unionByName(page("late", total - 70))
+
+
+@query("""SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, '10:04' AS clock, CAST(o_custkey AS INTEGER) AS number, '山田' || o_custkey AS person, CAST(o_orderkey % 50 + 1 AS INTEGER) AS people, 'amendment' AS kind FROM orders""")
+def sql_functions(t):
+    """Plain SQL: the scalar functions as temporary SQL functions, no Python worker in the plan."""
+    from ..functions import sql
+
+    sql.register(t.spark, "minutes_")
+    t.orders.createOrReplaceTempView("minutes_orders")
+    return t.spark.sql("""SELECT o_orderkey, minutes_era_date(date_format(o_orderdate, 'y年M月d日')) AS day, minutes_clock_time('午前十時四分') AS clock, minutes_first_int('第' || o_custkey || '号') AS number,
+    minutes_person_key('山田　' || o_custkey || ' 君') AS person, minutes_name_and_count('森君外' || o_orderkey % 50 || '名').total AS people, minutes_document_class('修正案：' || o_orderstatus).type AS kind FROM minutes_orders""")
+
+
 @query("SELECT o_orderkey, 'https://www.sangiin.go.jp/japanese/joho1/kousei/syuisyo/' || year(o_orderdate) || '/syuisyo.htm' AS questions, 'https://www.sangiin.go.jp/japanese/joho1/kousei/seigan/' || year(o_orderdate) || '/seigan.htm' AS petitions FROM orders")
 def upper_url(t):
     from ..functions import documents as D

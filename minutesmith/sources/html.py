@@ -163,6 +163,75 @@ def html_cells(df: DataFrame, key: str, html: str = "html", spans: bool = True)
     return df.select(key, html).mapInArrow(run, f"`{key}` {kind}, {CELL}")
 
 
+class _Outline(HTMLParser):
+    """Links and tables in page order, each with the headings above it, outermost first."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.found, self.above, self.tables = [], [], 0
+        self.heading, self.link, self.caption, self.open = None, None, None, []
+
+    def handle_starttag(self, tag, attrs):
+        a = dict(attrs)
+        if tag in HEADINGS:
+            self.above = [x for x in self.above if x[0] < tag]
+            self.heading = (tag, [])
+        elif tag == "a" and a.get("href") is not None:
+            self.link = [len(self.found), []]
+            self.found.append(["link", self.path(), None, "", a["href"]])
+        elif tag == "table":
+            self.open.append(len(self.found))
+            self.found.append(["table", self.path(), self.tables, "", None])
+            self.tables += 1
+        elif tag == "caption" and self.open:
+            self.caption = []
+
+    def path(self):
+        return [x[1] for x in self.above]
+
+    def handle_endtag(self, tag):
+        if self.heading and tag == self.heading[0]:
+            self.above.append((tag, " ".join("".join(self.heading[1]).split())))
+            self.heading = None
+        elif tag == "a" and self.link:
+            self.found[self.link[0]][3] = " ".join(" ".join(self.link[1]).split())
+            self.link = None
+        elif tag == "caption" and self.caption is not None:
+            self.found[self.open[-1]][3] = " ".join("".join(self.caption).split())
+            self.caption = None
+        elif tag == "table" and self.open:
+            self.open.pop()
+
+    def handle_data(self, data):
+        if self.heading:
+            self.heading[1].append(data)
+        if self.link:
+            self.link[1].append(data)
+        if self.caption is not None:
+            self.caption.append(data)
+
+
+def outline(df: DataFrame, key: str, html: str = "html") -> DataFrame:
+    """key, pos, kind (link or table), headings (above it, outermost first), table_no, label (the link's text, the table's
+    caption), href: one row for each link and table of each page, in one pass; null and empty pages give none."""
+    kind = df.schema[key].dataType.simpleString()
+    types = [pa.int32(), pa.string(), pa.list_(pa.string()), pa.int32(), pa.string(), pa.string()]
+
+    def run(batches):
+        for b in batches:
+            keys, out = [], []
+            for i, text in enumerate(b.column(1).to_pylist()):
+                p = _Outline()
+                p.feed(text or "")
+                p.close()
+                keys += [i] * len(p.found)
+                out += [(n, *x) for n, x in enumerate(p.found)]
+            cols = list(zip(*out, strict=True)) if out else [[]] * 6
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(keys, pa.int32())), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], names=[key, "pos", "kind", "headings", "table_no", "label", "href"])
+
+    return df.select(key, html).mapInArrow(run, f"`{key}` {kind}, pos int, kind string, headings array<string>, table_no int, label string, href string")
+
+
 class _Text(HTMLParser):
     """Collects text nodes; those of scripts, styles and templates, and comments, are left out."""
 
