@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import person_id
+
 
 def history(df: DataFrame, key: str, order: str, value: str) -> DataFrame:
     """key, first, last, n, history: distinct (order, value) of each key in order."""
@@ -44,13 +46,15 @@ def relations(parts: list[DataFrame]) -> DataFrame:
 
 
 def entity_index(rel: DataFrame, types: list[str]) -> DataFrame:
-    """person_key, names, one count for each relation type, total: one shuffle on the key.
+    """person_key, detail_id (its sha256), names, one count for each relation type, total: two shuffles, of relations and of
+    what is left of them.
 
     Relations are distinct by (person_key, type, entity_id); names are the sorted distinct variants.
     """
     once = rel.groupBy("person_key", "type", "entity_id").agg(F.collect_set("name").alias("names"))
     counts = [F.count_if(F.col("type") == t).alias(f"n_{t}") for t in types]
-    return once.groupBy("person_key").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("names")))).alias("names"), *counts, F.count("*").alias("total"))
+    index = once.groupBy("person_key").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("names")))).alias("names"), *counts, F.count("*").alias("total"))
+    return index.select("person_key", person_id(F.col("person_key")).alias("detail_id"), *[c for c in index.columns if c != "person_key"])
 
 
 def entity_relations(rel: DataFrame, types: list[str], natural: list[str], order: list[str]) -> DataFrame:

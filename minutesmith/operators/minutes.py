@@ -26,6 +26,12 @@ def text_lines(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     return df.select(key, F.posexplode(M.lines_of(F.col(text))).alias("pos", "line"))
 
 
+def first_last(speeches: DataFrame, key: str, order: str, text: str) -> DataFrame:
+    """key, intro, closing: the texts of each meeting's first and last speech. Only the latest and the earliest of a task's
+    speeches leave it."""
+    return speeches.groupBy(key).agg(F.min_by(text, order).alias("intro"), F.max_by(text, order).alias("closing"))
+
+
 def first_match(lines: DataFrame, key: str) -> DataFrame:
     """meeting_date, opening_line, opening_time, closing_line, closing_time of each meeting; lines without outer white space
     and with single spaces inside."""
@@ -345,5 +351,4 @@ def rollup(speeches: DataFrame, key: str, order: str, speaker: str, text: str) -
     """One row a meeting: speeches, distinct speakers in first-seen order, the first and the last speech."""
     who = speeches.groupBy(key, speaker).agg(F.min(order).alias("first"), F.count("*").alias("n"))
     names = who.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("first", speaker))), lambda x: x[speaker]).alias("speakers"), F.sum("n").alias("speech_count"))
-    ends = speeches.groupBy(key).agg(F.min_by(text, order).alias("intro"), F.max_by(text, order).alias("closing"))
-    return names.join(ends, key)
+    return names.join(first_last(speeches, key, order, text), key)

@@ -36,12 +36,16 @@ def search(df: DataFrame, term: str, key: str, variants: str, offset: int = 0, l
     return search_hits(df, term, key, variants).orderBy(F.when(F.col(key) == term, 0).otherwise(1), key).offset(offset).limit(min(limit, 100))
 
 
-def first_seen_groups(df: DataFrame, group: Column, order: str) -> DataFrame:
-    return df.groupBy(group.alias("label")).agg(F.count("*").alias("n"), F.min(order).alias("first"))
+def first_seen_groups(df: DataFrame, group: Column, order: str, default: str, **counts: Column) -> DataFrame:
+    """label, n, first, and how many rows meet each of ``counts``, in the order in which labels are first seen; missing and
+    empty ones are ``default``."""
+    label = F.coalesce(F.nullif(group.cast("string"), F.lit("")), F.lit(default)).alias("label")
+    return df.groupBy(label).agg(F.count("*").alias("n"), F.min(order).alias("first"), *[F.count_if(c).alias(n) for n, c in counts.items()]).orderBy("first")
 
 
-def top_groups(df: DataFrame, group: Column, order: str, k: int) -> DataFrame:
-    return first_seen_groups(df, group, order).orderBy(F.desc("n"), "first").limit(k)
+def top_groups(df: DataFrame, group: Column, order: str, k: int, default: str, **counts: Column) -> DataFrame:
+    """The ``k`` labels with most rows, ties as first seen."""
+    return first_seen_groups(df, group, order, default, **counts).orderBy(F.desc("n"), "first").limit(k)
 
 
 def two_level(df: DataFrame, outer: Column, inner: Column, order: str) -> DataFrame:
@@ -104,13 +108,18 @@ def first_distinct(df: DataFrame, value: str, order: str) -> DataFrame:
     return df.groupBy(value).agg(F.min(order).alias("first")).orderBy("first")
 
 
-def availability(sets: dict[str, DataFrame], on: str) -> DataFrame:
-    """One row for each value of ``on`` in any set, with a flag for each set: one union and one grouping, no joins."""
+def availability(sets: dict[str, DataFrame], on: str, counted: tuple[str, ...] = (), base: DataFrame | None = None) -> DataFrame:
+    """One row for each value of ``on`` in any set (or, with ``base``, for each of its own), with a flag for each set and the
+    number of rows (null without any) of those ``counted``: one union and one grouping, no joins."""
     parts = None
-    for name, df in sets.items():
-        p = df.select(on).distinct().withColumn("_set", F.lit(name))
+    for name, df in (sets if base is None else sets | {"_base": base}).items():
+        p = df.select(on).groupBy(on).agg(F.count("*").alias("_n")).withColumn("_set", F.lit(name))
         parts = p if parts is None else parts.unionByName(p)
-    return parts.groupBy(on).agg(*[F.max(F.col("_set") == name).alias(f"has_{name}") for name in sets])
+    flags = [F.max(F.col("_set") == name).alias(f"has_{name}") for name in sets]
+    counts = [F.sum(F.when(F.col("_set") == name, F.col("_n"))).alias(f"n_{name}") for name in counted]
+    if base is None:
+        return parts.groupBy(on).agg(*flags, *counts)
+    return parts.groupBy(on).agg(*flags, *counts, F.max(F.col("_set") == "_base").alias("_in")).where("_in").drop("_in")
 
 
 #: Fixed value: the speaker of a meeting's information record.

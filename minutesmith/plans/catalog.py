@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import entity, incremental, link, serve
+from ..operators import entity, incremental, link, minutes, serve
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -218,18 +218,19 @@ def match_count(t):
 
 
 @query("""
-WITH part_ AS (SELECT *, replace(p_name, ' ', '') AS k FROM part),
-b AS (SELECT k, min(p_partkey) AS id FROM part_ WHERE p_partkey % 3 = 0 GROUP BY 1), p AS (SELECT k, min(p_partkey) AS id FROM part_ WHERE p_partkey % 3 = 1 GROUP BY 1),
-it AS (SELECT p_partkey, p_partkey % 4 AS m, k || CASE p_partkey % 4 WHEN 1 THEN 'に関する件' WHEN 2 THEN '請願' ELSE '' END AS t FROM part_),
-c AS (SELECT p_partkey, 0 AS r, id, 'bill' AS item_type FROM it JOIN b ON k = t UNION ALL SELECT p_partkey, 1, id, 'petition' FROM it JOIN p ON k = t
-UNION ALL SELECT p_partkey, 2, id, 'bill' FROM it JOIN b ON starts_with(t, k) OR starts_with(k, t) UNION ALL SELECT p_partkey, 3, id, 'petition' FROM it JOIN p ON starts_with(t, k) OR starts_with(k, t))
-SELECT it.p_partkey, x.item_type, CAST(x.id AS VARCHAR) AS id FROM it LEFT JOIN (SELECT p_partkey, arg_min(item_type, (r, id)) AS item_type, arg_min(id, (r, id)) AS id FROM c GROUP BY 1) x ON x.p_partkey = it.p_partkey""")
+WITH part_ AS (SELECT *, replace(p_name, ' ', '') AS k, CASE WHEN p_size % 2 = 0 THEN 'shugiin' ELSE 'sangiin' END AS house FROM part),
+b AS (SELECT house, k, min(p_partkey) AS id FROM part_ WHERE p_partkey % 3 = 0 GROUP BY 1, 2), p AS (SELECT house, k, min(p_partkey) AS id FROM part_ WHERE p_partkey % 3 = 1 GROUP BY 1, 2),
+it AS (SELECT house, p_partkey, p_partkey % 4 AS m, k || CASE p_partkey % 4 WHEN 1 THEN 'に関する件' WHEN 2 THEN '請願' ELSE '' END AS t FROM part_),
+c AS (SELECT p_partkey, 0 AS r, id, 'bill' AS item_type FROM it JOIN b USING (house) WHERE k = t UNION ALL SELECT p_partkey, 1, id, 'petition' FROM it JOIN p USING (house) WHERE k = t
+UNION ALL SELECT p_partkey, 2, id, 'bill' FROM it JOIN b USING (house) WHERE starts_with(t, k) OR starts_with(k, t) UNION ALL SELECT p_partkey, 3, id, 'petition' FROM it JOIN p USING (house) WHERE starts_with(t, k) OR starts_with(k, t))
+SELECT it.p_partkey, it.house, x.item_type, CAST(x.id AS VARCHAR) AS id FROM it LEFT JOIN (SELECT p_partkey, arg_min(item_type, (r, id)) AS item_type, arg_min(id, (r, id)) AS id FROM c GROUP BY 1) x ON x.p_partkey = it.p_partkey""")
 def precedence_link(t):
     k, m = F.col("p_partkey"), F.col("p_partkey") % 4
     text = F.concat(F.lit("二、"), "p_name", F.when(m == 1, "に関する件（閣法第1号）").when(m == 2, "外三件の請願").when(m == 3, "（第一号）").otherwise(""))
     text = F.when(m == 3, F.concat(F.lit("○"), "p_name")).otherwise(text)
-    index = lambda rest: link.title_index(t.part.where(k % 3 == rest).withColumn("key", T.bill_title_key(F.col("p_name"))), "key", "p_partkey", "p_name", "p_partkey")
-    return link.precedence_link(t.part.select("p_partkey", text.alias("text")), "text", index(0), index(1)).select("p_partkey", "item_type", "id")
+    house = F.when(F.col("p_size") % 2 == 0, "shugiin").otherwise("sangiin").alias("house")
+    index = lambda rest: link.title_index(t.part.where(k % 3 == rest).select("p_partkey", "p_name", house, T.bill_title_key(F.col("p_name")).alias("key")), "key", "p_partkey", "p_name", "p_partkey", ("house",))
+    return link.precedence_link(t.part.select("p_partkey", house, text.alias("text")), "text", index(0), index(1), ("house",)).select("p_partkey", "house", "item_type", "id")
 
 
 @query("""
@@ -260,7 +261,7 @@ UNION ALL SELECT 'p' || s_suppkey % 700, s_name, 'question', s_nationkey FROM su
 UNION ALL SELECT 'p' || o_custkey % 700, o_orderpriority, 'petition', o_orderkey FROM orders
 UNION ALL SELECT 'p' || l_suppkey % 700, l_returnflag, 'attendance', l_orderkey FROM lineitem
 UNION ALL SELECT 'p' || user_id % 700, event_type, 'speech', event_id FROM events)
-SELECT person_key, string_agg(DISTINCT name, '|' ORDER BY name) AS names, count(DISTINCT e) FILTER (WHERE type = 'bill') AS n_bill, count(DISTINCT e) FILTER (WHERE type = 'question') AS n_question,
+SELECT person_key, sha256(person_key) AS detail_id, string_agg(DISTINCT name, '|' ORDER BY name) AS names, count(DISTINCT e) FILTER (WHERE type = 'bill') AS n_bill, count(DISTINCT e) FILTER (WHERE type = 'question') AS n_question,
 count(DISTINCT e) FILTER (WHERE type = 'petition') AS n_petition, count(DISTINCT e) FILTER (WHERE type = 'attendance') AS n_attendance, count(DISTINCT e) FILTER (WHERE type = 'speech') AS n_speech, count(DISTINCT (type, e)) AS total FROM r GROUP BY 1""")
 def entity_index(t):
     return entity.entity_index(_relations(t), ["bill", "question", "petition", "attendance", "speech"]).withColumn("names", F.array_join("names", "|"))
@@ -358,14 +359,17 @@ def people_search(t):
     return serve.with_total(serve.search(x, "12", "c_name", "v"), serve.search_hits(x, "12", "c_name", "v")).drop("v")
 
 
-@query("SELECT o_orderpriority AS label, count(*) AS n, min(o_orderkey) AS first FROM orders GROUP BY 1")
+@query("SELECT CASE WHEN o_orderpriority IN ('5-LOW', '1-URGENT') THEN '分類不明' ELSE o_orderpriority END AS label, count(*) AS n, min(o_orderkey) AS first FROM orders GROUP BY 1")
 def group_first_seen(t):
-    return serve.first_seen_groups(t.orders, F.col("o_orderpriority"), "o_orderkey")
+    """Bills by category: missing and empty categories are one group."""
+    group = F.when(F.col("o_orderpriority") == "1-URGENT", "").when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority"))
+    return serve.first_seen_groups(t.orders, group, "o_orderkey", "分類不明")
 
 
-@query("SELECT p_brand AS label, count(*) AS n, min(p_partkey) AS first FROM part GROUP BY 1 ORDER BY n DESC, first LIMIT 8")
+@query("SELECT CASE WHEN p_brand = 'Brand#11' THEN '提出者不明' ELSE p_brand END AS label, count(*) AS n, min(p_partkey) AS first, count(*) FILTER (WHERE p_size % 3 = 0) AS answered FROM part GROUP BY 1 ORDER BY n DESC, first LIMIT 8")
 def top_k_groups(t):
-    return serve.top_groups(t.part, F.col("p_brand"), "p_partkey", 8)
+    """The eight submitters with most questions, and how many of these are answered."""
+    return serve.top_groups(t.part, F.when(F.col("p_brand") != "Brand#11", F.col("p_brand")), "p_partkey", 8, "提出者不明", answered=F.col("p_size") % 3 == 0)
 
 
 @query("SELECT c_mktsegment AS section, CAST(c_nationkey AS VARCHAR) AS role, count(*) AS n, min(c_custkey) AS first FROM customer GROUP BY 1, 2")
@@ -373,11 +377,15 @@ def two_level_group(t):
     return serve.two_level(t.customer, F.col("c_mktsegment"), F.col("c_nationkey").cast("string"), "c_custkey")
 
 
-@query("""
-WITH a AS (SELECT DISTINCT year(o_orderdate) AS y FROM orders), b AS (SELECT DISTINCT year(l_shipdate) AS y FROM lineitem), c AS (SELECT DISTINCT year(ts) AS y FROM events)
-SELECT CAST(y AS INTEGER) AS session, y IN (SELECT y FROM a) AS has_bills, y IN (SELECT y FROM b) AS has_questions, y IN (SELECT y FROM c) AS has_minutes FROM (SELECT y FROM a UNION SELECT y FROM b UNION SELECT y FROM c)""")
+@query("""WITH s AS (SELECT DISTINCT CAST(year(o_orderdate) + x AS INTEGER) AS session FROM orders, (SELECT unnest([0, 2, 60]) AS x)), o AS (SELECT year(o_orderdate) AS y, o_orderstatus AS st FROM orders), l AS (SELECT year(l_shipdate) AS y, l_returnflag AS f FROM lineitem)
+SELECT session, session IN (SELECT y FROM o WHERE st = 'F') AS has_gian, session IN (SELECT y FROM l WHERE f = 'N') AS has_kaigiroku, session IN (SELECT y FROM l WHERE f = 'R') AS has_seigan_shugiin, session IN (SELECT y FROM l WHERE f = 'A') AS has_seigan_sangiin,
+session IN (SELECT y FROM o WHERE st = 'P') AS has_shitsumon_shugiin, session IN (SELECT y FROM o WHERE st = 'O') AS has_shitsumon_sangiin, (SELECT nullif(count(*), 0) FROM l WHERE f = 'N' AND y = session) AS n_kaigiroku FROM s""")
 def availability_matrix(t):
-    return serve.availability({"bills": t.orders.select(F.year("o_orderdate").alias("session")), "questions": t.lineitem.select(F.year("l_shipdate").alias("session")), "minutes": t.events.select(F.year("ts").alias("session"))}, "session")
+    """The sessions and which of six sets have something of each, with the number of meetings."""
+    o, li = t.orders.select(F.year("o_orderdate").alias("session"), "o_orderstatus"), t.lineitem.select(F.year("l_shipdate").alias("session"), "l_returnflag")
+    sets = {"gian": o.where("o_orderstatus = 'F'"), "kaigiroku": li.where("l_returnflag = 'N'"), "seigan_shugiin": li.where("l_returnflag = 'R'"), "seigan_sangiin": li.where("l_returnflag = 'A'"), "shitsumon_shugiin": o.where("o_orderstatus = 'P'"), "shitsumon_sangiin": o.where("o_orderstatus = 'O'")}
+    base = o.select(F.explode(F.array(F.col("session"), F.col("session") + 2, F.col("session") + 60)).alias("session")).distinct()
+    return serve.availability(sets, "session", ("kaigiroku",), base)
 
 
 @query("""WITH c AS (SELECT conv_id, turn, role, CASE WHEN turn % 3 = 1 THEN 'p' || turn END AS position FROM conversations WHERE turn % 5 <> 4)
@@ -391,7 +399,8 @@ def speaker_summary(t):
 
 @query("SELECT conv_id, arg_min(length(text), turn) AS first_chars, arg_max(length(text), turn) AS last_chars FROM conversations GROUP BY 1")
 def first_last(t):
-    return t.conversations.groupBy("conv_id").agg(F.min_by(F.length("text"), "turn").cast("long").alias("first_chars"), F.max_by(F.length("text"), "turn").cast("long").alias("last_chars"))
+    x = minutes.first_last(t.conversations, "conv_id", "turn", "text")
+    return x.select("conv_id", F.length("intro").cast("long").alias("first_chars"), F.length("closing").cast("long").alias("last_chars"))
 
 
 @query("SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS session FROM orders ORDER BY 1 DESC LIMIT 2")

@@ -113,10 +113,18 @@ def json_nulls(t):
     return x.select(F.col("id").alias(KEY), tables.to_json(True).alias("kept"), tables.to_json(False).alias("dropped"))
 
 
-@query("SELECT c_custkey, c_name AS html FROM customer")
+@query("SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN '議案の理' WHEN 1 THEN '国 ' WHEN 2 THEN 'あ' WHEN 3 THEN chr(65533) || ' ' ELSE '<meta charset=x-none>国 ' END || c_name AS html FROM customer")
 def page_decode(t):
-    x = t.customer.select(KEY, F.encode("c_name", "UTF-8").alias("content"))
-    return html.decode_pages(x)
+    """Pages in cp932, in EUC-JP (declared, or not), in UTF-8, and in none of these."""
+
+    @F.pandas_udf("binary")
+    def written(text, kind):
+        kinds = {0: ("議案の理", "cp932"), 1: ("国 ", "euc_jp"), 2: ("あ", "utf-8"), 4: ("<meta charset=x-none>国 ", "euc_jp")}
+        return text.combine(kind, lambda x, k: b"\xe3 " + x.encode() if k == 3 else (kinds[k][0] + x).encode(kinds[k][1]))
+
+    k = F.col(KEY) % 5
+    x = t.customer.select(KEY, F.when(k == 1, "EUC-JP").alias("declared"), written("c_name", k).alias("content"))
+    return html.decode_pages(x, declared="declared").select(KEY, "html")
 
 
 @query("SELECT url, min(page_id) AS page_id FROM pages GROUP BY 1")
