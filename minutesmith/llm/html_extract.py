@@ -17,6 +17,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -42,23 +43,39 @@ CLOSES = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr
 NAME = re.compile(r"[a-z]+(?=[A-Z_\-\s\d]|$)|[A-Z]+(?![a-z])|[A-Z][a-z]+")
 
 
+@lru_cache(maxsize=4096)
+def names(value: str) -> frozenset[str]:
+    return frozenset("." + w.lower() for w in NAME.findall(value))
+
+
 def features(tag: str, attrs) -> list[str]:
     out = [tag]
     for key, value in attrs:
         if key in ("class", "id", "role") and value:
-            out += {"." + w.lower() for w in NAME.findall(value)}
+            out += names(value)
         if key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and value and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
             out.append(".hidden")
     return out
 
 
+class Around:
+    """An element with features: the one above it, its features in order, those that no element above has, and the words inside
+    and outside labelled content below it. Blocks share these, so a page's cost grows with its elements, however nested."""
+
+    __slots__ = ("up", "added", "first", "words", "state")
+
+    def __init__(self, up: Around | None, added: tuple[str, ...], first: tuple[str, ...]):
+        self.up, self.added, self.first, self.words, self.state = up, added, first, [0, 0], None
+
+
 class Blocks(HTMLParser):
-    """Blocks of a page: [text parts, features of the elements around, tags before the block, inside labelled content]."""
+    """Blocks of a page: [text parts, the nearest element with features, tags before the block, inside labelled content]."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.stack, self.blocks, self.tags, self.silent, self.link = [], [], 0, 0, 0
-        self.open, self.around = Counter(), [()]  # open elements by name; the features around, shared while none is added
+        self.open, self.around = Counter(), [None]  # open elements by name; the element with features around each
+        self.elements, self.within = [], set()  # all elements with features, upper ones first; the features of open ones
         self.fresh()
 
     def fresh(self):
@@ -78,7 +95,13 @@ class Blocks(HTMLParser):
         added = tuple(f for f in features(tag, attrs) if f not in NEUTRAL)
         self.stack.append(tag)
         self.open[tag] += 1
-        self.around.append(self.around[-1] + added if added else self.around[-1])
+        if added:
+            first = tuple(f for f in dict.fromkeys(added) if f not in self.within)
+            self.within.update(first)
+            self.elements.append(Around(self.around[-1], added, first))
+            self.around.append(self.elements[-1])
+        else:
+            self.around.append(self.around[-1])
         self.silent += tag in SILENT
         self.link += tag == "a"
 
@@ -94,6 +117,9 @@ class Blocks(HTMLParser):
                     self.silent -= t in SILENT
                     self.link -= t == "a"
                     self.open[t] -= 1
+                for up, now in zip(self.around[i:], self.around[i + 1 :], strict=False):
+                    if now is not up:
+                        self.within.difference_update(now.first)
                 del self.stack[i:], self.around[i + 1 :]
                 return
             if self.stack[i] in stops:
@@ -121,13 +147,13 @@ class Blocks(HTMLParser):
             self.now[4] += len(data.split())
 
 
-def blocks_of(html: str) -> list[tuple[str, list[str], int, bool, int]]:
-    """(text, features around, tags before, labelled as content, words in links)."""
+def blocks_of(html: str) -> tuple[list[tuple[str, Around | None, int, bool, int]], list[Around]]:
+    """(text, nearest element with features, tags before, labelled as content, words in links) of each block; all elements."""
     p = Blocks()
     p.feed(html)
     p.close()
-    out = [(" ".join("".join(parts).split()), feats, tags, inside, link) for parts, feats, tags, inside, link in p.blocks]
-    return [b for b in out if b[0]]
+    out = [(" ".join("".join(parts).split()), around, tags, inside, link) for parts, around, tags, inside, link in p.blocks]
+    return [b for b in out if b[0]], p.elements
 
 
 def fixed_weight(feature: str) -> tuple[float, float]:
@@ -176,14 +202,25 @@ def evidence(pages: DataFrame) -> DataFrame:
         c: dict[str, list[int]] = {}
         for b in batches:
             for html in b.column(0).to_pylist():
-                found = blocks_of(html or "")
+                found, elements = blocks_of(html or "")
                 if not any(x[3] for x in found):
                     continue
                 page: dict[str, list[int]] = {"": [0, 0]}
-                for text, feats, _, inside, _ in found:
+                for text, around, _, inside, _ in found:
                     n = text.count(" ") + 1
-                    for f in {"", *feats} - NEUTRAL:
-                        page.setdefault(f, [0, 0])[not inside] += n
+                    page[""][not inside] += n
+                    if around:
+                        around.words[not inside] += n
+                for e in reversed(elements):  # lower ones before those above them
+                    yes, no = e.words
+                    if yes or no:
+                        if e.up:
+                            e.up.words[0] += yes
+                            e.up.words[1] += no
+                        for f in e.first:
+                            t = page.setdefault(f, [0, 0])
+                            t[0] += yes
+                            t[1] += no
                 yes, no = page[""]
                 for f, (y, n) in page.items():
                     t = c.setdefault(f, [0, 0, 0, 0])
@@ -247,15 +284,15 @@ def feature_weight(f: str, weights: dict[str, float] | Verdicts) -> float:
     return w
 
 
-def extract(html: str | None, weights: dict[str, float] | Verdicts | None = None) -> str:
-    """The region with the largest sum of word and tag scores, without its negative blocks."""
-    weights = {} if weights is None else weights
-    found = blocks_of(html or "")
-    score = []
-    for text, feats, tags, _, link in found:
-        n = text.count(" ") + 1
-        inner, outer = 0.0, 0.0
-        for f in feats:  # from the outside in: what is nearest decides, content can't undo boilerplate inside it
+def standing(around: Around | None, weights: dict[str, float] | Verdicts) -> tuple[float, float]:
+    """(inner, outer) of a place: the weight of boilerplate and of content around it; each element is looked at once."""
+    new = []
+    while around is not None and around.state is None:
+        new.append(around)
+        around = around.up
+    inner, outer = around.state if around else (0.0, 0.0)
+    for e in reversed(new):  # from the outside in: what is nearest decides, content can't undo boilerplate inside it
+        for f in e.added:
             w = feature_weight(f, weights)
             if w <= -1:
                 inner = min(inner, w)
@@ -263,6 +300,18 @@ def extract(html: str | None, weights: dict[str, float] | Verdicts | None = None
                 outer = max(outer, w)
                 if f in ("article", "main", ".article", ".main"):
                     inner = 0.0
+        e.state = inner, outer
+    return inner, outer
+
+
+def extract(html: str | None, weights: dict[str, float] | Verdicts | None = None) -> str:
+    """The region with the largest sum of word and tag scores, without its negative blocks."""
+    weights = {} if weights is None else weights
+    found, _ = blocks_of(html or "")
+    score = []
+    for text, around, tags, _, link in found:
+        n = text.count(" ") + 1
+        inner, outer = standing(around, weights)
         word = -1.0 if inner <= -1 else 1.0 if outer else 0.6
         if word > 0 and link > n / 2 and not outer:
             word = -0.5

@@ -84,19 +84,27 @@ def test_html(spark):
     assert out == [(1, want, len(want))] * 2 + [(2, "", 0), (3, "", 0), (4, "Only some plain words.", 22)]
 
 
-def test_html_nesting():
-    """Cost grows in proportion to nesting, and so does the text that is found."""
+@pytest.mark.parametrize("tag", ["<div>", '<div class="story k">', '<article class="a">'])
+def test_html_nesting(tag):
+    """Cost grows in proportion to nesting, with classes as well, and so does the text that is found."""
     import time
 
     took = []
     for n in (4_000, 32_000):
-        page = "<div>word " * n + "</div>" * n
+        page = f"{tag}word " * n + "</div>" * n
         t = time.process_time()
         assert html_extract.extract(page).count("word") == n
         took.append(time.process_time() - t)
     assert took[1] < 20 * took[0] and took[1] < 5
 
 
+def test_html_words_by_feature(spark):
+    """A feature counts the words below its elements once, however often it is nested."""
+    page = '<div class="a b"><p>one two</p><div class="a" id="b c"><article><p class="a d">three <b class="e">four</b></p></article></div></div><p class="e">five'
+    got = {r.feature: (r.yes, r.no) for r in html_extract.evidence(spark.createDataFrame([(page,), (page,)], "html string")).collect()}
+    assert got == {"": (4, 6), ".a": (4, 4), ".b": (4, 4), ".c": (4, 0), "article": (4, 0), ".d": (4, 0), ".e": (0, 2)}  # a block belongs where it begins
+
+
 def test_html_learned(spark):
     """A class with much inside content and far more outside is boilerplate, one with far more inside is content, and rare
     classes of many sites count as well."""
