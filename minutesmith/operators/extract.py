@@ -143,6 +143,36 @@ def petition(cells: DataFrame, key: str, count: str, signers: str, outcome: str,
     return _values(cells, key).select(key, n(count).alias("receipt_count"), n(signers).alias("signer_count"), T.blank_to_null(v(outcome)).alias("outcome"), H.presenters(F.regexp_replace(v(presenters), "君 ", "君\n")).alias("presenters"))
 
 
+# First cells of rows of the upper house's page on similar petitions, and its table's class.
+NEW_NUMBER, RECEIPT, SUBJECT, LIST_CLASS = "新件番号", "受理番号", "件名", "list_c"
+
+
+def upper_petition(cells: DataFrame, key: str) -> DataFrame:
+    """accepted_count, signer_count, outcome and presenters of the upper house's page on similar petitions.
+
+    Of its first list, the row of the new numbers gives the counts, and every row that begins with a receipt's number one
+    presenter for each line of its second cell, with the party on the same line of the third (null where there is none). The
+    outcome is the presenters' most frequent result, of several the one seen first.
+    """
+    of = cells.where(F.array_contains(F.split("table_class", " +"), LIST_CLASS))
+    first = of.groupBy(key).agg(F.min("table_no").alias("table_no"))
+    rows = of.join(first, [key, "table_no"], "left_semi").groupBy(key, "row_no").agg(F.array_sort(F.collect_list(F.struct("col_no", "text", "lines"))).alias("c"))
+    rows = rows.where(F.size("c") >= 6).withColumn("t", F.transform("c", lambda y: y["text"]))
+    at = lambda i: F.get("t", F.lit(i))
+    number = T.parse_int(at(0))
+    head, body = at(0) == NEW_NUMBER, ~at(0).isin(NEW_NUMBER, RECEIPT, SUBJECT) & number.isNotNull()
+    pairs = F.arrays_zip(F.get("c", F.lit(1))["lines"].alias("name"), F.get("c", F.lit(2))["lines"].alias("party"))
+    named = F.filter(pairs, lambda p: F.coalesce(p["name"], F.lit("")) != "")
+    people = F.transform(named, lambda p: F.struct(number.alias("number"), T.person_key(p["name"]).alias("name"), T.blank_to_null(p["party"]).alias("party"), T.era_date(at(3)).alias("received_at"), T.era_date(at(4)).alias("referred_at"), T.blank_to_null(at(5)).alias("result")))
+    counts = F.struct(T.parse_int(at(3)).alias("accepted_count"), T.parse_int(F.regexp_replace(at(5), "[,，]", "")).alias("signer_count"))
+    x = rows.select(key, "row_no", F.when(head, counts).alias("counts"), F.when(body, people).alias("people"))
+    x = x.groupBy(key).agg(F.max_by("counts", F.when(F.col("counts").isNotNull(), F.col("row_no"))).alias("n"), F.array_sort(F.collect_list(F.when(F.col("people").isNotNull(), F.struct("row_no", "people")))).alias("p"))
+    x = x.select(key, "n.*", F.flatten(F.transform("p", lambda y: y["people"])).alias("presenters"))
+    results = F.filter(F.transform("presenters", lambda p: p["result"]), lambda r: r.isNotNull())
+    ranked = F.transform(F.array_distinct(results), lambda r, i: F.struct(F.size(F.filter(results, lambda y: y == r)).alias("n"), (-i).alias("i"), r.alias("result")))
+    return x.select(key, "accepted_count", "signer_count", F.array_max(ranked)["result"].alias("outcome"), "presenters")
+
+
 def summary_row(cells: DataFrame, key: str, words: dict[str, str]) -> DataFrame:
     """One row a page: numbers in the second row of the table whose header cells hold ``words``."""
     x = H.header_roles(cells, key, words).where("row_no = 1")

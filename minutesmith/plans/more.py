@@ -113,6 +113,24 @@ def petition_detail(t):
     return x.select("o_orderkey", "receipt_count", "signer_count", "outcome", F.col("presenters")[0]["name"].alias("first"), F.size("presenters").alias("presenters")).join(y, "o_orderkey")
 
 
+@query("""WITH o AS (SELECT o_custkey, count(*) AS receipts, count(*) FILTER (WHERE o_orderkey % 2 = 0) AS two, min(o_orderkey) AS k, sum(CASE WHEN o_orderstatus = 'F' THEN 1 + (o_orderkey % 2 = 0)::INT ELSE 0 END) AS f, sum(CASE WHEN o_orderstatus <> 'F' THEN 1 + (o_orderkey % 2 = 0)::INT ELSE 0 END) AS r, arg_min(o_orderstatus, o_orderkey) AS s FROM orders GROUP BY 1)
+SELECT o_custkey AS c_custkey, CAST(receipts AS INTEGER) AS accepted_count, CAST(1000 + receipts AS INTEGER) AS signer_count, CASE WHEN f > r OR (f = r AND s = 'F') THEN '採択' ELSE '審査未了' END AS outcome, CAST(receipts + two AS INTEGER) AS presenters, '森' || k || CASE WHEN k % 2 = 0 THEN '|林' || k ELSE '' END AS first_names, CASE WHEN two > 0 THEN 1 ELSE 0 END AS without_party FROM o""")
+def upper_petition(t):
+    """Receipts with one or two presenters, the second without a party; counts from the row of new numbers."""
+    n = F.col("o_orderkey").cast("string")
+    two = F.col("o_orderkey") % 2 == 0
+    names = F.concat(F.lit("森　"), n, F.lit("君"), F.when(two, F.concat(F.lit("<br>林　"), n, F.lit("君"))).otherwise(""))
+    rows = F.array_sort(F.collect_list(F.struct("o_orderkey", _tr(F.concat(n, F.lit("号")), names, F.lit("無所属"), F.lit("2024年1月5日"), F.lit("令和六年一月六日"), F.when(F.col("o_orderstatus") == "F", "採択").otherwise("審査未了")).alias("r"))))
+    x = t.orders.groupBy(F.col("o_custkey").alias(KEY)).agg(F.array_join(F.transform(rows, lambda y: y["r"]), "").alias("body"), F.count("*").alias("n"))
+    head = F.concat(_tr(F.lit("件名"), F.lit("請願")), _tr(F.lit("新件番号"), F.lit("1"), F.lit("件数"), F.concat(F.col("n").cast("string"), F.lit("件")), F.lit("署名"), F.concat(F.lit("1,"), F.lpad(F.col("n").cast("string"), 3, "0"), F.lit("名"))), _tr(*[F.lit(y) for y in ("受理番号", "紹介議員", "会派", "受理", "付託", "結果")]))
+    page = x.select(KEY, F.concat(F.lit('<table><tr><td>menu</td></tr></table><table class="list_c">'), head, "body", F.lit('</table><table class="list_c"><tr><td>1</td></tr></table>')).alias("html"))
+    out = extract.upper_petition(html.html_cells(page, KEY, spans=False), KEY)
+    first = F.filter("presenters", lambda p: p["number"] == F.col("presenters")[0]["number"])
+    lone = F.exists("presenters", lambda p: p["party"].isNull()).cast("int")
+    out = out.withColumns({"first_names": F.array_join(F.transform(first, lambda p: p["name"]), "|"), "without_party": lone})
+    return out.select(KEY, "accepted_count", "signer_count", "outcome", F.size("presenters").alias("presenters"), "first_names", "without_party")
+
+
 @query("""SELECT page_id, kind, url FROM (SELECT page_id, 'text' AS kind, url FROM pages WHERE page_id % 2 = 0 UNION ALL SELECT page_id, 'progress', url || '?p' FROM pages) WHERE NOT (kind = 'progress' AND page_id % 3 = 0)""")
 def fetch_plan(t):
     rows = t.pages.select("page_id", F.when(F.col("page_id") % 2 == 0, F.col("url")).alias("text_url"), F.concat("url", F.lit("?p")).alias("progress_url"))

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CELL = "table_no int, caption string, table_id string, table_class string, heading_before string, anchor_before string, row_no int, col_no int, tag string, text string, hrefs array<string>"
+CELL = "table_no int, caption string, table_id string, table_class string, heading_before string, anchor_before string, row_no int, col_no int, tag string, text string, hrefs array<string>, lines array<string>"
 ABOUT = ["table_id", "table_class", "heading_before", "anchor_before"]
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 # The charsets tried before and after the declared one.
@@ -141,7 +141,8 @@ def _grid(rows: list, spans: bool):
 
 
 def html_cells(df: DataFrame, key: str, html: str = "html", spans: bool = True) -> DataFrame:
-    """``key`` and one row for each cell of each table of each page; null and empty pages give none."""
+    """``key`` and one row for each cell of each table of each page; ``lines`` are the lines of its text nodes, which a line
+    break ends. Null and empty pages give none."""
     kind = df.schema[key].dataType.simpleString()
 
     def run(batches):
@@ -154,10 +155,10 @@ def html_cells(df: DataFrame, key: str, html: str = "html", spans: bool = True)
                 for t, table in enumerate(p.tables):
                     for r, c, x in _grid(table["rows"], spans):
                         keys.append(i)
-                        out.append((t, " ".join(table["caption"].split()), *(table[k] for k in ABOUT), r, c, x[0], " ".join("".join(x[3]).split()), x[4]))
-            cols = list(zip(*out, strict=True)) if out else [[]] * 11
-            types = [pa.int32(), *[pa.string()] * 5, pa.int32(), pa.int32(), pa.string(), pa.string(), pa.list_(pa.string())]
-            names = [key, "table_no", "caption", *ABOUT, "row_no", "col_no", "tag", "text", "hrefs"]
+                        out.append((t, " ".join(table["caption"].split()), *(table[k] for k in ABOUT), r, c, x[0], " ".join("".join(x[3]).split()), x[4], [" ".join(y.split()) for piece in x[3] for y in piece.splitlines() if y.strip()]))
+            cols = list(zip(*out, strict=True)) if out else [[]] * 12
+            types = [pa.int32(), *[pa.string()] * 5, pa.int32(), pa.int32(), pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.string())]
+            names = [key, "table_no", "caption", *ABOUT, "row_no", "col_no", "tag", "text", "hrefs", "lines"]
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(keys, pa.int32())), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], names=names)
 
     return df.select(key, html).mapInArrow(run, f"`{key}` {kind}, {CELL}")
