@@ -63,8 +63,10 @@ def ranked(s: Scratch, df: DataFrame, group: list[str], order: list[str], what:
     columns hold no nulls; ``df`` has no columns ``_at``, ``_tie``, ``idx`` and ``n``.
     """
     keys = [F.col(c).asc_nulls_first() for c in [*group, *order]]
+    df = s.keep(df, f"{what}_rows")  # read twice, for the ranges' bounds and for the rows
     rows = df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(*keys, "_tie").sortWithinPartitions(*keys, "_tie")
     rows = s.keep(rows.drop("_tie").withColumn("_at", F.monotonically_increasing_id()), what)
+    s.drop(f"{what}_rows")
     part, all_parts = F.shiftright("_at", 33), Window.partitionBy(*group)
     spans = rows.groupBy(*group, part.alias("_part")).agg(F.min("_at").alias("_first"), F.count("*").alias("_rows"))
     spans = spans.select(
