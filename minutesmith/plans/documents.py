@@ -63,6 +63,13 @@ def html_text(t):
     return t.pages.select("page_id", html.text_of(F.col("html")).alias("text"))
 
 
+@query("SELECT c_custkey, 'Title & more' || chr(10) || c_name || chr(10) || c_mktsegment || ' end' || chr(10) || 'line' || chr(10) || c_custkey AS text FROM customer")
+def html_text_parts(t):
+    """Text nodes of pages with scripts, comments, references and empty elements, a line each."""
+    page = F.concat(F.lit("<html><head><title>Title &amp; more</title><script>var a = '<p>no</p>';</script><style>p {}</style></head><body><!-- no --><p>  "), "c_name", F.lit(" <b></b>\n\n<i>"), "c_mktsegment", F.lit(" end</i><br/>line\n</p><template>no</template><div>"), F.col(KEY).cast("string"), F.lit("</div></body>"))
+    return t.customer.select(KEY, html.text_of(page).alias("text"))
+
+
 @query("""SELECT o_orderkey, o_orderpriority || chr(10) || '答弁書' AS preamble, o_orderstatus || chr(10) || o_orderkey AS body FROM orders""")
 def document_halves(t):
     page = F.concat(F.lit("<html><body>top<h1 id='TopContents'>"), "o_orderpriority", F.lit("</h1><div><a href='x'>links</a> menu</div><p>答弁書</p><hr/><p> "), "o_orderstatus", F.lit(" </p><div><p><a href='y'>back</a></p></div><div>"), F.col("o_orderkey").cast("string"), F.lit("</div></body></html>"))

@@ -271,13 +271,16 @@ def meeting_scan(t):
     return read.groupBy(F.coalesce("fault", F.lit("")).alias("reason")).agg(F.count("*").alias("meetings"), F.coalesce(F.sum(F.size(good)), F.lit(0)).alias("speeches"), F.coalesce(F.sum(chars), F.lit(0)).alias("chars"))
 
 
-@query("")
+@query("SELECT 'gian' AS dataset, 'shugiin' AS house, page_id % 3 AS session, page_id AS entity, strlen(regexp_replace(coalesce(html, ''), '[\\r\\n]+', ' ', 'g')) + 1 AS bytes FROM pages")
 def page_scan(t):
-    """Pages as files under their dataset, house, session and key, read back by path."""
+    """Raw pages as files under their dataset, house, session and key; scanned once into a table by session, which is read."""
     path = _folder(t)
     x = t.pages.select("page_id", F.lit("gian").alias("dataset"), F.lit("shugiin").alias("house"), (F.col("page_id") % 3).alias("session"), F.coalesce("html", F.lit("")).alias("value"))
-    x.select(F.regexp_replace("value", "[\r\n]+", " ").alias("value"), "dataset", "house", "session", F.col("page_id").alias("entity")).repartition("session").write.partitionBy("dataset", "house", "session", "entity").text(path)
-    return html.scan_pages(t.spark, path).select("dataset", "house", F.col("session").cast("long").alias("session"), F.col("entity").cast("long").alias("entity"), F.octet_length("content").alias("bytes"))
+    x = x.select(F.regexp_replace("value", "[\r\n]+", " ").alias("value"), "dataset", "house", "session", F.col("page_id").alias("entity"))
+    x.repartition("session", "entity").write.partitionBy("dataset", "house", "session", "entity").text(f"{path}/raw")
+    html.store_pages(html.scan_pages(t.spark, f"{path}/raw"), f"{path}/pages")
+    pages = t.spark.read.parquet(f"{path}/pages")
+    return pages.select("dataset", "house", F.col("session").cast("long").alias("session"), F.col("entity").cast("long").alias("entity"), F.octet_length("content").cast("long").alias("bytes"))
 
 
 @query("SELECT CAST(year(o_orderdate) AS INTEGER) AS session, count(*) AS n, sum(CASE WHEN year(o_orderdate) = 1996 THEN 1 ELSE 0 END) AS again FROM orders GROUP BY 1")

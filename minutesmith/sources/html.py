@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .tables import publish
+
 CELL = "table_no int, caption string, table_id string, table_class string, heading_before string, anchor_before string, row_no int, col_no int, tag string, text string, hrefs array<string>, lines array<string>"
 ABOUT = ["table_id", "table_class", "heading_before", "anchor_before"]
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
@@ -33,6 +35,11 @@ def scan_pages(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.format("binaryFile").load(root).drop("modificationTime", "length")
 
 
+def store_pages(pages: DataFrame, path: str) -> None:
+    """Scanned pages as a table by dataset, house and session: a few large files instead of one for each page."""
+    publish(pages.select("dataset", "house", "session", "entity", "path", "content"), path, ["dataset", "house", "session"])
+
+
 def decode_page(content: bytes | None, declared: str | None) -> str:
     """The first charset that decodes without an error; else UTF-8 with replacement characters."""
     content = content or b""
