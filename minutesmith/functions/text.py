@@ -97,7 +97,8 @@ def kanji_number(c: Column) -> Column:
 
 
 def _date(y: Column, m: Column, d: Column) -> Column:
-    return F.when(y.isNotNull() & m.isNotNull() & d.isNotNull(), F.try_to_timestamp(F.format_string("%04d-%02d-%02d", y, m, d), F.lit("yyyy-MM-dd")).cast("date"))
+    year = F.when(y.between(0, 9999), F.lpad(y.cast("string"), 4, "0"))
+    return F.concat(year, F.lit("-"), m.cast("string"), F.lit("-"), d.cast("string")).try_cast("date")
 
 
 def small_numbers(c: Column) -> Column:
@@ -122,28 +123,30 @@ WESTERN = "[0-9]{4}年[0-9]{1,2}月[0-9]{1,2}日"
 
 def era_date(c: Column) -> Column:
     """A western date if there is one, else an era date; null for placeholders and impossible days."""
-    west = F.regexp_extract(narrow_digits(without_space(c)), WESTERN, 0)
+    plain = narrow_digits(without_space(c))
     east = F.regexp_extract(small_numbers(c), f"({'|'.join(ERAS)})[0-9]+年[0-9]+月[0-9]+日", 0)
+    day = lambda m: F.translate(m, "年月日", "--")
 
     def read(m):
-        base = F.when(m.rlike("^[0-9]"), 0).otherwise(F.try_element_at(lookup(ERAS), F.substring(m, 1, 2)))
-        p = F.split(F.regexp_replace(m, "^[^0-9]+", ""), "[年月日]")
-        return _date(base + p[0].try_cast("int"), F.try_element_at(p, F.lit(2)).try_cast("int"), F.try_element_at(p, F.lit(3)).try_cast("int"))
+        n = F.substring_index(F.substring(m, 3, 20), "-", 1).try_cast("int")
+        year = F.try_element_at(lookup(ERAS), F.substring(m, 1, 2)) + F.when(n.between(0, 7000), n)
+        return F.concat(year.cast("string"), F.substring(m, F.instr(m, "-"), F.length(m))).try_cast("date")
 
-    return bound(F.coalesce(blank_to_null(west), blank_to_null(east)), read)
+    west = day(F.regexp_extract(plain, WESTERN, 0)).try_cast("date")
+    return F.when(plain.rlike(WESTERN), west).otherwise(bound(day(east), read))
 
 
 def _month_day(c: Column) -> Column:
-    """[month, day] of the first such pair, null without one."""
+    """[month, day] of the first such pair, [null] without one."""
     m = F.regexp_extract(small_numbers(c), "(?<![0-9])[0-9]{1,2}月[0-9]{1,2}日", 0)
-    return F.transform(F.slice(F.split(blank_to_null(m), "[月日]"), 1, 2), lambda x: x.try_cast("int"))
+    return F.transform(F.slice(F.split(m, "[月日]"), 1, 2), lambda x: x.try_cast("int"))
 
 
 def month_day_near(c: Column, reference: Column) -> Column:
     """Month and day in the year nearest to the reference date; ties: the same year, then the one before."""
 
     def nearest(p):
-        days = F.transform(F.array(F.lit(0), F.lit(-1), F.lit(1)), lambda k, i: F.struct(i.alias("o"), _date(F.year(reference) + k, p[0], p[1]).alias("day")))
+        days = F.transform(F.array(F.lit(0), F.lit(-1), F.lit(1)), lambda k, i: F.struct(i.alias("o"), _date(F.year(reference) + k, p[0], F.get(p, F.lit(1))).alias("day")))
         options = F.transform(F.filter(days, lambda x: x["day"].isNotNull()), lambda x: F.struct(F.abs(F.datediff(x["day"], reference)).alias("gap"), x["o"], x["day"].alias("day")))
         return F.array_min(options)["day"]
 
@@ -152,7 +155,7 @@ def month_day_near(c: Column, reference: Column) -> Column:
 
 def month_day_default(c: Column, year: Column) -> Column:
     """A whole date if there is one, else month and day in the default year; null for impossible days."""
-    return F.coalesce(era_date(c), bound(_month_day(c), lambda p: _date(year.cast("int"), p[0], p[1])))
+    return F.coalesce(era_date(c), bound(_month_day(c), lambda p: _date(year.cast("int"), p[0], F.get(p, F.lit(1)))))
 
 
 def clock_time(c: Column) -> Column:
@@ -165,7 +168,7 @@ def clock_time(c: Column) -> Column:
         return F.when((hour < 24) & (minute < 60), F.format_string("%02d:%02d", hour, minute))
 
     found = F.regexp_extract(small_numbers(c), "(午前|午後)[0-9]{1,2}時([0-9]{1,2}分)?", 0)
-    return F.when(without_space(c).contains("正午"), F.lit("12:00")).otherwise(bound(blank_to_null(found), read))
+    return F.when(without_space(c).contains("正午"), F.lit("12:00")).otherwise(bound(found, read))
 
 
 def name_and_count(c: Column) -> Column:

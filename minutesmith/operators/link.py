@@ -24,14 +24,13 @@ def exact_link(keys: DataFrame, index: DataFrame, key: str, scope: tuple[str, ..
 def _begins(short: DataFrame, long: DataFrame, key: str, text: str, scope: tuple[str, ...]) -> DataFrame:
     """The rows of ``long`` with the rows of ``short`` whose ``key`` begins their ``text``.
 
-    Texts are cut at the lengths that keys have (there are few), so both sides meet on whole, equal keys.
+    Texts are cut at the lengths that keys have (no more than the longest key has characters), which a subquery gives in the
+    same job, so both sides meet on whole, equal keys.
     """
-    lengths = sorted(r[0] for r in short.select(F.length(key)).distinct().collect() if r[0])
-    if not lengths:
-        lengths = [1]
-    cut = F.filter(F.array(*map(F.lit, lengths)), lambda n: n <= F.length(text))
-    starts = long.withColumn(key, F.explode(F.transform(cut, lambda n: F.substring(F.col(text), F.lit(1), n))))
-    return starts.join(short, [*scope, key])
+    lengths = short.agg(F.collect_set(F.length(key))).scalar()
+    cut = F.filter("_lengths", lambda n: (n > 0) & (n <= F.length(text)))
+    starts = long.withColumn("_lengths", lengths).withColumn(key, F.explode(F.transform(cut, lambda n: F.substring(F.col(text), F.lit(1), n))))
+    return starts.drop("_lengths").join(short, [*scope, key])
 
 
 def prefix_link(keys: DataFrame, index: DataFrame, key: str, scope: tuple[str, ...] = ()) -> DataFrame:
@@ -41,16 +40,26 @@ def prefix_link(keys: DataFrame, index: DataFrame, key: str, scope: tuple[str, .
     return hits.groupBy(*scope, key).agg(F.min_by(F.struct("id", "title", "ordinal"), "ordinal").alias("x")).select(*scope, key, "x.*")
 
 
+def _texts(items: DataFrame, text: str, scope: tuple[str, ...], keys: dict[str, Callable[[Column], Column] | None]) -> DataFrame:
+    """Distinct texts with their keys.
+
+    A key depends on the count of its text, which is never 0: so no filter on a key moves below the grouping, where every
+    item's text would be normalised instead of every distinct one.
+    """
+    counted = items.groupBy(*scope, text).agg(F.count("*").alias("_n"))
+    return counted.select(*scope, text, *[F.when(F.col("_n") > 0, f(F.col(text)) if f else F.col(text)).alias(k) for k, f in keys.items()])
+
+
 def title_link(items: DataFrame, index: DataFrame, text: str, normalize: Callable[[Column], Column] | None = None, scope: tuple[str, ...] = ()) -> DataFrame:
     """The items with id, title and kind ('exact', 'prefix' or null).
 
-    Only distinct texts are normalised and linked, and kept while the links are worked out; the items, of which many may share
-    a text, meet them again.
+    Only distinct texts are normalised and linked; the items, of which many may share a text, meet them again. Nothing is
+    held: the shuffles of distinct texts and keys are reused by all branches.
     """
-    raw = items.select(*scope, text).distinct()
-    keyed = raw.withColumn("_key", normalize(F.col(text)) if normalize else F.col(text)).where(F.length("_key") > 0).persist()
-    exact = exact_link(keyed.select(*scope, "_key").distinct(), index, "_key", scope).withColumn("kind", F.lit("exact"))
-    rest = keyed.select(*scope, "_key").distinct().join(exact, [*scope, "_key"], "left_anti")
+    keyed = _texts(items, text, scope, {"_key": normalize}).where(F.length("_key") > 0)
+    keys = keyed.select(*scope, "_key").distinct()
+    exact = exact_link(keys, index, "_key", scope).withColumn("kind", F.lit("exact"))
+    rest = keys.join(exact, [*scope, "_key"], "left_anti")
     found = exact.unionByName(prefix_link(rest, index, "_key", scope).drop("ordinal").withColumn("kind", F.lit("prefix")))
     return items.join(keyed.join(found, [*scope, "_key"]).drop("_key"), [*scope, text], "left")
 
@@ -58,7 +67,7 @@ def title_link(items: DataFrame, index: DataFrame, text: str, normalize: Callabl
 def precedence_link(items: DataFrame, text: str, bills: DataFrame, petitions: DataFrame, scope: tuple[str, ...] = ()) -> DataFrame:
     """The items with item_type, id, title: an equal bill, else an equal petition, else a bill or else a petition that begins
     the text or that it begins; of several the first in index order. Both indexes are of the item's ``scope`` (its house)."""
-    raw = items.select(*scope, text).distinct().withColumns({"_bill": bill_title_key(F.col(text)), "_petition": petition_title_key(F.col(text))}).persist()
+    raw = _texts(items, text, scope, {"_bill": bill_title_key, "_petition": petition_title_key})
     out = None
     for p, (kind, index, key, link) in enumerate((("bill", bills, "_bill", exact_link), ("petition", petitions, "_petition", exact_link), ("bill", bills, "_bill", prefix_link), ("petition", petitions, "_petition", prefix_link))):
         keys = raw.select(*scope, key).where(F.length(key) > 0).distinct()

@@ -186,9 +186,11 @@ def title_index(t):
     return link.title_index(p, "key", "p_partkey", "p_name", "p_partkey").select("key", "id")
 
 
-def _items(t):
+def _items(t, lines=None):
     c = F.concat(F.lit("日程第一　"), "p_name", F.when(F.col("l_linenumber") % 2 == 1, "に関する件").otherwise(""), F.lit("（閣法第3号）"))
-    items = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select("l_orderkey", c.alias("text"))
+    lines = t.lineitem.select("l_partkey", "l_linenumber", "l_orderkey") if lines is None else lines
+    rest = [x for x in lines.columns if x not in ("l_partkey", "l_linenumber")]
+    items = lines.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(*rest, c.alias("text"))
     p = t.part.withColumn("key", T.bill_title_key(F.col("p_name")))
     return items, link.title_index(p, "key", "p_partkey", "p_name", "p_partkey")
 
@@ -205,8 +207,9 @@ linked AS (SELECT it.*, f.id, f.kind FROM it LEFT JOIN (SELECT * FROM ex UNION A
 
 @query(ITEMS_SQL + "SELECT key, id, kind, count(*) AS n FROM linked GROUP BY ALL")
 def title_link(t):
-    items, index = _items(t)
-    counts = items.groupBy("text").agg(F.count("*").alias("n"))
+    lines = t.lineitem.groupBy("l_partkey", (F.col("l_linenumber") % 2).alias("l_linenumber")).agg(F.count("*").alias("n"))
+    items, index = _items(t, lines)  # lines are counted by part before the join, so that only counts meet titles
+    counts = items.groupBy("text").agg(F.sum("n").alias("n"))
     return link.title_link(counts, index, "text", T.bill_title_key).groupBy(T.bill_title_key(F.col("text")).alias("key"), "id", "kind").agg(F.sum("n").alias("n"))
 
 

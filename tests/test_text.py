@@ -12,6 +12,7 @@ CASES = [
     (T.kanji_number, "元", 1), (T.kanji_number, "十", 10), (T.kanji_number, "abc", None), (T.kanji_number, "", None),
     (T.era_date, "令和8年2月18日", dt.date(2026, 2, 18)), (T.era_date, "平成元年一月八日", dt.date(1989, 1, 8)), (T.era_date, "昭和二十二年五月二十日", dt.date(1947, 5, 20)),
     (T.era_date, "2024年 3月 1日", dt.date(2024, 3, 1)), (T.era_date, "未定", None), (T.era_date, "令和8年2月30日", None),
+    (T.era_date, "令和二一四七四八三六四七年一月一日", None), (T.era_date, "平成二年一月一日（2024年2月30日）", None), (T.era_date, "令和元年5月1日（2024年2月3日）", dt.date(2024, 2, 3)), (T.era_date, "0999年1月2日", dt.date(999, 1, 2)),
     (T.clock_time, "午前十時四分", "10:04"), (T.clock_time, "午後一時三十分", "13:30"), (T.clock_time, "正午", "12:00"), (T.clock_time, "午前十二時", "00:00"), (T.clock_time, "午後二十五時", None),
     (T.person_key, "山田　太郎君", "山田太郎"), (T.agenda_prefix, "○一、日程第二 刑法", "刑法"), (T.bill_title_key, "日程第一 刑法の一部を改正する法律案（内閣提出第三号）（趣旨説明）", "刑法の一部を改正する法律案"),
     (T.agenda_prefix, "十三、刑法", "刑法"), (T.bill_title_key, "趣旨説明聴取の件", "趣旨説明聴取の件"), (T.petition_title_key, "外二件の請願に関する件", "外二件の請願に関する件"),
