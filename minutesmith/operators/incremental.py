@@ -25,10 +25,18 @@ def restrict(details: DataFrame, sessions: DataFrame, session: str = "session")
     return details.join(sessions.select(session).distinct(), session, "left_semi")
 
 
-def to_publish(wanted: DataFrame, done: DataFrame, failed: DataFrame, on: list[str], force: bool = False, parse_only: bool = False) -> DataFrame:
-    """Targets to publish: what is there stays unless a run is forced or only parses; a failed target is held back, the others go on."""
-    left = wanted if force or parse_only else wanted.join(done.select(*on).distinct(), on, "left_anti")
-    return left.join(failed.select(*on).distinct(), on, "left_anti")
+def _meet(df: DataFrame, other: DataFrame, on: list[str], how: str) -> DataFrame:
+    """Semi or anti join in which null equals null: a dataset that isn't kept by house has none in its targets."""
+    keys = other.select(*[F.col(c).alias(f"_{c}") for c in on]).distinct()
+    return df.join(keys, reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in on]), how)
+
+
+def to_publish(wanted: DataFrame, done: DataFrame, failed: DataFrame, on: list[str], force: bool = False, parse_only: bool = False, stored: DataFrame | None = None) -> DataFrame:
+    """Targets to publish: what is there stays unless a run is forced or only parses; a failed target is held back, the others
+    go on. With ``stored``, only targets whose sources are stored: a run that only parses has nothing else to read."""
+    left = wanted if force or parse_only else _meet(wanted, done, on, "left_anti")
+    left = left if stored is None else _meet(left, stored, on, "left_semi")
+    return _meet(left, failed, on, "left_anti")
 
 
 def index_if_sound(index: DataFrame, failed: DataFrame) -> DataFrame:
