@@ -11,6 +11,8 @@ by expectation-maximisation. Training is numpy inside Spark tasks: in each of ``
 all pairs of its own training texts by noise-contrastive estimation, from the parameters of the last pass; Spark then
 averages each vector over the tasks, weighted by its number of pairs. Steps grow with tokens, nothing is sampled but the
 noise. Only the parameters, whose number grows with the root of the vocabulary, travel to the driver and back.
+Every task takes its own pairs in its own order, so scores (not counts or ``base_score``) depend a little on how the table
+is split into tasks.
 
 ``base_score`` uses the exact count of every token: frequent words travel to the tasks as a table of at most ``HEAVY``
 words; the others are joined with their counts.
@@ -24,6 +26,7 @@ from __future__ import annotations
 
 import zlib
 from dataclasses import dataclass
+from itertools import repeat
 from math import isqrt
 
 import pyarrow as pa
@@ -39,7 +42,9 @@ DIM = 32
 PASSES = 2
 #: Noise samples for each pair, and how many are drawn for a batch, whose pairs share them.
 NOISE, SHARED = 16, 64
-BATCH = 512
+BATCH = 256
+#: So many pairs of one context, at most, are dealt to batches together; they meet the same noise.
+TOGETHER = 8
 #: Pairs are counted over so many tokens of a task, and one that comes more often than ``REPEAT`` times counts as several.
 TOKENS, REPEAT = 1 << 19, 8
 RATE = 0.2
@@ -118,8 +123,8 @@ class Vocabulary:
         miss, get, at, start, places, rare = len(self.words), self.place.get, 0, [], [], []
         for text in texts:
             w = words_of(text)
-            p = [get(x, miss) for x in w]
-            rare.append([x for x, i in zip(w, p, strict=True) if i == miss])
+            p = list(map(get, w, repeat(miss)))
+            rare.append([x for x, i in zip(w, p, strict=True) if i == miss] if miss in p else [])
             start.append(at)
             places += [-1] * CONTEXT
             places += p
@@ -187,52 +192,124 @@ def components(r, w, z, q, h, t):
 
     out = np.empty((len(t), CONTEXT + 1))
     out[:, 0] = q[t]
-    for a in range(0, len(t), 1 << 15):
-        v = w[t[a : a + (1 << 15)]]
+    for a in range(0, len(t), 1 << 12):  # so many rows stay in the processor's cache
+        v = w.take(t[a : a + (1 << 12)], 0)
         for d in range(CONTEXT):
-            x = h[a : a + (1 << 15), d]
-            out[a : a + (1 << 15), d + 1] = np.exp(np.einsum("ij,ij->i", r[x], v) - z[x])
+            x = h[a : a + (1 << 12), d]
+            out[a : a + (1 << 12), d + 1] = np.exp(np.einsum("ij,ij->i", r.take(x, 0), v) - z[x])
     return out
 
 
-def gather(rows, values):
-    """Distinct rows, and the sums of their values."""
+def starts(rows):
+    """Where, along the last axis, a run of equal rows begins."""
     import numpy as np
 
-    order = np.argsort(rows, kind="stable")
-    rows = rows[order]
-    first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-    return rows[first], np.add.reduceat(values[order], first, axis=0)
+    new = np.ones(rows.shape, bool)
+    new[..., 1:] = rows[..., 1:] != rows[..., :-1]
+    return new
 
 
-def train_nce(r, w, gr, gw, q, h, t, c, rng, rate: float = RATE, batch: int = BATCH):
-    """One pass of noise-contrastive estimation over pairs (h, t) that occur c times; changes r, w and their step sizes.
+def order_of(rows):
+    """For every line of rows: the order that sorts it, and what ``sums`` needs of its runs of equal rows."""
+    import numpy as np
+
+    order = np.argsort(rows, axis=1, kind="stable")
+    rows = np.take_along_axis(rows, order, 1)
+    new = starts(rows)
+    single = new.copy()
+    single[:, :-1] &= new[:, 1:]
+    return order, rows.astype(np.int64), new, single
+
+
+def sums(values, rows, new, single):
+    """Distinct rows, and the sums of their values. Most rows come once and are only copied."""
+    import numpy as np
+
+    first = new.nonzero()[0]
+    out = values.take(first, 0)
+    many = (~single).nonzero()[0]
+    if len(many):
+        out[~single[first]] = np.add.reduceat(values.take(many, 0), new[many].nonzero()[0], axis=0)
+    return rows[first], out
+
+
+def move(x, gx, rows, d, rate: float):
+    """One adaptive step of the given rows of x along d, whose squares add up in gx."""
+    import numpy as np
+
+    size = gx.take(rows, 0)
+    size += d * d
+    gx[rows] = size
+    np.sqrt(size, out=size)
+    d /= size
+    d *= rate
+    d += x.take(rows, 0)
+    x[rows] = d
+
 
-    The last place of every r is 1, so that the last one of w is the bias."""
+def dealt(h, rng, together: int):
+    """A random order of the pairs in which up to ``together`` pairs of one context stand next to each other."""
     import numpy as np
 
-    logkq, cum = np.log(NOISE * q).astype(np.float32), np.cumsum(q)
     order = rng.permutation(len(h))
-    for a in range(0, len(order), batch):
-        i = order[a : a + batch]
-        hi, ti, ci = h[i], t[i], (c[i] / c[i].sum() * 50).astype(np.float32)
-        n = np.minimum(np.searchsorted(cum, rng.random(SHARED)), len(q) - 1)
-        rh, wt, wn = r[hi], w[ti], w[n]
-        g = ci * (1 - 1 / (1 + np.exp(-np.clip(np.einsum("ij,ij->i", rh, wt) - logkq[ti], -30, 30))))
-        gn = -(ci * (NOISE / SHARED))[:, None] / (1 + np.exp(-np.clip(rh @ wn.T - logkq[n], -30, 30)))
-        rows, dr = gather(hi, g[:, None] * wt + gn @ wn)
-        dr[:, -1] = 0
-        cols, dw = gather(np.concatenate([ti, n]), np.concatenate([g[:, None] * rh, gn.T @ rh]))
-        for x, gx, u, d in ((r, gr, rows, dr), (w, gw, cols, dw)):
-            gx[u] += d * d
-            x[u] += rate * d / np.sqrt(gx[u])
+    order = order[np.argsort(h[order], kind="stable")]
+    first = np.flatnonzero(starts(h[order]))
+    at = np.arange(len(h)) - np.repeat(first, np.diff(np.append(first, len(h))))
+    begin = np.flatnonzero(at % together == 0)
+    size = np.diff(np.append(begin, len(h)))
+    mixed = rng.permutation(len(begin))
+    begin, size = begin[mixed], size[mixed]
+    return order[np.repeat(begin - np.cumsum(size) + size, size) + np.arange(len(h))]
+
+
+def train_nce(r, w, gr, gw, q, h, t, c, rng, rate: float = RATE, batch: int = BATCH, together: int = TOGETHER):
+    """One pass of noise-contrastive estimation over pairs (h, t) that occur c times; changes r, w and their step sizes.
+
+    Pairs of one context in a batch meet the same noise, so its scores are worked out once for the context. The last place
+    of every r is 1, so that the last one of w is the bias."""
+    import numpy as np
+
+    logkq, cum, rate = np.log(NOISE * q).astype(np.float32), np.cumsum(q), np.float32(rate)
+    short = np.min_scalar_type(len(r))  # numbers of 16 bits are sorted fast
+    h, t = h.astype(short), t.astype(short)
+    order = dealt(h, rng, together)
+    whole = len(order) // batch * batch
+    for block in (order[:whole].reshape(-1, batch), order[None, whole:]):
+        for a in range(0, len(block) if block.size else 0, 256):
+            i = block[a : a + 256]
+            # what doesn't depend on the parameters is worked out for many batches at once
+            i = np.take_along_axis(i, np.argsort(h[i], axis=1, kind="stable"), 1)
+            hs, ts, cs = h[i].astype(np.int64), t[i], c[i]
+            runs = starts(hs)
+            cs = (cs / cs.sum(1, keepdims=True) * 50).astype(np.float32)
+            ns = np.minimum(np.searchsorted(cum, rng.random((len(i), SHARED))), len(q) - 1)
+            at, cols, new, single = order_of(np.concatenate([ts, ns.astype(short)], 1))
+            ts = ts.astype(np.int64)
+            kt, kn = logkq[ts], logkq[ns]
+            for k in range(len(i)):
+                first = runs[k].nonzero()[0]
+                rows, of_row = hs[k].take(first), runs[k].cumsum() - 1
+                ru, wt, wn, ck = r.take(rows, 0), w.take(ts[k], 0), w.take(ns[k], 0), cs[k]
+                rh = ru.take(of_row, 0)
+                g = (ck / (1 + np.exp(np.minimum(np.einsum("ij,ij->i", rh, wt) - kt[k], 30))))[:, None]
+                gn = ru @ wn.T
+                np.minimum(np.subtract(kn[k], gn, out=gn), 30, out=gn)
+                np.exp(gn, out=gn)
+                gn += 1
+                np.divide((np.add.reduceat(ck, first) * np.float32(-NOISE / SHARED))[:, None], gn, out=gn)
+                wt *= g
+                dr = np.add.reduceat(wt, first, axis=0)
+                dr += gn @ wn
+                dr[:, -1] = 0
+                rh *= g
+                move(r, gr, rows, dr, rate)
+                move(w, gw, *sums(np.concatenate([rh, gn.T @ ru]).take(at[k], 0), cols[k], new[k], single[k]), rate)
 
 
 def mix(p, weights, rounds: int):
     """Weights of the mixture after rounds of expectation-maximisation over the components' probabilities."""
     for _ in range(rounds):
-        x = p * weights
-        weights = (x / x.sum(1, keepdims=True)).mean(0)
+        weights = weights * ((1 / (p @ weights)) @ p) / len(p)
     return weights
 
 
