@@ -80,4 +80,4 @@ def queries():
 
 
 def oracle_sql():
-    return {"op3_exact_dedup": exact_dedup.SQL, "op11_trie": prefix_trie.SQL, "op13_manifest": merkle.SQL}
+    return {"op3_exact_dedup": exact_dedup.SQL, "op4_suffix_dedup": suffix_dedup.SQL, "op9_jaccard_join": jaccard_join.SQL, "op11_trie": prefix_trie.SQL, "op13_manifest": merkle.SQL}

@@ -410,3 +410,24 @@ def remove_repeats(df: DataFrame, width: int = WIDTH, gram: int = GRAM, bits: in
 
     rows, _, spans = _with_spans(df, width, gram, bits)
     return rows.select(*df.columns, spans).mapInArrow(run, df.schema)
+
+
+SQL = """
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+g AS MATERIALIZED (SELECT rid, doc_id, p, hash(substr(h, 2 * p + 1, 100)) AS k, substr(h, 2 * p + 1, 100) AS x FROM (SELECT rid, doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS p FROM d)),
+hits AS (
+  SELECT rid, p FROM (SELECT rid, doc_id, p, min(doc_id) OVER (PARTITION BY k, x) AS f FROM g) WHERE f < doc_id),
+runs AS (
+  SELECT rid, min(p) AS a, max(p) + 50 AS z FROM (
+    SELECT rid, p, sum(CASE WHEN p - q <= 50 THEN 0 ELSE 1 END) OVER (PARTITION BY rid ORDER BY p) AS run
+    FROM (SELECT rid, p, lag(p) OVER (PARTITION BY rid ORDER BY p) AS q FROM hits))
+  GROUP BY rid, run),
+pieces AS (
+  SELECT rid, a, z, coalesce(lag(z) OVER (PARTITION BY rid ORDER BY a), 0) AS b FROM runs),
+cut AS (
+  SELECT rid, sum(z - a) AS n_removed, count(*) AS n_spans, max(z) AS z, string_agg(substr(h, 2 * b + 1, 2 * (a - b)), '' ORDER BY a) AS head
+  FROM pieces JOIN d USING (rid) GROUP BY rid)
+SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(z, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN cut USING (rid)
+"""
