@@ -2,10 +2,13 @@
 
 One automaton finds notice phrases and identifier tags in the words of a text; the expression after an
 ``SPDX-License-Identifier:`` tag is parsed by the shunting-yard method (and, or, with, brackets) and evaluated to its
-licence labels. Words are runs of ASCII digits and letters (A-Z lower-cased) and of non-ASCII characters.
+licence labels: those that bind whichever side of an `or` is taken (``required``), and those that a choice can avoid
+(``choices``). Words are runs of ASCII digits and letters (A-Z lower-cased) and of non-ASCII characters.
 
 Defined results: null text counts as empty; an empty text has no words, null first and last places, empty labels and
-score 0; an expression that does not parse gives the labels of its known identifiers; repeated rows each give a row.
+score 0; an expression that does not parse gives the labels of its known identifiers, none of them required; a label that
+one tag requires is no choice, whatever other tags say; repeated rows each give a row; texts are scanned whole, however
+long; an empty table gives none; other columns, whatever they are called, are not read.
 """
 
 from __future__ import annotations
@@ -78,19 +81,24 @@ def postfix(expression: str) -> list[str] | None:
     return out + held[::-1]
 
 
-def evaluate(expression: str) -> set[str]:
-    """Labels of an expression: `with` adds an exception to its licence, `and` and `or` unite their sides' labels."""
+def evaluate(expression: str) -> tuple[set[str], set[str]]:
+    """(labels required under every choice, all labels): `and` requires what either side does, `or` what both sides do,
+    `with` adds an exception to its licence."""
     pieces = postfix(expression)
     if pieces is None:
-        return {x for p in PIECE.findall(expression) if p not in BINDS and (x := identifier_label(p))}
-    stack: list[set[str]] = []
+        return set(), {x for p in PIECE.findall(expression) if p not in BINDS and (x := identifier_label(p))}
+    stack: list[tuple[set[str], set[str]]] = []
     for p in pieces:
         if p in BINDS:
             right, left = stack.pop(), stack.pop()
-            stack.append({f"{x}-exception" for x in left} | left if p == "with" else left | right)
+            if p == "with":
+                stack.append(tuple(side | {f"{x}-exception" for x in side} for side in left))
+            else:
+                stack.append((left[0] & right[0] if p == "or" else left[0] | right[0], left[1] | right[1]))
         else:
-            stack.append({x} if (x := identifier_label(p)) else set())
-    return stack[-1] if stack else set()
+            x = {identifier_label(p)} - {None}
+            stack.append((x, x))
+    return stack[-1] if stack else (set(), set())
 
 
 def automaton():
@@ -107,10 +115,11 @@ def scan(text: str, a) -> tuple:
     low = text.encode("utf-8", "surrogatepass").lower()
     words = low.translate(SPACES).split()
     if not words:
-        return 0, 0, None, None, "", "", 0.0
+        return 0, 0, None, None, "", "", 0.0, "", ""
     # Latin-1 letters stand for bytes: no decoding is needed, and places stay those of bytes
     joined = (b" " + b" ".join(words) + b" ").decode("latin-1")
     base, places, labels, found, tagged, at, word = set(), [], set(), 0, False, 0, 0
+    required, stated = set(), set()
     for end, (phrase, label) in a.iter(joined):
         if label == TAG:
             tagged = True
@@ -125,24 +134,26 @@ def scan(text: str, a) -> tuple:
         found += len(phrase.split())
     if tagged:
         for m in EXPRESSION.finditer(low.decode("latin-1")):
-            labels |= evaluate(m[1])
-    labels |= base
+            must, every = evaluate(m[1])
+            required |= must
+            stated |= every
+    labels |= base | stated
     score = 0.0 if not labels else min(1.0, 0.5 + 5.0 * found / len(words))
-    return len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), score
+    return len(words), len(places), min(places, default=None), max(places, default=None), *(",".join(sorted(x)) for x in (base, labels)), score, *(",".join(sorted(x)) for x in (required, stated - required))
 
 
-SCHEMA = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
+SCHEMA = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, required string, choices string"
 
 
 def license_scan(df: DataFrame) -> DataFrame:
-    """One pass over whole texts, no shuffle: n_words, n_base, first_word, last_word, base_labels, labels, score by doc_id."""
-    types = pa.schema([("doc_id", pa.int64()), *((n, pa.int64()) for n in ("n_words", "n_base", "first_word", "last_word")), ("base_labels", pa.string()), ("labels", pa.string()), ("score", pa.float64())])
+    """One pass over whole texts, no shuffle: n_words, n_base, first_word, last_word, base_labels, labels, score, required, choices by doc_id."""
+    types = pa.schema([("doc_id", pa.int64()), *((n, pa.int64()) for n in ("n_words", "n_base", "first_word", "last_word")), ("base_labels", pa.string()), ("labels", pa.string()), ("score", pa.float64()), ("required", pa.string()), ("choices", pa.string())])
 
     def run(batches):
         a = automaton()
         for b in batches:
             rows = [scan(t or "", a) for t in b.column(1).to_pylist()]
-            cols = list(zip(*rows, strict=True)) if rows else [[]] * 7
+            cols = list(zip(*rows, strict=True)) if rows else [[]] * 9
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, t) for c, t in zip(cols, types.types[1:], strict=True))], schema=types)
 
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, SCHEMA)

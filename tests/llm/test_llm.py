@@ -4,6 +4,7 @@ import hashlib
 import random
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 
@@ -177,7 +178,13 @@ def test_license():
     a = license_scan.automaton()
     s = license_scan.scan("Under the MIT-License; see\nSPDX-License-Identifier: (Apache-2.0 OR GPL-2.0-only) AND BSD-3-Clause\nmit license", a)
     assert s[1:6] == (2, 2, s[0] - 2, "mit", "apache,bsd,gpl,mit")
-    assert license_scan.scan("", a) == (0, 0, None, None, "", "", 0.0)
+    assert s[7:] == ("bsd", "apache,gpl")
+    assert license_scan.scan("", a) == (0, 0, None, None, "", "", 0.0, "", "")
+    assert license_scan.evaluate("mit or gpl-2.0") == (set(), {"mit", "gpl"})
+    assert license_scan.evaluate("mit and gpl-2.0") == ({"mit", "gpl"}, {"mit", "gpl"})
+    assert license_scan.evaluate("mit and bsd or mit") == ({"mit"}, {"mit", "bsd"})
+    assert license_scan.evaluate("gpl-2.0 with classpath or mit") == (set(), {"gpl", "gpl-exception", "mit"})
+    assert license_scan.evaluate("mit or") == (set(), {"mit"}) and license_scan.evaluate("") == (set(), set())
     assert license_scan.postfix("a or b and c") == ["a", "b", "c", "and", "or"] and license_scan.postfix("a or") is None
 
 
@@ -185,6 +192,20 @@ def test_license_table(docs, empty):
     assert license_scan.license_scan(docs).count() == len(ROWS) and license_scan.license_scan(empty).count() == 0
 
 
+def test_license_base(spark):
+    """Base columns of whole tables against SQL."""
+    path, upper = "/root/testdata/sf0.01/documents.parquet", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    phrases = ", ".join(f"('{p}', '{label}', {len(p.split())})" for p, label in license_scan.BASE.items())
+    want = duckdb.sql(f"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM '{path}'),
+        p AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d),
+        m AS (SELECT doc_id, i - 1 AS k, label FROM p JOIN (VALUES {phrases}) AS b(phrase, label, n) ON array_to_string(w[i:i + n - 1], ' ') = phrase),
+        s AS (SELECT doc_id, count(*) AS n, min(k) AS a, max(k) AS z, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM m GROUP BY doc_id)
+        SELECT doc_id, len(w), coalesce(n, 0), a, z, coalesce(labels, '') FROM d LEFT JOIN s USING (doc_id)""").fetchall()
+    got = license_scan.license_scan(spark.read.parquet(path)).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str) and sum(x[2] for x in want) > 0
+
+
 def test_toxicity(spark, empty):
     rows = [(i, prose(12) + (" scumbag" if i % 7 == 0 else "")) for i in range(300)]
     d = spark.createDataFrame([*rows, (None, "scumbag"), (900, None)], "doc_id long, text string")
