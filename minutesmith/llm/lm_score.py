@@ -26,10 +26,10 @@ from __future__ import annotations
 
 import zlib
 from dataclasses import dataclass
-from itertools import repeat
 from math import isqrt
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,6 +47,8 @@ BATCH = 256
 TOGETHER = 8
 #: Pairs are counted over so many tokens of a task, and one that comes more often than ``REPEAT`` times counts as several.
 TOKENS, REPEAT = 1 << 19, 8
+#: Words are counted together in a task until they take so many bytes.
+COUNTED = 1 << 25
 RATE = 0.2
 END = b""
 
@@ -56,6 +58,18 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
+def split(texts):
+    """The words of all texts of an Arrow array, one after the other, as ``words_of`` finds them, and how many come before
+    each text, and in all."""
+    import numpy as np
+
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.string()).fill_null("")))
+    words = parts.flatten()
+    some = pc.greater(pc.binary_length(words), 0)  # white space at a text's ends leaves empty parts
+    at = np.append(0, np.cumsum(pc.list_value_length(parts).to_numpy()))
+    return words.filter(some).cast(pa.binary()), np.append(0, np.cumsum(some.to_numpy(zero_copy_only=False)))[at]
+
+
 def held_out(c):
     return F.coalesce(F.crc32(F.encode(c.cast("string"), "UTF-8")) % 10 == 0, F.lit(False))
 
@@ -64,19 +78,23 @@ def count_words(df: DataFrame) -> DataFrame:
     """word (binary; empty: the end), c: exact counts, partly summed in each task."""
     schema = pa.schema([("word", pa.binary()), ("c", pa.int64())])
 
-    def run(batches):
-        from collections import Counter
+    def counted(held, texts):
+        c = pa.chunked_array(held, pa.binary()).value_counts()
+        words, n = pa.concat_arrays([c.field(0), pa.array([END], pa.binary())]), pa.concat_arrays([c.field(1), pa.array([texts], pa.int64())])
+        return pa.RecordBatch.from_arrays([words, n], schema=schema)
 
-        c: Counter = Counter()
+    def run(batches):
+        held, texts, size = [], 0, 0
         for b in batches:
-            for text in b.column(0).to_pylist():
-                w = words_of(text)
-                c.update(w)
-                c[END] += 1
-            if len(c) > 400_000:
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.binary()), pa.array(list(c.values()), pa.int64())], schema=schema)
-                c = Counter()
-        yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.binary()), pa.array(list(c.values()), pa.int64())], schema=schema)
+            words, _ = split(b.column(0))
+            held.append(words)
+            texts += len(b)
+            size += words.nbytes
+            if size > COUNTED:
+                yield counted(held, texts)
+                held, texts, size = [], 0, 0
+        if texts:
+            yield counted(held, texts)
 
     return df.select("text").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
@@ -95,7 +113,7 @@ class Vocabulary:
     def __post_init__(self):
         import numpy as np
 
-        self.place = {w: i for i, w in enumerate(self.words)}
+        self.frequent = pa.array(self.words, pa.binary())
         names = [w for w in self.words if w != END][: self.own]
         named = {w: i + 1 for i, w in enumerate(names)}
         self.class_of = np.array([0 if w == END else named.get(w) or self.hashed(w) for w in self.words], np.int64)
@@ -117,25 +135,23 @@ class Vocabulary:
 
     def read(self, texts):
         """Places (``len(words)``: not frequent) and classes of all tokens of the texts, ``CONTEXT`` ends before each text
-        and one after it, where each text starts, and its rare words."""
+        and one after it, where each text starts, and its rare words with the number of the text that holds each."""
         import numpy as np
 
-        miss, get, at, start, places, rare = len(self.words), self.place.get, 0, [], [], []
-        for text in texts:
-            w = words_of(text)
-            p = list(map(get, w, repeat(miss)))
-            rare.append([x for x, i in zip(w, p, strict=True) if i == miss] if miss in p else [])
-            start.append(at)
-            places += [-1] * CONTEXT
-            places += p
-            places.append(-1)
-            at += len(w) + CONTEXT + 1
-        places = np.array(places, np.int64)
-        classes = np.zeros(len(places), np.int64)
-        frequent = (places >= 0) & (places < miss)
-        classes[frequent] = self.class_of[places[frequent]]
-        classes[places == miss] = [self.hashed(x) for r in rare for x in r]
-        return places, classes, np.array(start, np.int64), rare
+        miss, (words, before) = len(self.words), split(texts)
+        found = pc.index_in(words, value_set=self.frequent)
+        lone = found.is_null()
+        found, lone = found.fill_null(miss).to_numpy(), words.filter(lone).dictionary_encode()
+        n = np.diff(before)
+        text = np.repeat(np.arange(len(n)), n)
+        at = np.arange(len(found)) + text * (CONTEXT + 1) + CONTEXT
+        start = before[:-1] + np.arange(len(n)) * (CONTEXT + 1)
+        places, classes = np.full(len(found) + len(n) * (CONTEXT + 1), -1), np.zeros(len(found) + len(n) * (CONTEXT + 1), np.int64)
+        places[at], known = found, found < miss
+        classes[at[known]] = self.class_of[found[known]]
+        hashed = np.array([self.hashed(x) for x in lone.dictionary.to_pylist()], np.int64)
+        classes[at[~known]] = hashed[lone.indices.to_numpy()]
+        return places, classes, start, lone, text[~known]
 
 
 def vocabulary(counts: DataFrame, heavy: int, classes: int) -> tuple[Vocabulary, int, int]:
@@ -159,7 +175,7 @@ def vocabulary(counts: DataFrame, heavy: int, classes: int) -> tuple[Vocabulary,
             of.class_count[h] -= c
             of.class_words[h] -= 1
             of.class_count[k] = c
-    if END not in of.place:
+    if END not in words:
         end = counts.where(F.length("word") == 0).select("c").first()
         if end:
             of.class_count[0] = end["c"]
@@ -209,32 +225,8 @@ def starts(rows):
     return new
 
 
-def order_of(rows):
-    """For every line of rows: the order that sorts it, and what ``sums`` needs of its runs of equal rows."""
-    import numpy as np
-
-    order = np.argsort(rows, axis=1, kind="stable")
-    rows = np.take_along_axis(rows, order, 1)
-    new = starts(rows)
-    single = new.copy()
-    single[:, :-1] &= new[:, 1:]
-    return order, rows.astype(np.int64), new, single
-
-
-def sums(values, rows, new, single):
-    """Distinct rows, and the sums of their values. Most rows come once and are only copied."""
-    import numpy as np
-
-    first = new.nonzero()[0]
-    out = values.take(first, 0)
-    many = (~single).nonzero()[0]
-    if len(many):
-        out[~single[first]] = np.add.reduceat(values.take(many, 0), new[many].nonzero()[0], axis=0)
-    return rows[first], out
-
-
-def move(x, gx, rows, d, rate: float):
-    """One adaptive step of the given rows of x along d, whose squares add up in gx."""
+def move(x, gx, rows, old, d, rate: float):
+    """One adaptive step along d of the given rows of x, which are old and whose squares add up in gx."""
     import numpy as np
 
     size = gx.take(rows, 0)
@@ -243,7 +235,7 @@ def move(x, gx, rows, d, rate: float):
     np.sqrt(size, out=size)
     d /= size
     d *= rate
-    d += x.take(rows, 0)
+    d += old
     x[rows] = d
 
 
@@ -262,15 +254,18 @@ def dealt(h, rng, together: int):
     return order[np.repeat(begin - np.cumsum(size) + size, size) + np.arange(len(h))]
 
 
-def train_nce(r, w, gr, gw, q, h, t, c, rng, rate: float = RATE, batch: int = BATCH, together: int = TOGETHER):
-    """One pass of noise-contrastive estimation over pairs (h, t) that occur c times; changes r, w and their step sizes.
+def train_nce(x, gx, q, h, t, c, rng, rate: float = RATE, batch: int = BATCH, together: int = TOGETHER):
+    """One pass of noise-contrastive estimation over pairs (h, t) that occur c times; changes x, the rows of r and then those
+    of w, and its step sizes.
 
-    Pairs of one context in a batch meet the same noise, so its scores are worked out once for the context. The last place
-    of every r is 1, so that the last one of w is the bias."""
+    Contexts of a batch meet the same noise. A batch is a matrix of scores of its different words (rows) by its different
+    contexts (columns), so scores and both gradients are matrix products. The last place of every r is 1, so that the last
+    one of w is the bias."""
     import numpy as np
 
+    base = len(x) - len(q)
     logkq, cum, rate = np.log(NOISE * q).astype(np.float32), np.cumsum(q), np.float32(rate)
-    short = np.min_scalar_type(len(r))  # numbers of 16 bits are sorted fast
+    short = np.min_scalar_type(len(x))  # numbers of 16 bits are sorted fast
     h, t = h.astype(short), t.astype(short)
     order = dealt(h, rng, together)
     whole = len(order) // batch * batch
@@ -279,31 +274,46 @@ def train_nce(r, w, gr, gw, q, h, t, c, rng, rate: float = RATE, batch: int = BA
             i = block[a : a + 256]
             # what doesn't depend on the parameters is worked out for many batches at once
             i = np.take_along_axis(i, np.argsort(h[i], axis=1, kind="stable"), 1)
-            hs, ts, cs = h[i].astype(np.int64), t[i], c[i]
-            runs = starts(hs)
+            hs, ts, cs = h[i], t[i], c[i]
             cs = (cs / cs.sum(1, keepdims=True) * 50).astype(np.float32)
-            ns = np.minimum(np.searchsorted(cum, rng.random((len(i), SHARED))), len(q) - 1)
-            at, cols, new, single = order_of(np.concatenate([ts, ns.astype(short)], 1))
-            ts = ts.astype(np.int64)
-            kt, kn = logkq[ts], logkq[ns]
-            for k in range(len(i)):
-                first = runs[k].nonzero()[0]
-                rows, of_row = hs[k].take(first), runs[k].cumsum() - 1
-                ru, wt, wn, ck = r.take(rows, 0), w.take(ts[k], 0), w.take(ns[k], 0), cs[k]
-                rh = ru.take(of_row, 0)
-                g = (ck / (1 + np.exp(np.minimum(np.einsum("ij,ij->i", rh, wt) - kt[k], 30))))[:, None]
-                gn = ru @ wn.T
-                np.minimum(np.subtract(kn[k], gn, out=gn), 30, out=gn)
-                np.exp(gn, out=gn)
-                gn += 1
-                np.divide((np.add.reduceat(ck, first) * np.float32(-NOISE / SHARED))[:, None], gn, out=gn)
-                wt *= g
-                dr = np.add.reduceat(wt, first, axis=0)
-                dr += gn @ wn
-                dr[:, -1] = 0
-                rh *= g
-                move(r, gr, rows, dr, rate)
-                move(w, gw, *sums(np.concatenate([rh, gn.T @ ru]).take(at[k], 0), cols[k], new[k], single[k]), rate)
+            ns = np.sort(np.minimum(np.searchsorted(cum, rng.random((len(i), SHARED))), len(q) - 1).astype(short), axis=1)
+            both = np.concatenate([ts, ns], 1)
+            by = np.argsort(both, axis=1, kind="stable")
+            both = np.take_along_axis(both, by, 1)
+            # different contexts, noise words and words, of all batches in a row, and where each batch's begin
+            runs, noise, words = starts(hs), starts(ns), starts(both)
+            ends = [np.append(0, y.sum(1).cumsum()) for y in (runs, noise, words)]
+            column, line = runs.cumsum(1) - 1, np.empty(both.shape, np.int64)
+            np.put_along_axis(line, by, words.cumsum(1) - 1, 1)
+            width, of_noise = np.diff(ends[0]), line[:, -SHARED:][noise]
+            cells = line[:, :-SHARED] * width[:, None] + column
+            load = np.add.reduceat(cs.ravel(), np.flatnonzero(runs)) * np.float32(-NOISE / SHARED)
+            times = np.diff(np.append(np.flatnonzero(noise), noise.size)).astype(np.float32)
+            contexts, words, kt, kn = hs[runs].astype(np.int64), both[words] + np.int64(base), logkq[ts], logkq[ns[noise]]
+            for k, n in enumerate(width.tolist()):
+                (h0, n0, w0), (h1, n1, w1) = ([int(y[k + j]) for y in ends] for j in (0, 1))
+                rows = np.concatenate([contexts[h0:h1], words[w0:w1]])
+                old = x.take(rows, 0)
+                r, w = old[:n], old[n:]
+                s = w @ r.T.copy()
+                g = s.take(cells[k])
+                g -= kt[k]
+                np.exp(np.minimum(g, 30, out=g), out=g)
+                g += 1
+                np.divide(cs[k], g, out=g)
+                m = of_noise[n0:n1]
+                e = np.subtract(kn[n0:n1, None], s.take(m, 0))
+                np.exp(np.minimum(e, 30, out=e), out=e)
+                e += 1
+                np.divide(times[n0:n1, None] * load[h0:h1], e, out=e)
+                s.fill(0)
+                s[m] = e
+                np.add.at(s.reshape(-1), cells[k], g)
+                d = np.empty_like(old)
+                np.matmul(s.T, w, out=d[:n])
+                np.matmul(s, r, out=d[n:])
+                d[:n, -1] = 0
+                move(x, gx, rows, old, d, rate)
 
 
 def mix(p, weights, rounds: int):
@@ -331,22 +341,22 @@ def train(learn: DataFrame, of: Vocabulary, q):
             lean("lm")
             of, (r0, w0, z, weights) = vocab.value, sent.value
             size, rng = of.size, np.random.default_rng(step)
-            r, w = r0.copy(), w0.copy()
-            gr, gw = np.full(r.shape, 1e-2, np.float32), np.full(w.shape, 1e-2, np.float32)
-            seen, mixed, tokens = np.zeros(len(r) + size), np.zeros(CONTEXT + 1), 0
-            held, n = [], 0
+            x = np.concatenate([r0, w0])
+            gx = np.full(x.shape, 1e-2, np.float32)
+            seen, mixed, tokens = np.zeros(len(x)), np.zeros(CONTEXT + 1), 0
+            held, n, short = [], 0, np.min_scalar_type(len(r0) * size)
 
             def learn_held():
                 key, c = np.unique(np.concatenate(held), return_counts=True)
                 parts = -(-c // REPEAT)
                 key, c = np.repeat(key, parts), np.repeat(c / parts, parts)
-                h, t = key // size, key % size
-                train_nce(r, w, gr, gw, q, h, t, c, rng, RATE / (step + 1))
-                seen[: len(r)] += np.bincount(h, c, len(r))
-                seen[len(r) :] += np.bincount(t, c, size)
+                h, t = np.divmod(key, key.dtype.type(size))
+                train_nce(x, gx, q, h, t, c, rng, RATE / (step + 1))
+                seen[: len(r0)] += np.bincount(h, c, len(r0))
+                seen[len(r0) :] += np.bincount(t, c, size)
 
             for b in batches:
-                _, classes, start, _ = of.read(b.column(0).to_pylist())
+                _, classes, start, *_ = of.read(b.column(0))
                 at = targets(len(classes), start)
                 if not len(at):
                     continue
@@ -354,7 +364,7 @@ def train(learn: DataFrame, of: Vocabulary, q):
                 if z is not None:
                     mixed += len(t) * mix(components(r0, w0, z, q, h, t), weights, 10)
                     tokens += len(t)
-                held.append((h * size + t[:, None]).ravel())
+                held.append((h * size + t[:, None]).astype(short).ravel())
                 n += len(t)
                 if n >= TOKENS:
                     learn_held()
@@ -362,7 +372,7 @@ def train(learn: DataFrame, of: Vocabulary, q):
             if held:
                 learn_held()
             rows = np.flatnonzero(seen)
-            values = np.concatenate([r, w])[rows]
+            values = x[rows]
             weight = seen[rows]
             if tokens:
                 rows, weight = np.append(rows, -1), np.append(weight, tokens)
@@ -428,13 +438,11 @@ def lm_score(df: DataFrame, heavy: int = HEAVY, classes: int = CLASSES) -> DataF
     rare_type = pa.list_(pa.struct([("word", pa.binary()), ("tf", pa.int64())]))
 
     def run(batches):
-        from collections import Counter
-
         lean("lm")
         of, r, w, z, weights = sent.value
         shares, log_c, miss = of.shares(), np.log10(np.append(of.known, 1) + 0.1), len(of.words)
         for b in batches:
-            places, c, start, rare = of.read(b.column(2).to_pylist())
+            places, c, start, rare, holder = of.read(b.column(2))
             at = targets(len(c), start)
             if not len(start):
                 continue
@@ -446,8 +454,11 @@ def lm_score(df: DataFrame, heavy: int = HEAVY, classes: int = CLASSES) -> DataF
             base = np.where(p < 0, end_log, logs) - np.where(p == miss, 0.0, base_log)
             seen = np.where(p < 0, end_known, p < miss)
             sizes = np.diff(np.append(first, len(at)))
-            found = [[{"word": k, "tf": x} for k, x in Counter(x).items()] for x in rare]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sizes), *(pa.array(np.add.reduceat(x, first), k) for x, k in ((seen.astype(np.int64), pa.int64()), (base, pa.float64()), (lm, pa.float64()))), pa.array(found, rare_type)], names=["rid", "doc_id", "n_tokens", "n_seen", "base", "lm", "rare"])
+            width = max(1, len(rare.dictionary))
+            key, tf = np.unique(holder * width + rare.indices.to_numpy(), return_counts=True)
+            found = pa.StructArray.from_arrays([rare.dictionary.take(pa.array(key % width)), pa.array(tf, pa.int64())], fields=list(rare_type.value_type))
+            found = pa.ListArray.from_arrays(pa.array(np.searchsorted(key, np.arange(len(start) + 1) * width), pa.int32()), found)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sizes), *(pa.array(np.add.reduceat(x, first), k) for x, k in ((seen.astype(np.int64), pa.int64()), (base, pa.float64()), (lm, pa.float64()))), found], names=["rid", "doc_id", "n_tokens", "n_seen", "base", "lm", "rare"])
 
     scored = s.keep(docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text").mapInArrow(run, fields), "scored")
     sent.destroy()
