@@ -47,6 +47,8 @@ BATCH = 256
 TOGETHER = 8
 #: Pairs are counted over so many tokens of a task, and one that comes more often than ``REPEAT`` times counts as several.
 TOKENS, REPEAT = 1 << 19, 8
+#: So many texts, at most, are looked at together in training and scoring, so that their pairs stay in the processor's cache.
+PIECE = 256
 #: Words are counted together in a task until they take so many bytes.
 COUNTED = 1 << 25
 RATE = 0.2
@@ -154,6 +156,26 @@ class Vocabulary:
         return places, classes, start, lone, text[~known]
 
 
+def encoded(classes, start, size: int):
+    """The classes of each text, with the ends around it, as an Arrow array of bytes."""
+    import numpy as np
+
+    data = classes.astype(np.min_scalar_type(size))
+    at = (np.append(start, len(data)) * data.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(at), pa.py_buffer(data)])
+
+
+def decoded(column, size: int):
+    """Classes and starts, of which ``encoded`` made the column."""
+    import numpy as np
+
+    if not len(column):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    kind, (_, at, data) = np.min_scalar_type(size), column.cast(pa.binary()).buffers()
+    at = np.frombuffer(at, np.int32)[column.offset : column.offset + len(column) + 1] // kind.itemsize
+    return np.frombuffer(data, kind)[at[0] : at[-1]].astype(np.int64), at[:-1].astype(np.int64) - at[0]
+
+
 def vocabulary(counts: DataFrame, heavy: int, classes: int) -> tuple[Vocabulary, int, int]:
     """The vocabulary, and the numbers of all and of different training tokens."""
     import numpy as np
@@ -324,23 +346,33 @@ def mix(p, weights, rounds: int):
 
 
 def train(learn: DataFrame, of: Vocabulary, q):
-    """r, w, log normalisers z of r's rows, and the mixture's weights."""
+    """``fit`` on the column text."""
+
+    def run(batches):
+        for b in batches:
+            _, classes, start, *_ = of.read(b.column(0))
+            yield pa.RecordBatch.from_arrays([encoded(classes, start, of.size)], names=["classes"])
+
+    return fit(learn.select("text").mapInArrow(run, "classes binary"), q)
+
+
+def fit(learn: DataFrame, q):
+    """r, w, log normalisers z of r's rows, and the mixture's weights; learn has the column classes (``encoded``)."""
     import numpy as np
 
-    sc, size = learn.sparkSession.sparkContext, of.size
+    sc, size = learn.sparkSession.sparkContext, len(q)
     rng = np.random.default_rng(11)
     r, w = (rng.normal(0, 0.1, (k * size, DIM + 1)).astype(np.float32) for k in (CONTEXT, 1))
     r[:, -1], w[:, -1] = 1, np.log(q)
     weights, z = np.full(CONTEXT + 1, 1 / (CONTEXT + 1)), None
     names = [f"d{i}" for i in range(DIM + 1)]
-    vocab = sc.broadcast(of)
     for step in range(PASSES):
         sent = sc.broadcast((r, w, z, weights))
 
         def run(batches, sent=sent, step=step):
             lean("lm")
-            of, (r0, w0, z, weights) = vocab.value, sent.value
-            size, rng = of.size, np.random.default_rng(step)
+            r0, w0, z, weights = sent.value
+            rng = np.random.default_rng(step)
             x = np.concatenate([r0, w0])
             gx = np.full(x.shape, 1e-2, np.float32)
             seen, mixed, tokens = np.zeros(len(x)), np.zeros(CONTEXT + 1), 0
@@ -355,8 +387,8 @@ def train(learn: DataFrame, of: Vocabulary, q):
                 seen[: len(r0)] += np.bincount(h, c, len(r0))
                 seen[len(r0) :] += np.bincount(t, c, size)
 
-            for b in batches:
-                _, classes, start, *_ = of.read(b.column(0))
+            for texts in (b.column(0)[a : a + PIECE] for b in batches for a in range(0, len(b), PIECE)):
+                classes, start = decoded(texts, size)
                 at = targets(len(classes), start)
                 if not len(at):
                     continue
@@ -381,7 +413,7 @@ def train(learn: DataFrame, of: Vocabulary, q):
                 values = np.concatenate([values, last])
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(weight), *(pa.array(values[:, i].astype(np.float32)) for i in range(DIM + 1))], names=["row", "weight", *names])
 
-        parts = learn.select("text").mapInArrow(run, "row long, weight double, " + ", ".join(f"{x} float" for x in names))
+        parts = learn.select("classes").mapInArrow(run, "row long, weight double, " + ", ".join(f"{x} float" for x in names))
         mean = parts.groupBy("row").agg(F.sum("weight").alias("weight"), *[(F.sum(F.col(x) * F.col("weight")) / F.sum("weight")).cast("float").alias(x) for x in names]).toArrow()
         rows = mean.column("row").to_numpy()
         values = np.stack([mean.column(x).to_numpy() for x in names], 1) if len(rows) else np.zeros((0, DIM + 1), np.float32)
@@ -392,7 +424,6 @@ def train(learn: DataFrame, of: Vocabulary, q):
         r, w = both[: len(r)], both[len(r) :]
         sent.destroy()
         z = normalisers(learn.sparkSession, r, w)
-    vocab.destroy()
     return r, w, z, weights / weights.sum()
 
 
@@ -429,17 +460,16 @@ def lm_score(df: DataFrame, heavy: int = HEAVY, classes: int = CLASSES) -> DataF
     counts = s.keep(count_words(learn), "counts")
     of, n, v = vocabulary(counts, heavy, classes)
     q = of.unigram()
-    model = train(learn, of, q)
     base_log = float(np.log10(n + 0.1 * (v + 1)))
     end_log = float(np.log10(of.class_count[0] + 0.1))
     end_known = int(of.class_count[0] > 0)
-    sent = df.sparkSession.sparkContext.broadcast((of, *model))
-    fields = "rid long, doc_id long, n_tokens long, n_seen long, base double, lm double, rare array<struct<word:binary,tf:long>>"
+    vocab = df.sparkSession.sparkContext.broadcast(of)
+    fields = "rid long, doc_id long, n_tokens long, n_seen long, base double, inside double, rare array<struct<word:binary,tf:long>>, classes binary"
     rare_type = pa.list_(pa.struct([("word", pa.binary()), ("tf", pa.int64())]))
 
-    def run(batches):
+    def read(batches):
         lean("lm")
-        of, r, w, z, weights = sent.value
+        of = vocab.value
         shares, log_c, miss = of.shares(), np.log10(np.append(of.known, 1) + 0.1), len(of.words)
         for b in batches:
             places, c, start, rare, holder = of.read(b.column(2))
@@ -448,9 +478,8 @@ def lm_score(df: DataFrame, heavy: int = HEAVY, classes: int = CLASSES) -> DataF
                 continue
             first = start - CONTEXT * np.arange(len(start))
             p, t = places[at], c[at]
-            lm = np.log10((components(r, w, z, q, contexts(c, at, of.size), t) * weights).sum(1))
             logs = np.where((p >= 0) & (p < miss), log_c[p], 0.0)
-            lm += np.where(t > of.own, logs - shares[t], 0.0)
+            inside = np.where(t > of.own, logs - shares[t], 0.0)
             base = np.where(p < 0, end_log, logs) - np.where(p == miss, 0.0, base_log)
             seen = np.where(p < 0, end_known, p < miss)
             sizes = np.diff(np.append(first, len(at)))
@@ -458,15 +487,33 @@ def lm_score(df: DataFrame, heavy: int = HEAVY, classes: int = CLASSES) -> DataF
             key, tf = np.unique(holder * width + rare.indices.to_numpy(), return_counts=True)
             found = pa.StructArray.from_arrays([rare.dictionary.take(pa.array(key % width)), pa.array(tf, pa.int64())], fields=list(rare_type.value_type))
             found = pa.ListArray.from_arrays(pa.array(np.searchsorted(key, np.arange(len(start) + 1) * width), pa.int32()), found)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sizes), *(pa.array(np.add.reduceat(x, first), k) for x, k in ((seen.astype(np.int64), pa.int64()), (base, pa.float64()), (lm, pa.float64()))), found], names=["rid", "doc_id", "n_tokens", "n_seen", "base", "lm", "rare"])
+            sums = [pa.array(np.add.reduceat(x, first), k) for x, k in ((seen.astype(np.int64), pa.int64()), (base, pa.float64()), (inside, pa.float64()))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sizes), *sums, found, encoded(c, start, of.size)], names=["rid", "doc_id", "n_tokens", "n_seen", "base", "inside", "rare", "classes"])
+
+    # texts are read once: both passes and the scores need only their classes
+    texts = s.keep(docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text").mapInArrow(read, fields), "texts")
+    vocab.destroy()
+    sent = df.sparkSession.sparkContext.broadcast((q, *fit(texts.where(~held_out(F.col("doc_id"))), q)))
+
+    def run(batches):
+        lean("lm")
+        q, r, w, z, weights = sent.value
+        for b in (b[a : a + PIECE] for b in batches for a in range(0, len(b), PIECE)):
+            c, start = decoded(b.column(6), len(q))
+            at = targets(len(c), start)
+            if not len(start):
+                continue
+            lm = np.log10(components(r, w, z, q, contexts(c, at, len(q)), c[at]) @ weights)
+            lm = np.add.reduceat(lm, start - CONTEXT * np.arange(len(start))) + b.column(5).to_numpy()
+            yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(lm)], names=["rid", "doc_id", "n_tokens", "n_seen", "base", "lm"])
 
-    scored = s.keep(docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text").mapInArrow(run, fields), "scored")
+    scored = s.keep(texts.drop("rare").mapInArrow(run, "rid long, doc_id long, n_tokens long, n_seen long, base double, lm double"), "scored")
     sent.destroy()
-    rare = scored.select("rid", F.explode("rare").alias("x")).select("rid", "x.word", "x.tf")
+    rare = texts.select("rid", F.explode("rare").alias("x")).select("rid", "x.word", "x.tf")
     c = F.coalesce(F.col("c"), F.lit(0))
     sums = rare.join(counts, "word", "left").groupBy("rid").agg(F.sum(F.col("tf") * F.log10(c + 0.1)).alias("logs"), F.sum("tf").alias("tf"), F.sum(F.when(F.col("c") > 0, F.col("tf")).otherwise(0)).alias("known"))
     logs, tf = F.coalesce("logs", F.lit(0.0)), F.coalesce("tf", F.lit(0))
-    return scored.drop("rare").join(sums, "rid", "left").select(
+    return scored.join(sums, "rid", "left").select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
         "n_tokens",
