@@ -27,6 +27,11 @@ def pick_by_id(cells: DataFrame, ident: str) -> DataFrame:
     return cells.where(F.col("table_id") == ident)
 
 
+def of_class(tables: Column, name: str) -> Column:
+    """Those of a page's tables that have the class, in page order."""
+    return F.filter(tables, lambda t: F.array_contains(F.split(t["table_class"], " +"), name))
+
+
 def pick_last_of_class(cells: DataFrame, key: str, name: str) -> DataFrame:
     """The cells of each page's last table of a class."""
     of = cells.where(F.array_contains(F.split("table_class", " +"), name))
@@ -147,30 +152,32 @@ def petition(cells: DataFrame, key: str, count: str, signers: str, outcome: str,
 NEW_NUMBER, RECEIPT, SUBJECT, LIST_CLASS = "新件番号", "受理番号", "件名", "list_c"
 
 
-def upper_petition(cells: DataFrame, key: str) -> DataFrame:
-    """accepted_count, signer_count, outcome and presenters of the upper house's page on similar petitions.
+def upper_petition(pages: DataFrame) -> DataFrame:
+    """accepted_count, signer_count, outcome and presenters of the upper house's page on similar petitions (pages from
+    ``html.page_tables`` without spans, with lines); the pages' other columns stay, pages without a row of six cells go.
 
     Of its first list, the row of the new numbers gives the counts, and every row that begins with a receipt's number one
     presenter for each line of its second cell, with the party on the same line of the third (null where there is none). The
     outcome is the presenters' most frequent result, of several the one seen first.
     """
-    of = cells.where(F.array_contains(F.split("table_class", " +"), LIST_CLASS))
-    first = of.groupBy(key).agg(F.min("table_no").alias("table_no"))
-    rows = of.join(first, [key, "table_no"], "left_semi").groupBy(key, "row_no").agg(F.array_sort(F.collect_list(F.struct("col_no", "text", "lines"))).alias("c"))
-    rows = rows.where(F.size("c") >= 6).withColumn("t", F.transform("c", lambda y: y["text"]))
-    at = lambda i: F.get("t", F.lit(i))
-    number = T.parse_int(at(0))
-    head, body = at(0) == NEW_NUMBER, ~at(0).isin(NEW_NUMBER, RECEIPT, SUBJECT) & number.isNotNull()
-    pairs = F.arrays_zip(F.get("c", F.lit(1))["lines"].alias("name"), F.get("c", F.lit(2))["lines"].alias("party"))
-    named = F.filter(pairs, lambda p: F.coalesce(p["name"], F.lit("")) != "")
-    people = F.transform(named, lambda p: F.struct(number.alias("number"), T.person_key(p["name"]).alias("name"), T.blank_to_null(p["party"]).alias("party"), T.era_date(at(3)).alias("received_at"), T.era_date(at(4)).alias("referred_at"), T.blank_to_null(at(5)).alias("result")))
-    counts = F.struct(T.parse_int(at(3)).alias("accepted_count"), T.parse_int(F.regexp_replace(at(5), "[,，]", "")).alias("signer_count"))
-    x = rows.select(key, "row_no", F.when(head, counts).alias("counts"), F.when(body, people).alias("people"))
-    x = x.groupBy(key).agg(F.max_by("counts", F.when(F.col("counts").isNotNull(), F.col("row_no"))).alias("n"), F.array_sort(F.collect_list(F.when(F.col("people").isNotNull(), F.struct("row_no", "people")))).alias("p"))
-    x = x.select(key, "n.*", F.flatten(F.transform("p", lambda y: y["people"])).alias("presenters"))
-    results = F.filter(F.transform("presenters", lambda p: p["result"]), lambda r: r.isNotNull())
-    ranked = F.transform(F.array_distinct(results), lambda r, i: F.struct(F.size(F.filter(results, lambda y: y == r)).alias("n"), (-i).alias("i"), r.alias("result")))
-    return x.select(key, "accepted_count", "signer_count", F.array_max(ranked)["result"].alias("outcome"), "presenters")
+    rest = [c for c in pages.columns if c != "tables"]
+    rows = F.filter(F.get(of_class(F.col("tables"), LIST_CLASS), 0)["rows"], lambda r: F.size(r) >= 6)
+    x = pages.select(*rest, rows.alias("rows")).where(F.size("rows") > 0)
+    own = F.try_element_at(F.filter("rows", lambda r: r[0]["text"] == NEW_NUMBER), F.lit(-1))
+    body = F.filter("rows", lambda r: ~r[0]["text"].isin(NEW_NUMBER, RECEIPT, SUBJECT))
+    at = lambda r, i: r[i]["text"]
+    read = lambda r: F.struct(T.parse_int(at(r, 0)).alias("number"), F.arrays_zip(r[1]["lines"].alias("name"), r[2]["lines"].alias("party")).alias("pairs"), T.era_date(at(r, 3)).alias("received_at"), T.era_date(at(r, 4)).alias("referred_at"), T.blank_to_null(at(r, 5)).alias("result"))
+    x = x.select(*rest, own.alias("own"), F.filter(F.transform(body, read), lambda r: r["number"].isNotNull()).alias("read"))
+
+    def people(r: Column) -> Column:  # days and numbers are read once a row, whatever its people
+        named = F.filter(r["pairs"], lambda p: F.coalesce(p["name"], F.lit("")) != "")
+        return F.transform(named, lambda p: F.struct(r["number"].alias("number"), T.person_key(p["name"]).alias("name"), T.blank_to_null(p["party"]).alias("party"), r["received_at"].alias("received_at"), r["referred_at"].alias("referred_at"), r["result"].alias("result")))
+
+    accepted, signers = T.parse_int(F.col("own")[3]["text"]), T.parse_int(F.regexp_replace(F.col("own")[5]["text"], "[,，]", ""))
+    x = x.select(*rest, accepted.alias("accepted_count"), signers.alias("signer_count"), F.flatten(F.transform("read", people)).alias("presenters"))
+    x = x.withColumn("_results", F.filter(F.transform("presenters", lambda p: p["result"]), lambda r: r.isNotNull()))
+    ranked = F.transform(F.array_distinct("_results"), lambda r, i: F.struct(F.size(F.filter("_results", lambda y: y == r)).alias("n"), (-i).alias("i"), r.alias("result")))
+    return x.select(*rest, "accepted_count", "signer_count", F.array_max(ranked)["result"].alias("outcome"), "presenters")
 
 
 def summary_row(cells: DataFrame, key: str, words: dict[str, str]) -> DataFrame:
