@@ -6,12 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def pick_by_header(cells: DataFrame, key: str, words: list[str]) -> DataFrame:
-    """The cells of each page's first table whose first row holds every word."""
-    head = cells.where("row_no = 0").groupBy(key, "table_no").agg(F.array_join(F.collect_list("text"), " ").alias("h"))
-    for w in words:
-        head = head.where(F.col("h").contains(w))
-    return cells.join(head.groupBy(key).agg(F.min("table_no").alias("table_no")), [key, "table_no"], "left_semi")
+def pick_by_header(tables: Column, words: list[str]) -> Column:
+    """A page's first table whose first row holds every word, null without one."""
+
+    def holds(t: Column) -> Column:
+        head, ok = F.array_join(F.transform(t["rows"][0], lambda c: c["text"]), " "), F.lit(True)
+        for w in words:
+            ok = ok & head.contains(w)
+        return ok
+
+    return F.get(F.filter(tables, holds), 0)
 
 
 def pick_by_caption(cells: DataFrame, suffix: str) -> DataFrame:

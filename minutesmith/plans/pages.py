@@ -30,8 +30,9 @@ def html_cells(t):
 @query("SELECT o_orderkey, 1 AS table_no, o_orderstatus AS text FROM orders")
 def html_table_pick(t):
     page = F.concat(F.lit("<table>"), _tr(F.lit("その他"), tag="th"), F.lit("</table><table>"), _tr(F.lit("番号"), F.lit("議案件名"), tag="th"), _tr(F.col("o_orderkey"), F.col("o_orderstatus")), F.lit("</table>"))
-    cells = html.html_cells(t.orders.select("o_orderkey", page.alias("html")), "o_orderkey")
-    return H.pick_by_header(cells, "o_orderkey", ["番号", "件名"]).where("row_no = 1 AND col_no = 1").select("o_orderkey", "table_no", "text")
+    x = html.page_tables(t.orders.select("o_orderkey", page.alias("html")))
+    x = x.select("o_orderkey", H.pick_by_header(F.col("tables"), ["番号", "件名"]).alias("t"))
+    return x.select("o_orderkey", "t.table_no", F.get(F.get("t.rows", 1), 1).alias("cell")).where("cell IS NOT NULL").select("o_orderkey", "table_no", "cell.text")
 
 
 @query("SELECT o_custkey AS c_custkey, CAST(o_orderkey AS VARCHAR) AS number, o_orderstatus AS title FROM orders")

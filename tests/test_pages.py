@@ -49,7 +49,7 @@ def test_pages_are_looked_at_some_at_a_time():
 
 
 #: Exchanges that a query needs to make its pages; reading them takes none, and each page is parsed once.
-PLANS = {"upper_petition": 1}
+PLANS = {"upper_petition": 1, "html_table_pick": 0}
 
 
 @pytest.mark.parametrize("name", PLANS)
@@ -71,3 +71,10 @@ def test_upper_petition_by_page(spark):
     assert sorted(map(repr, (r.k for r in got))) == ["1", "1", "None"]
     for r in got:
         assert (r.accepted_count, r.signer_count, r.outcome) == (3, 1234, "採択") and [(p.number, p.name, p.party, str(p.received_at), str(p.referred_at)) for p in r.presenters] == [(5, "森一", "甲", "2024-01-05", "2024-01-06"), (5, "林", None, "2024-01-05", "2024-01-06"), (6, "原", None, "None", "None")]
+
+
+def test_first_table_whose_header_holds_all_words(spark):
+    page = "<table>" + tr("番号", "x") + "</table><table>" + tr("番号", "議案件名") + tr("1", "a") + "</table><table>" + tr("番号", "件名") + tr("2", "b") + "</table>"
+    x = html.page_tables(spark.createDataFrame([(1, page), (1, page), (None, page), (2, None), (3, "<table></table>")], "k int, html string"))
+    got = x.select("k", H.pick_by_header(F.col("tables"), ["番号", "件名"]).alias("t")).collect()
+    assert [(r.k, r.t and (r.t.table_no, r.t.rows[1][1].text)) for r in got] == [(1, (1, "a")), (1, (1, "a")), (None, (1, "a")), (2, None), (3, None)]
