@@ -23,8 +23,9 @@ ANSWERED, OPEN, DELAYED, NOT_REFERRED = "答弁受理", "未答弁", "答弁延
 NOTICE, DUE = "([0-9]+月[0-9]+日)内閣から通知書受領", "([0-9]+月[0-9]+日)まで答弁延期"
 
 
-def pick_by_id(cells: DataFrame, ident: str) -> DataFrame:
-    return cells.where(F.col("table_id") == ident)
+def pick_by_id(tables: Column, ident: str) -> Column:
+    """Those of a page's tables that have the id."""
+    return F.filter(tables, lambda t: t["table_id"] == ident)
 
 
 def of_class(tables: Column, name: str) -> Column:
@@ -32,15 +33,16 @@ def of_class(tables: Column, name: str) -> Column:
     return F.filter(tables, lambda t: F.array_contains(F.split(t["table_class"], " +"), name))
 
 
-def pick_last_of_class(cells: DataFrame, key: str, name: str) -> DataFrame:
-    """The cells of each page's last table of a class."""
-    of = cells.where(F.array_contains(F.split("table_class", " +"), name))
-    return of.join(of.groupBy(key).agg(F.max("table_no").alias("table_no")), [key, "table_no"], "left_semi")
+def pick_last_of_class(tables: Column, name: str) -> Column:
+    """A page's last table of a class, as an array of one; empty without one."""
+    of = of_class(tables, name)
+    return F.slice(of, F.greatest(F.size(of), F.lit(1)), 1)
 
 
-def pick_after_heading(cells: DataFrame, word: str) -> DataFrame:
-    """The cells of tables below a heading that holds ``word``; the anchor before the table is its ``code``."""
-    return cells.where(F.col("heading_before").contains(word)).withColumn("code", T.blank_to_null(F.col("anchor_before")))
+def pick_after_heading(tables: Column, word: str) -> Column:
+    """The tables below a heading that holds ``word``; the anchor before a table is its ``code``."""
+    of = F.filter(tables, lambda t: t["heading_before"].contains(word))
+    return F.transform(of, lambda t: t.withField("code", T.blank_to_null(t["anchor_before"])))
 
 
 def sessions(cells: DataFrame, key: str, roles: dict[str, str] = SESSION_ROLES) -> DataFrame:

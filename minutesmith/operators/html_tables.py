@@ -18,6 +18,11 @@ def pick_by_header(tables: Column, words: list[str]) -> Column:
     return F.get(F.filter(tables, holds), 0)
 
 
+def cells_of(table: Column) -> Column:
+    """All cells of a table, row by row."""
+    return F.array_compact(F.flatten(table["rows"]))
+
+
 def pick_by_caption(cells: DataFrame, suffix: str) -> DataFrame:
     """The cells of tables whose caption ends in ``suffix``; what stands before it becomes ``category``."""
     return cells.where(F.col("caption").endswith(suffix)).withColumn("category", F.regexp_replace("caption", f"{suffix}$", ""))

@@ -49,7 +49,7 @@ def test_pages_are_looked_at_some_at_a_time():
 
 
 #: Exchanges that a query needs to make its pages; reading them takes none, and each page is parsed once.
-PLANS = {"upper_petition": 1, "html_table_pick": 0}
+PLANS = {"upper_petition": 1, "html_table_pick": 0, "table_attributes": 0}
 
 
 @pytest.mark.parametrize("name", PLANS)
@@ -78,3 +78,13 @@ def test_first_table_whose_header_holds_all_words(spark):
     x = html.page_tables(spark.createDataFrame([(1, page), (1, page), (None, page), (2, None), (3, "<table></table>")], "k int, html string"))
     got = x.select("k", H.pick_by_header(F.col("tables"), ["番号", "件名"]).alias("t")).collect()
     assert [(r.k, r.t and (r.t.table_no, r.t.rows[1][1].text)) for r in got] == [(1, (1, "a")), (1, (1, "a")), (None, (1, "a")), (2, None), (3, None)]
+
+
+def test_tables_by_id_class_and_heading(spark):
+    page = '<table id="list"><tr><td colspan="2">a<td rowspan=2>b</tr><tr><td>c</table><table class="list_c"><tr><td></table><a name="n"></a><h2>請願</h2><table class="z list_c">' + tr("d") + "</table>"
+    x = html.page_tables(spark.createDataFrame([(1, page), (2, "")], "k int, html string"))
+    t = F.col("tables")
+    of = [extract.pick_by_id(t, "list"), extract.pick_last_of_class(t, "list_c"), extract.pick_after_heading(t, "請願")]
+    r, none = x.select(*[F.transform(y, H.cells_of).alias(f"c{i}") for i, y in enumerate(of)], of[2].alias("h")).collect()
+    assert [[[c.text for c in cells] for cells in r[i]] for i in range(3)] == [[["a", "a", "b", "c", "b"]], [["d"]], [["d"]]]
+    assert r.h[0].code == "n" and list(none) == [[], [], [], []]
