@@ -54,15 +54,17 @@ def sessions(cells: DataFrame, key: str, roles: dict[str, str] = SESSION_ROLES)
     return out.where("n.number IS NOT NULL").select(key, "n.number", F.col("n.type").alias("session_type"), *[c for c in out.columns if c not in (key, "n", "row_no")])
 
 
-def bills(cells: DataFrame, key: str, base: Column, suffix: str = "の一覧", roles: dict[str, str] = BILL_ROLES) -> DataFrame:
-    """Typed rows of captioned bill tables: category from the caption, blank fields null, links resolved; rows without a title go."""
-    picked = H.pick_by_caption(cells, suffix)
-    x = H.header_roles(picked, key, roles)
-    about = picked.groupBy(key, "table_no").agg(F.first("category").alias("category"))
-    link = picked.where("row_no > 0 AND size(hrefs) > 0").groupBy(key, "table_no", "row_no").agg(F.array_sort(F.collect_list(F.struct("col_no", F.col("hrefs")[0].alias("href")))).alias("l"))
-    x = x.join(about, [key, "table_no"]).join(link, [key, "table_no", "row_no"], "left").where(F.length("title") > 0)
-    urls = [H.absolute(F.try_element_at(F.col("l"), F.lit(i))["href"], base).alias(n) for i, n in ((1, "progress_url"), (2, "text_url"))]
-    return x.select(key, "table_no", "row_no", "category", "subcategory", T.parse_int(F.col("submitted_session")).alias("submitted_session"), T.parse_int(F.col("bill_number")).alias("bill_number"), "title", "status", *urls)
+def bills(pages: DataFrame, base: Column, suffix: str = "の一覧", roles: dict[str, str] = BILL_ROLES) -> DataFrame:
+    """Typed rows of captioned bill tables (pages from ``html.page_tables`` with hrefs): category from the caption, blank fields
+    null, links resolved; rows without a title go. The pages' other columns stay."""
+    rest = [c for c in pages.columns if c != "tables"]
+    own = F.filter("tables", lambda t: t["caption"].endswith(suffix))
+    t = pages.select(*rest, F.explode(own).alias("t")).select(*rest, "t.table_no", F.regexp_replace("t.caption", f"{suffix}$", "").alias("category"), "t.rows")
+    x = H.role_rows(t, roles).where(F.length("title") > 0)
+    links = F.transform(F.filter("cells", lambda c: F.size(c["hrefs"]) > 0), lambda c: c["hrefs"][0])
+    x = x.withColumn("l", links)
+    urls = [H.absolute(F.try_element_at(F.col("l"), F.lit(i)), base).alias(n) for i, n in ((1, "progress_url"), (2, "text_url"))]
+    return x.select(*rest, "table_no", "row_no", "category", "subcategory", T.parse_int(F.col("submitted_session")).alias("submitted_session"), T.parse_int(F.col("bill_number")).alias("bill_number"), "title", "status", *urls)
 
 
 def _values(cells: DataFrame, key: str) -> DataFrame:

@@ -44,6 +44,25 @@ def header_roles(cells: DataFrame, key: str, roles: dict[str, str], needed: list
     return body.groupBy(key, "table_no", "row_no").pivot("role", sorted(set(roles.values()))).agg(F.first(F.nullif("text", F.lit(""))))
 
 
+def role_rows(tables: DataFrame, roles: dict[str, str]) -> DataFrame:
+    """One row for each body row of ``tables`` (a row each, with the cells in ``rows``) that has a cell below a header with a
+    role: ``row_no``, the row's cells as ``cells``, and one column for each role, in place of ``rows``.
+
+    As in ``header_roles``: a header has the first role whose word it holds, of several headers of one role the last one counts.
+    """
+    rest, names = [c for c in tables.columns if c != "rows"], sorted(set(roles.values()))
+    role = lambda c: F.coalesce(*[F.when(c["text"].contains(w), F.lit(r)) for w, r in roles.items()])
+    head = F.transform(F.get("rows", 0), role)
+    x = tables.select(*rest, F.slice("rows", 2, F.size("rows")).alias("rows"), head.alias("_head"))
+    last = lambda n: F.array_max(F.transform("_head", lambda r, i: F.when(r == n, i)))
+    x = x.select(*rest, "rows", F.struct(*[last(n).alias(n) for n in names]).alias("_at")).select(*rest, "_at", F.posexplode("rows").alias("row_no", "cells"))
+    cell = lambda n: F.get("cells", F.col("_at")[n])
+    found = F.lit(False)
+    for n in names:
+        found = found | cell(n).isNotNull()
+    return x.where(found).select(*rest, (F.col("row_no") + 1).alias("row_no"), "cells", *[F.nullif(cell(n)["text"], F.lit("")).alias(n) for n in names])
+
+
 def rows_of(cells: DataFrame, key: str, least: int) -> DataFrame:
     """cell: the texts of each row that has at least ``least`` cells, in column order."""
     x = cells.groupBy(key, "table_no", "row_no").agg(F.array_sort(F.collect_list(F.struct("col_no", "text"))).alias("c"))

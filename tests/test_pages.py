@@ -49,7 +49,7 @@ def test_pages_are_looked_at_some_at_a_time():
 
 
 #: Exchanges that a query needs to make its pages; reading them takes none, and each page is parsed once.
-PLANS = {"upper_petition": 1, "html_table_pick": 0, "table_attributes": 0}
+PLANS = {"upper_petition": 1, "html_table_pick": 0, "table_attributes": 0, "extract_bills": 1}
 
 
 @pytest.mark.parametrize("name", PLANS)
@@ -88,3 +88,11 @@ def test_tables_by_id_class_and_heading(spark):
     r, none = x.select(*[F.transform(y, H.cells_of).alias(f"c{i}") for i, y in enumerate(of)], of[2].alias("h")).collect()
     assert [[[c.text for c in cells] for cells in r[i]] for i in range(3)] == [[["a", "a", "b", "c", "b"]], [["d"]], [["d"]]]
     assert r.h[0].code == "n" and list(none) == [[], [], [], []]
+
+
+def test_roles_of_rows(spark):
+    """The last header of a role counts; gaps that spans leave have no cell; a row without a cell of any role goes."""
+    page = "<table>" + tr("x", "番号", "旧件名", "件名") + tr("0", "1", "a", "b") + '<tr><td>5<td>2<td>c<td rowspan="2">s</tr><tr><td>9</tr>' + tr("only") + "</table>"
+    x = html.page_tables(spark.createDataFrame([(1, page)], "k int, html string")).select("k", F.explode("tables").alias("t")).select("k", "t.rows")
+    got = [(r.row_no, r.number, r.title) for r in H.role_rows(x, {"番号": "number", "件名": "title"}).collect()]
+    assert got == [(1, "1", "b"), (2, "2", "s"), (3, None, "s")]
