@@ -75,8 +75,14 @@ def _values(cells: DataFrame, key: str) -> DataFrame:
     return last.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("label", "value"))).alias("v"))
 
 
-def progress(cells: DataFrame, key: str) -> DataFrame:
-    """A bill's progress: its fields, one struct for each house, and the promulgation; only the lower house has stance and groups."""
+def _told(pages: DataFrame) -> list[str]:
+    """The columns of ``html.page_labels`` but those it adds."""
+    return [c for c in pages.columns if c not in ("v", "alone", "filled")]
+
+
+def progress(pages: DataFrame) -> DataFrame:
+    """A bill's progress from the labels of its page's first table: its fields, one struct for each house, and the promulgation;
+    only the lower house has stance and groups. Pages without a label go."""
     v = lambda label: T.blank_to_null(F.try_element_at("v", F.lit(label)))
     own = [(T.parse_int(v(x)) if n in ("bill_submit_session", "bill_number") else v(x)).alias(n) for x, n in BILL_LABELS.items()]
 
@@ -88,7 +94,7 @@ def progress(cells: DataFrame, key: str) -> DataFrame:
         return F.struct(*dates, *pairs, (v(STANCE) if lower else F.lit(None).cast("string")).alias("stance"), *groups)
 
     made = T.date_and_text(v(PROMULGATION))
-    return _values(cells.where("table_no = 0"), key).select(key, *own, house(LOWER).alias("house_of_reps"), house(UPPER).alias("house_of_councillors"), made["day"].alias("promulgated_at"), made["text"].alias("law_number"))
+    return pages.where(F.size("v") > 0).select(*_told(pages), *own, house(LOWER).alias("house_of_reps"), house(UPPER).alias("house_of_councillors"), made["day"].alias("promulgated_at"), made["text"].alias("law_number"))
 
 
 # Labels in the further tables of a member's bill.

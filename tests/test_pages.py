@@ -49,7 +49,7 @@ def test_pages_are_looked_at_some_at_a_time():
 
 
 #: Exchanges that a query needs to make its pages; reading them takes none, and each page is parsed once.
-PLANS = {"upper_petition": 1, "html_table_pick": 0, "table_attributes": 0, "extract_bills": 1}
+PLANS = {"upper_petition": 1, "html_table_pick": 0, "table_attributes": 0, "extract_bills": 1, "extract_progress": 0}
 
 
 @pytest.mark.parametrize("name", PLANS)
@@ -96,3 +96,13 @@ def test_roles_of_rows(spark):
     x = html.page_tables(spark.createDataFrame([(1, page)], "k int, html string")).select("k", F.explode("tables").alias("t")).select("k", "t.rows")
     got = [(r.row_no, r.number, r.title) for r in H.role_rows(x, {"番号": "number", "件名": "title"}).collect()]
     assert got == [(1, "1", "b"), (2, "2", "s"), (3, None, "s")]
+
+
+def test_labels_of_pages(spark):
+    page = "<table>" + tr("a", "1") + tr("alone") + tr("", "no label") + tr("a", "2", "3") + "</table><table>" + tr("b", "4") + "</table>"
+    df = spark.createDataFrame([(1, page), (1, page), (None, "<p>"), (2, "<table>" + tr("", "x") + "</table>")], "k int, html string")
+    read = lambda first: [(r.k, r.v, r.alone, r.filled) for r in html.page_labels(df, first=first).collect()]
+    rest = [(None, {}, [], False), (2, {}, [], True)]
+    assert read(False) == [(1, {"a": "2 3", "b": "4"}, ["alone"], True)] * 2 + rest
+    assert read(True) == [(1, {"a": "2 3"}, ["alone"], True)] * 2 + rest
+    assert [r.k for r in extract.progress(html.page_labels(df, first=True)).collect()] == [1, 1]
