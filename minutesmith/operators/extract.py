@@ -133,13 +133,12 @@ def document_list(outline: DataFrame, key: str, base: Column) -> DataFrame:
     return x.select(key, "pos", "section", "label", D.classify_document(F.col("label")).alias("d"), "url", D.url_key(F.col("url")).alias("file_key")).select(key, "pos", "section", "label", "d.*", "url", "file_key")
 
 
-def question_progress(cells: DataFrame, key: str) -> DataFrame:
+def question_progress(pages: DataFrame) -> DataFrame:
     """A question's dates and status. A remark in a row of one cell tells of a delay; its days are of the year of submission."""
-    one = cells.groupBy(key, "table_no", "row_no").agg(F.count("*").alias("n"), F.first("text").alias("text")).where("n = 1")
-    note = one.where(F.col("text").contains("内閣から通知書受領") | F.col("text").contains("答弁延期")).groupBy(key).agg(F.max_by("text", F.struct("table_no", "row_no")).alias("note"))
-    x = cells.select(key).distinct().join(_values(cells, key), key, "left").join(note, key, "left")
+    rest = _told(pages)
+    note = F.try_element_at(F.filter("alone", lambda x: x.contains("内閣から通知書受領") | x.contains("答弁延期")), F.lit(-1))
     day = lambda label: T.era_date(F.try_element_at("v", F.lit(label)))
-    x = x.select(key, "note", day("提出日").alias("submitted_at"), day("転送日").alias("cabinet_sent_at"), day("答弁書受領日").alias("answer_received_at"))
+    x = pages.where("filled").select(*rest, note.alias("note"), day("提出日").alias("submitted_at"), day("転送日").alias("cabinet_sent_at"), day("答弁書受領日").alias("answer_received_at"))
     said = lambda p: T.month_day_default(F.regexp_extract("note", p, 1), F.year("submitted_at"))
     x = x.withColumns({"answer_delay_notice_received_at": said(NOTICE), "answer_due_at": said(DUE)})
     status = F.when(F.col("answer_received_at").isNotNull(), ANSWERED).when(F.col("answer_due_at").isNotNull(), DELAYED).otherwise(OPEN)

@@ -49,7 +49,7 @@ def test_pages_are_looked_at_some_at_a_time():
 
 
 #: Exchanges that a query needs to make its pages; reading them takes none, and each page is parsed once.
-PLANS = {"upper_petition": 1, "html_table_pick": 0, "table_attributes": 0, "extract_bills": 1, "extract_progress": 0}
+PLANS = {"upper_petition": 1, "html_table_pick": 0, "table_attributes": 0, "extract_bills": 1, "extract_progress": 0, "status_case": 0}
 
 
 @pytest.mark.parametrize("name", PLANS)
@@ -106,3 +106,11 @@ def test_labels_of_pages(spark):
     assert read(False) == [(1, {"a": "2 3", "b": "4"}, ["alone"], True)] * 2 + rest
     assert read(True) == [(1, {"a": "2 3"}, ["alone"], True)] * 2 + rest
     assert [r.k for r in extract.progress(html.page_labels(df, first=True)).collect()] == [1, 1]
+
+
+def test_status_of_questions(spark):
+    page = lambda *rows: "<table>" + "".join(rows) + "</table>"
+    late = page(tr("提出日", "2024年2月1日"), tr("答弁延期"), tr("1月5日内閣から通知書受領 3月9日まで答弁延期"))
+    df = spark.createDataFrame([(1, late), (1, late), (2, page(tr("提出日", ""))), (3, page(tr("答弁書受領日", "2024年2月1日"))), (4, page(tr("", "x"))), (5, "")], "k int, html string")
+    got = [(r.k, r.status, str(r.answer_due_at)) for r in extract.question_progress(html.page_labels(df)).collect()]
+    assert got == [(1, "答弁延期", "2024-03-09")] * 2 + [(2, "未答弁", "None"), (3, "答弁受理", "None"), (4, "未答弁", "None")]
