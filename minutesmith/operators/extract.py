@@ -67,14 +67,6 @@ def bills(pages: DataFrame, base: Column, suffix: str = "の一覧", roles: dict
     return x.select(*rest, "table_no", "row_no", "category", "subcategory", T.parse_int(F.col("submitted_session")).alias("submitted_session"), T.parse_int(F.col("bill_number")).alias("bill_number"), "title", "status", *urls)
 
 
-def _values(cells: DataFrame, key: str) -> DataFrame:
-    """key, v: map of each label's last value."""
-    x = H.rows_of(cells, key, 2).withColumn("label", F.col("cell")[0]).where(F.length("label") > 0)
-    x = x.withColumn("value", F.array_join(F.slice("cell", 2, F.size("cell")), " "))
-    last = x.groupBy(key, "label").agg(F.max_by("value", F.struct("table_no", "row_no")).alias("value"))
-    return last.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("label", "value"))).alias("v"))
-
-
 def _told(pages: DataFrame) -> list[str]:
     """The columns of ``html.page_labels`` but those it adds."""
     return [c for c in pages.columns if c not in ("v", "alone", "filled")]
@@ -150,11 +142,12 @@ def is_referred(section: Column) -> Column:
     return ~section.eqNullSafe(F.lit(NOT_REFERRED))
 
 
-def petition(cells: DataFrame, key: str, count: str, signers: str, outcome: str, presenters: str) -> DataFrame:
-    """receipt_count, signer_count (thousands separators go), outcome and presenters of a petition's page, by its labels."""
+def petition(pages: DataFrame, count: str, signers: str, outcome: str, presenters: str) -> DataFrame:
+    """receipt_count, signer_count (thousands separators go), outcome and presenters of a petition's page, by its labels; pages
+    without a label go."""
     v = lambda label: F.try_element_at("v", F.lit(label))
     n = lambda label: T.parse_int(F.regexp_replace(v(label), "[,，]", ""))
-    return _values(cells, key).select(key, n(count).alias("receipt_count"), n(signers).alias("signer_count"), T.blank_to_null(v(outcome)).alias("outcome"), H.presenters(F.regexp_replace(v(presenters), "君 ", "君\n")).alias("presenters"))
+    return pages.where(F.size("v") > 0).select(*_told(pages), n(count).alias("receipt_count"), n(signers).alias("signer_count"), T.blank_to_null(v(outcome)).alias("outcome"), H.presenters(F.regexp_replace(v(presenters), "君 ", "君\n")).alias("presenters"))
 
 
 # First cells of rows of the upper house's page on similar petitions, and its table's class.
@@ -189,7 +182,8 @@ def upper_petition(pages: DataFrame) -> DataFrame:
     return x.select(*rest, "accepted_count", "signer_count", F.array_max(ranked)["result"].alias("outcome"), "presenters")
 
 
-def summary_row(cells: DataFrame, key: str, words: dict[str, str]) -> DataFrame:
-    """One row a page: numbers in the second row of the table whose header cells hold ``words``."""
-    x = H.header_roles(cells, key, words).where("row_no = 1")
-    return x.select(key, *[T.parse_int(F.regexp_replace(F.col(n), "[,，]", "")).alias(n) for n in sorted(set(words.values()))])
+def summary_row(pages: DataFrame, words: dict[str, str]) -> DataFrame:
+    """Numbers in the second row of each table whose header cells hold ``words``; the pages' other columns stay."""
+    rest = [c for c in pages.columns if c != "tables"]
+    t = pages.select(*rest, F.explode("tables").alias("t")).select(*rest, F.slice("t.rows", 1, 2).alias("rows"))
+    return H.role_rows(t, words).select(*rest, *[T.parse_int(F.regexp_replace(F.col(n), "[,，]", "")).alias(n) for n in sorted(set(words.values()))])

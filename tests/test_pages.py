@@ -49,7 +49,7 @@ def test_pages_are_looked_at_some_at_a_time():
 
 
 #: Exchanges that a query needs to make its pages; reading them takes none, and each page is parsed once.
-PLANS = {"upper_petition": 1, "html_table_pick": 0, "table_attributes": 0, "extract_bills": 1, "extract_progress": 0, "status_case": 0}
+PLANS = {"upper_petition": 1, "html_table_pick": 0, "table_attributes": 0, "extract_bills": 1, "extract_progress": 0, "status_case": 0, "petition_detail": 0}
 
 
 @pytest.mark.parametrize("name", PLANS)
@@ -114,3 +114,12 @@ def test_status_of_questions(spark):
     df = spark.createDataFrame([(1, late), (1, late), (2, page(tr("提出日", ""))), (3, page(tr("答弁書受領日", "2024年2月1日"))), (4, page(tr("", "x"))), (5, "")], "k int, html string")
     got = [(r.k, r.status, str(r.answer_due_at)) for r in extract.question_progress(html.page_labels(df)).collect()]
     assert got == [(1, "答弁延期", "2024-03-09")] * 2 + [(2, "未答弁", "None"), (3, "答弁受理", "None"), (4, "未答弁", "None")]
+
+
+def test_petition_and_its_summary(spark):
+    one, two = "<table>" + tr("件数", "12件") + tr("結果", "") + tr("議員", "1番 森君 2番 林君") + "</table>", "<table>" + tr("総件数", "x") + tr("1,200", "y") + tr("7", "z") + "</table>"
+    df = spark.createDataFrame([(1, one, two), (1, one, two), (2, "", two), (3, one, "")], "k int, html string, table string")
+    x = extract.petition(html.page_labels(df), "件数", "署名", "結果", "議員")
+    assert [r.k for r in x.collect()] == [1, 1, 3]
+    got = extract.summary_row(html.page_tables(x, "table"), {"件数": "n"}).collect()
+    assert [(r.k, r.receipt_count, r.signer_count, r.outcome, [p.name for p in r.presenters], r.n) for r in got] == [(1, 12, None, None, ["森", "林"], 1200)] * 2
