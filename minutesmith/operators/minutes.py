@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import accumulate
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import minutes as M
 from ..functions import text as T
+from ..functions.opening import Opening
 
 # Headers of attendance sections and of roles.
 SECTIONS = ["委員外の出席者", "委員以外の出席者", "委員外出席者", "国務大臣", "副大臣", "大臣政務官", "事務局側", "参考人", "政府参考人", "政府特別補佐人"]
@@ -192,148 +195,37 @@ def changes(lines: DataFrame, key: str, meeting_date: str) -> DataFrame:
     return x.where(F.size("p") >= 2).select(key, "pos", "changed_at", T.person_key(F.col("p")[0]).alias("resigned"), T.person_key(F.col("p")[1]).alias("appointed"))
 
 
-ENTRY = "array<struct<pos:int,n:int,section:string,role:string,title:string,name:string,other:string,day:date>>"
-TALLY = f"struct<state:string,section:string,header:string,pending:string,day:date,same:boolean,people:{ENTRY},moves:{ENTRY},referred:array<string>,agenda:array<string>>"
-
-
-def _marked(lines: Column, held: Column, dated: Column) -> Column:
-    """Every line with all that the fold asks of it; what lies ahead is looked at for days only."""
-
-    def mark(x: Column, i: Column) -> Column:
-        raw, flat, text = x["line"], x["flat"], x["text"]
-        after = lambda rows: F.transform(F.slice(lines, i + 2, F.lit(rows)), lambda y: y["flat"])
-        day, relative = flat.rlike(f"^{T.NUMBER}月{T.NUMBER}日$"), flat.rlike(f"^同日$|^同月{T.NUMBER}日$")
-        # blank lines fill the frame but tell nothing
-        far = F.filter(before_stop(after(11), lambda y: _opens(y) | (y == CHANGES) | y.endswith(AGENDA[0]) | y.endswith("付託された。")), lambda y: y != "")
-        near = F.array_join(before_stop(after(7), lambda y: _opens(y) | _agenda(y)), "")
-        leaves = near.contains("辞任") & (near.contains("補欠") | near.contains("当選") | near.contains("選任"))
-        refers = F.coalesce(F.try_element_at(far, F.lit(-1)).endswith("付託された。"), F.lit(False))
-        moved = flat.contains("辞任") & (flat.contains("補欠") | flat.contains("当選") | flat.contains("選任"))
-        item = F.regexp_replace(text, "^○+", "")
-        own = raw.rlike("^[\\s　]*○") | item.rlike("^[一二三四五六七八九十百千]+、|^日程第[一二三四五六七八九十百千0-9０-９]+")
-        for e in ITEM_ENDS:
-            own = own | item.endswith(e)
-        whole = flat.rlike(f"^({T.NUMBER}月|同月){T.NUMBER}日$")
-        named = F.regexp_replace(flat, "^同月", F.concat(F.month(held).cast("string"), F.lit("月")))
-        return F.struct(
-            i.alias("pos"),
-            flat.alias("flat"),
-            text.alias("text"),
-            item.alias("item"),
-            M.is_rule(raw).alias("rule"),
-            flat.isin(PRESENT).alias("present"),
-            (flat == CHANGES).alias("changes"),
-            F.when(day & dated, leaves).otherwise(relative | moved).alias("moves"),
-            _agenda(flat).alias("agenda"),
-            F.when(day & dated, refers).otherwise(F.lit(False)).alias("refers"),
-            flat.endswith("付託された。").alias("referred"),
-            _opens(flat).alias("opens"),
-            (raw.rlike("^[\\s　]{2,}") & item.rlike("^(（|[(]|及び|並びに)") & ~own).alias("goes_on"),
-            F.when(whole, T.month_day_near(named, held)).alias("day"),
-            (flat == "同日").alias("same"),
-        )
-
-    return F.transform(lines, mark)
-
-
-def _opens(x: Column) -> Column:
-    return x.contains("開議") | x.contains("開会")
-
-
-def _agenda(x: Column) -> Column:
-    return F.regexp_replace(x, "^[○●]+", "").isin(AGENDA)
-
-
-def _next_state(at: Column, c: Column) -> Column:
-    return (
-        F.when(c["rule"], "none")
-        .when(c["present"], "attendance")
-        .when(c["changes"], "membership")
-        .when(c["moves"] & (at == "attendance"), "membership")
-        .when(c["agenda"], "agenda")
-        .when(c["refers"] & (at == "none"), "referred")
-        .when(c["referred"] & (at == "referred"), "none")
-        .when(c["opens"] & (at == "agenda"), "none")
-        .otherwise(at)
-    )
-
-
-def _people(line: Column, pos: Column, section: Column, header: Column, default_role: Column) -> Column:
-    """The people that a line of the attendance names, up to the first piece that is no person."""
-    pieces = F.filter(F.split(line, "(?<!^)(?=(?:委員長|理事) )"), lambda p: F.trim(p) != "")
-    people = F.transform(pieces, lambda p: F.transform(M.names_in(p), M.name_and_role))
-    known = F.flatten(F.transform(people, lambda p: F.slice(p, F.lit(1), F.coalesce(F.array_min(F.filter(F.transform(p, lambda y, i: F.when(y.isNull(), i)), lambda i: i.isNotNull())), F.size(p)))))
-
-    def entry(p: Column, n: Column) -> Column:
-        prefix = F.replace(p["role"], F.lit(" "))
-        titled = prefix.rlike("^[（(]") & F.coalesce(header, section).isNotNull()
-        who = F.when(titled, F.coalesce(header, section)).otherwise(F.coalesce(T.blank_to_null(prefix), header, default_role))
-        return F.struct(pos.alias("pos"), n.alias("n"), section.alias("section"), who.alias("role"), F.when(titled, prefix).alias("title"), p["name"].alias("name"), F.lit(None).cast("string").alias("other"), F.lit(None).cast("date").alias("day"))
-
-    return F.transform(known, entry)
-
-
-def _add_item(items: Column, c: Column) -> Column:
-    """The items with this line: its own, or carried on from the last one."""
-    last = F.concat(F.element_at(items, -1), c["item"])
-    return F.when(c["goes_on"] & (F.size(items) > 0), F.concat(F.slice(items, F.lit(1), F.size(items) - 1), F.array(last))).otherwise(F.array_append(items, c["item"]))
+ENTRY = {"state": pa.string(), "pos": pa.int32(), "n": pa.int32(), "section": pa.string(), "role": pa.string(), "title": pa.string(), "name": pa.string(), "other": pa.string(), "day": pa.date32()}
+TEXTS = 256  # looked at by a task at once
 
 
 def entries(df: DataFrame, key: str, text: str, held: Column, default_role: str | None = None, default_section: str | None = None, has_date: Column | None = None) -> DataFrame:
     """key, state, pos, n, section, role, title, name, other, day: all that the minutes' opening text lists, in one pass.
 
     attendance: section, role, title, name; membership: day, name (resigned), other (appointed); referred and agenda: name
-    (the item), pos (its number). One fold over a text's lines carries the state, the headers above, the wrapped beginning
-    of a line, the day above and the items so far; its entries are exploded once. The table is read once and not shuffled.
-    ``held``: the day of the meeting. A null text has no entries; a text's cost grows with its lines times its entries.
+    (the item), pos (its number). One walk over a text's lines (``functions.opening``), in Python because a fold of built-in
+    functions is interpreted line by line; its entries are exploded once. The table is read once and not shuffled.
+    ``held``: the day of the meeting. A null text has no entries; a text's cost grows with its lines.
     """
-    none = F.lit(None).cast("string")
-    line = lambda x: F.struct(x.alias("line"), T.without_space(x).alias("flat"), T.normalize_text(x).alias("text"))
-    x = df.select(key, held.alias("_held"), F.coalesce(F.lit(True) if has_date is None else has_date, F.lit(False)).alias("_dated"), F.transform(M.lines_of(F.col(text)), line).alias("_lines"))
-    marks = F.filter(_marked(F.col("_lines"), F.col("_held"), F.col("_dated")), lambda c: c["flat"] != "")
-    role, section = F.lit(default_role).cast("string"), F.lit(default_section).cast("string")
-
-    def step(acc: Column, c: Column) -> Column:
-        at = acc["state"]
-        state = _next_state(at, c)
-        day, same = F.coalesce(c["day"], acc["day"]), acc["same"] | c["same"]
-        # a line that opens or ends a section has no entry of its own; a day inside a section of changes is one of its lines
-        control = c["rule"] | c["present"] | c["changes"] | c["agenda"] | (c["refers"] & (at == "none")) | (c["referred"] & (at == "referred")) | (c["opens"] & (at == "agenda"))
-        bare = ~c["text"].contains("君") & ~c["text"].startswith("〔")
-        here = (state == "attendance") & ~control
-        head = here & bare & (c["flat"].isin(SECTIONS) | c["flat"].endswith("委員会"))
-        title = here & bare & ~head & c["flat"].isin(ROLES)
-        wraps = here & bare & ~head & ~title
-        now_section = F.when(control, F.when(c["present"], section)).when(head, c["flat"]).otherwise(acc["section"])
-        now_header = F.when(control | head, none).when(title, c["flat"]).otherwise(acc["header"])
-        whole = F.trim(F.concat_ws(" ", T.blank_to_null(acc["pending"]), c["text"]))
-        pending = F.when(wraps, whole).when(here | control, F.lit("")).otherwise(acc["pending"])
-        named = here & ~bare
-        names = M.names_in(c["text"])
-        move = F.struct(c["pos"].alias("pos"), F.lit(0).alias("n"), none.alias("section"), none.alias("role"), none.alias("title"), T.person_key(F.get(names, 0)).alias("name"), T.person_key(F.get(names, 1)).alias("other"), F.coalesce(day, F.when(same, F.col("_held"))).alias("day"))
-        item = ~control & ~c["rule"] & (c["item"] != "")
-        return F.struct(
-            state.alias("state"),
-            now_section.alias("section"),
-            now_header.alias("header"),
-            pending.alias("pending"),
-            day.alias("day"),
-            same.alias("same"),
-            F.when(named, F.concat(acc["people"], _people(whole, c["pos"], acc["section"], acc["header"], role))).otherwise(acc["people"]).alias("people"),
-            F.when((state == "membership") & c["text"].contains("君"), F.when(F.size(names) >= 2, F.array_append(acc["moves"], move)).otherwise(acc["moves"])).otherwise(acc["moves"]).alias("moves"),
-            F.when((state == "referred") & item, _add_item(acc["referred"], c)).otherwise(acc["referred"]).alias("referred"),
-            F.when((state == "agenda") & item, _add_item(acc["agenda"], c)).otherwise(acc["agenda"]).alias("agenda"),
-        )
-
-    empty = F.array().cast(ENTRY)
-    start = F.struct(F.lit("none"), none, none, F.lit(""), F.lit(None).cast("date"), F.lit(False), empty, empty, F.array().cast("array<string>"), F.array().cast("array<string>")).cast(TALLY)
-
-    def finish(acc: Column) -> Column:
-        tag = lambda state, xs: F.transform(xs, lambda e: F.struct(F.lit(state).alias("state"), *[e[k].alias(k) for k in ("pos", "n", "section", "role", "title", "name", "other", "day")]))
-        listed = lambda state, xs: F.transform(xs, lambda v, i: F.struct(F.lit(state).alias("state"), (i + 1).alias("pos"), F.lit(0).alias("n"), none.alias("section"), none.alias("role"), none.alias("title"), v.alias("name"), none.alias("other"), F.lit(None).cast("date").alias("day")))
-        return F.concat(tag("attendance", acc["people"]), tag("membership", acc["moves"]), listed("referred", acc["referred"]), listed("agenda", acc["agenda"]))
-
-    return x.select(key, F.explode(F.aggregate(marks, start, step, finish)).alias("_e")).select(key, "_e.*")
+    dated = F.coalesce(F.lit(True) if has_date is None else has_date, F.lit(False))
+    x = df.select(key, held.cast("date").alias("_held"), dated.alias("_dated"), F.col(text).alias("_text"))
+    field, name = x.schema[0], x.columns[0]
+
+    def run(batches):
+        read = Opening(SECTIONS, ROLES, PRESENT, CHANGES, AGENDA, ITEM_ENDS, default_role, default_section)
+        for whole in batches:
+            for b in (whole.slice(i, TEXTS) for i in range(0, whole.num_rows, TEXTS)):
+                days = b.column(1).cast(pa.int32()).to_pylist()
+                found = [read.entries(t, d, ok) for t, d, ok in zip(b.column(3).to_pylist(), days, b.column(2).to_pylist(), strict=True)]
+                cols = list(zip(*(e for es in found for e in es), strict=True)) or [[]] * len(ENTRY)
+                values = [pa.array(c, pa.int32()).cast(t) if t == pa.date32() else pa.array(c, t) for c, t in zip(cols, ENTRY.values(), strict=True)]
+                offsets = pa.array([0, *accumulate(map(len, found))], pa.int32())
+                listed = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(values, list(ENTRY)))
+                yield pa.RecordBatch.from_arrays([b.column(0), listed], names=[name, "_e"])
+
+    kinds = ",".join(f"{k}:{ {pa.string(): 'string', pa.int32(): 'int', pa.date32(): 'date'}[t] }".replace(" ", "") for k, t in ENTRY.items())
+    made = x.mapInArrow(run, f"`{name}` {field.dataType.simpleString()}, _e array<struct<{kinds}>>")
+    return made.select(name, F.explode("_e").alias("_e")).select(name, "_e.*")
 
 
 def publish_list(meetings: DataFrame, matched: DataFrame, key: str, keep: list[str]) -> DataFrame:
